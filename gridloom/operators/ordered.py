@@ -69,7 +69,7 @@ def over_blocks(
     order: str,
     reach: int,
     columns: Callable[[Window], dict[str, Column]],
-    unit: str | None = "month",
+    unit: str | Column | None = "month",
 ) -> DataFrame:
     """Add window columns that look back at most ``reach`` rows inside each group.
 
@@ -77,7 +77,8 @@ def over_blocks(
     can see into an earlier block, so they are computed again from a second, small table that
     holds the first and last ``reach`` rows of every block. The result equals a window over
     the whole group. (group, ``order``) must be a key; then a block of an hourly series has at
-    most 744 rows per month however many rows the group has. ``unit=None`` is the plain window.
+    most 744 rows per month however many rows the group has. ``unit`` may also be an expression that
+    grows with ``order``; ``unit=None`` is the plain window.
     """
     if unit is None:
         return df.withColumns(columns(Window.partitionBy(*map(cname, keys)).orderBy(cname(order))))
@@ -85,7 +86,7 @@ def over_blocks(
     whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     names = df.columns
     placed = (
-        df.withColumn("_block", time_block(order, unit))
+        df.withColumn("_block", time_block(order, unit) if isinstance(unit, str) else unit)
         .withColumns(
             {
                 "_place": F.row_number().over(block),

@@ -157,9 +157,9 @@ def strong_pairs(pairs: DataFrame, order: Sequence[str], target: str, threshold:
         F.col("feature").alias("feature_2"), F.col("r").alias("target_2")
     )
     joined = strong.join(first, "feature_1").join(second, "feature_2")
-    keep = F.when(
-        F.abs(F.col("target_1")) > F.abs(F.col("target_2")), F.col("feature_1")
-    ).otherwise(F.col("feature_2"))
+    # Rounded, so that two copies of one column tie whatever order the sums were taken in.
+    closer = F.round(F.abs(F.col("target_1")), 9) > F.round(F.abs(F.col("target_2")), 9)
+    keep = F.when(closer, F.col("feature_1")).otherwise(F.col("feature_2"))
     return joined.withColumn("keep", keep)
 
 

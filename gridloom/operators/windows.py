@@ -34,7 +34,7 @@ def rolling(
     rows: int = schemas.WINDOW_ROWS,
     keys: Sequence[str] = ("zone",),
     order: str = "datetime",
-    unit: str | None = "month",
+    unit: str | Column | None = "month",
 ) -> DataFrame:
     return over_blocks(
         df, keys, order, rows - 1, lambda w: rolling_columns(w, columns, rows, what), unit
@@ -47,7 +47,7 @@ def lagged(
     lags: Sequence[int] = tuple(schemas.LAGS),
     keys: Sequence[str] = ("zone",),
     order: str = "datetime",
-    unit: str | None = "month",
+    unit: str | Column | None = "month",
 ) -> DataFrame:
     return over_blocks(df, keys, order, max(lags), lambda w: lag_columns(w, columns, lags), unit)
 
@@ -57,7 +57,7 @@ def engineer_features(
     keys: Sequence[str] = ("zone",),
     order: str = "datetime",
     rows: int = schemas.WINDOW_ROWS,
-    unit: str | None = "month",
+    unit: str | Column | None = "month",
 ) -> DataFrame:
     """Rolling means, rolling deviations and lags in one window pass, then complete rows.
 

@@ -243,7 +243,7 @@ RANKS = "ranks(feature, pos) AS (VALUES " + ", ".join(f"('{c}', {i})" for i, c i
 
 @entry("a21_strong_pairs", sql(
     f"""SELECT p.feature_1, p.feature_2, {rq('p.correlation')} AS correlation, {rq('t1.r')} AS target_1, {rq('t2.r')} AS target_2,
-    CASE WHEN abs(t1.r) > abs(t2.r) THEN p.feature_1 ELSE p.feature_2 END AS keep FROM pairs p
+    CASE WHEN round(abs(t1.r), 9) > round(abs(t2.r), 9) THEN p.feature_1 ELSE p.feature_2 END AS keep FROM pairs p
     JOIN ranks a ON a.feature = feature_1 JOIN ranks b ON b.feature = feature_2
     JOIN to_target t1 ON t1.feature = feature_1 JOIN to_target t2 ON t2.feature = feature_2
     WHERE a.pos > b.pos AND abs(p.correlation) > 0.7""", "raw",

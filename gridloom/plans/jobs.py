@@ -35,39 +35,61 @@ def feature_table(
     featured = windows.engineer_features(cleaning.clean(raw), keys, unit=unit)
     return windows.cyclic_month(featured)
 
-def preprocess(
-    raw: DataFrame,
-    keys: Sequence[str] = ("zone",),
-    scope: str = "group",
-    encode: bool = False,
-    unit: str | None = "month",
+def scale_and_select(
+    featured: DataFrame, keys: Sequence[str] = (), encode: bool = False
 ) -> DataFrame:
-    """Raw table → 32-column table. ``scope`` is ``group`` or ``global`` min-max.
+    """Min-max over each group (or the table), then the 32 columns.
 
     The features are materialised once: the bounds and the scaled rows both read them, and
     without that the windows would run twice.
     """
-    if scope not in ("group", "global"):
-        raise ValueError(f"unknown scope: {scope}")
-    featured = checkpointed(feature_table(raw, keys, unit))
-    scaled = scaling.scale_min_max(featured, keys if scope == "group" else ())
+    scaled = scaling.scale_min_max(checkpointed(featured), keys)
     final = cleaning.select_final(scaled)
     if encode:
         dictionary = scaling.label_dictionary(final, "subba-name")
         final = scaling.encode_labels(final, "subba-name", dictionary)
     return final
 
-def preprocess_chunks(raw: DataFrame, chunks: int = 100, unit: str | None = "month") -> DataFrame:
-    """As ``preprocess`` with every row chunk treated as a group of its own."""
-    ordered = chunk_rows(raw, chunks)
-    return preprocess(ordered, ["chunk"], unit=unit)
 
-def chunk_rows(df: DataFrame, chunks: int = 100, order: Sequence[str] = ("datetime", "zone")) -> DataFrame:
-    """Add ``chunk``: consecutive blocks of max(1, rows // chunks) rows of the total order."""
+def preprocess(
+    raw: DataFrame,
+    keys: Sequence[str] = ("zone",),
+    scope: str = "group",
+    encode: bool = False,
+    unit: str | None = "month",
+) -> DataFrame:
+    """Raw table → 32-column table. ``scope`` is ``group`` or ``global`` min-max."""
+    if scope not in ("group", "global"):
+        raise ValueError(f"unknown scope: {scope}")
+    featured = feature_table(raw, keys, unit)
+    return scale_and_select(featured, keys if scope == "group" else (), encode)
+
+
+def chunk_rows(
+    df: DataFrame, chunks: int = 100, order: Sequence[str] = ("datetime", "zone"),
+    position: str | None = None,
+) -> DataFrame:
+    """Add ``chunk``: consecutive blocks of max(1, rows // chunks) rows of the total order.
+
+    ``position`` names a column to keep the row's place in.
+    """
     placed = global_position(df, order, "_at")
     rows = placed.agg(F.max("_at")).scalar()
     size = F.greatest(F.lit(1), F.floor(rows / F.lit(chunks)))
-    return placed.withColumn("chunk", F.floor((F.col("_at") - 1) / size)).drop("_at")
+    chunked = placed.withColumn("chunk", F.floor((F.col("_at") - 1) / size))
+    return chunked.withColumnRenamed("_at", position) if position else chunked.drop("_at")
+
+
+def preprocess_chunks(raw: DataFrame, chunks: int = 100, rows_per_block: int = 10_000) -> DataFrame:
+    """As ``preprocess`` with every row chunk as a group of its own, in row order.
+
+    A chunk is a hundredth of the table, so it is windowed in blocks of its rows.
+    """
+    placed = cleaning.clean(chunk_rows(raw, chunks, position="_at"))
+    block = F.floor(F.col("_at") / rows_per_block)
+    featured = windows.engineer_features(placed, ["chunk"], "_at", unit=block)
+    return scale_and_select(windows.cyclic_month(featured), ["chunk"])
+
 
 def collect_dataset(demand: DataFrame, weather: DataFrame, zone: str = "zone") -> DataFrame:
     """Landed answers (each with its zone) → hourly raw table, weather ⋈ demand, typed."""
