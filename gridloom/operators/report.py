@@ -50,9 +50,11 @@ def company_list(df: DataFrame) -> DataFrame:
     return df.withColumn("company_list", F.concat_ws(", ", "companies"))
 
 
-def newest_weather_text(weather: DataFrame, keys: list[str], order: str = "datetime") -> DataFrame:
+def newest_weather_text(
+    weather: DataFrame, keys: list[str], order: str = "datetime", shown: list[str] | None = None
+) -> DataFrame:
     """Per location the newest hour as ``"column": value`` text."""
-    shown = [c for c in weather.columns if c not in keys]
+    shown = shown or [c for c in weather.columns if c not in keys]
     picked = weather.groupBy(*map(cname, keys)).agg(
         F.max_by(F.struct(*map(cname, weather.columns)), cname(order)).alias("_row")
     )

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from gridloom.operators.cleaning import numeric_columns
 from gridloom.operators.ordered import cname, running_totals
 
-CORRELATIONS_PER_PASS = 400
-
 
 def group_mean(df: DataFrame, by: str | Column, metric: str, name: str = "mean") -> DataFrame:
     """Mean per group, largest first."""
@@ -104,63 +102,54 @@ def median_cut(df: DataFrame, column: str) -> Column:
     return quantiles(df, [column], [0.5]).select("q_0").scalar()
 
 
-def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature_1, feature_2, correlation) for every ordered pair, from one pass.
+def _pair_row(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[tuple[str, str], Column]]:
+    """One wide row with the correlation of every pair below the diagonal, and its columns."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
+    wide = df.agg(
+        *[F.corr(cname(a).cast("double"), cname(b).cast("double")).alias(f"_{i}")
+          for i, (a, b) in enumerate(pairs)]
+    )
+    found = {pair: F.col(f"_{i}") for i, pair in enumerate(pairs)}
+    return wide, found
+
 
-    Only pairs below the diagonal are computed; they are mirrored in the small result.
+def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(feature_1, feature_2, correlation) for every ordered pair, from one pass."""
+    wide, found = _pair_row(df, list(columns or numeric_columns(df)))
+    cells = [
+        F.struct(F.lit(x).alias("feature_1"), F.lit(y).alias("feature_2"), c.alias("correlation"))
+        for (a, b), c in found.items()
+        for x, y in ((a, b), (b, a))
+    ]
+    return wide.select(F.inline(F.array(*cells)))
+
+
+def strong_pairs(
+    df: DataFrame, columns: Sequence[str], target: str, threshold: float = 0.7
+) -> DataFrame:
+    """Pairs correlated beyond the threshold, and the member that is closer to the target.
+
+    Each pair is named once, the later column first. Everything comes from one wide row.
     """
-    columns = list(columns or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    parts = []
-    for start in range(0, len(pairs), CORRELATIONS_PER_PASS):
-        chunk = pairs[start : start + CORRELATIONS_PER_PASS]
-        wide = df.agg(
-            *[F.corr(cname(a).cast("double"), cname(b).cast("double")).alias(f"_{i}")
-              for i, (a, b) in enumerate(chunk)]
+    wide, found = _pair_row(df, columns)
+
+    def to_target(feature: str) -> Column:
+        if feature == target:
+            return F.lit(1.0)
+        return found[(feature, target)] if (feature, target) in found else found[(target, feature)]
+
+    cells = []
+    for (a, b), c in found.items():
+        # Rounded, so that two copies of one column tie whatever order the sums were taken in.
+        closer = F.round(F.abs(to_target(a)), 9) > F.round(F.abs(to_target(b)), 9)
+        cells.append(
+            F.struct(
+                F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), c.alias("correlation"),
+                to_target(a).alias("target_1"), to_target(b).alias("target_2"),
+                F.when(closer, F.lit(a)).otherwise(F.lit(b)).alias("keep"),
+            )
         )
-        cells = []
-        for i, (a, b) in enumerate(chunk):
-            for x, y in ((a, b), (b, a)):
-                cells.append(
-                    F.struct(
-                        F.lit(x).alias("feature_1"),
-                        F.lit(y).alias("feature_2"),
-                        F.col(f"_{i}").alias("correlation"),
-                    )
-                )
-        parts.append(wide.select(F.inline(F.array(*cells))))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def strong_pairs(pairs: DataFrame, order: Sequence[str], target: str, threshold: float = 0.7) -> DataFrame:
-    """Strongly correlated pairs, and the member that is closer to the target.
-
-    A pair is named once: the later column of ``order`` first.
-    """
-    rank = F.create_map(*[x for i, c in enumerate(order) for x in (F.lit(c), F.lit(i))])
-    strong = pairs.filter(
-        (F.abs(F.col("correlation")) > threshold)
-        & (rank[F.col("feature_1")] > rank[F.col("feature_2")])
-    )
-    to_target = pairs.filter(F.col("feature_2") == target).select(
-        F.col("feature_1").alias("feature"), F.col("correlation").alias("r")
-    )
-    itself = to_target.sparkSession.createDataFrame([(target, 1.0)], "feature string, r double")
-    to_target = to_target.unionByName(itself)
-    first = to_target.select(
-        F.col("feature").alias("feature_1"), F.col("r").alias("target_1")
-    )
-    second = to_target.select(
-        F.col("feature").alias("feature_2"), F.col("r").alias("target_2")
-    )
-    joined = strong.join(first, "feature_1").join(second, "feature_2")
-    # Rounded, so that two copies of one column tie whatever order the sums were taken in.
-    closer = F.round(F.abs(F.col("target_1")), 9) > F.round(F.abs(F.col("target_2")), 9)
-    keep = F.when(closer, F.col("feature_1")).otherwise(F.col("feature_2"))
-    return joined.withColumn("keep", keep)
+    return wide.select(F.inline(F.array(*cells))).filter(F.abs("correlation") > threshold)
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -1 +1,458 @@
+"""Model jobs, registry rules and end-to-end jobs (M, T4–T6, W17, J11, E)."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridloom import schemas
+from gridloom.operators import bias, cleaning, combine, models, quality, registry, regions, report, scaling, splits, windows
+from gridloom.operators.ordered import cname, over_blocks
+from gridloom.operators.stats import regression_metrics
+from gridloom.plans import jobs
+from gridloom.plans.catalog.base import (
+    Tables, entry, r, rounded, rq, seeded_q, sql, stamp, stamp_q, timed,
+)
+from gridloom.plans.catalog.measures import ERRORS, FRAME, biased, BIASED, frame
+from gridloom.plans.catalog.rows import (
+    FEATURE_SQL, FEATURED, HISTORY, ITEMS, MONTH_SQL, NEAR, SHEET, final_list, shown,
+)
+from gridloom.plans.catalog.series import GRID, RATES, filled_list
+from gridloom.plans.catalog.storage import (
+    RUNS, VERSIONS, demand_payload, parsed, runs, versions, weather_payload, RAW_LIST,
+)
+from gridloom.session import scratch_path
+from gridloom.sources.dimensions import MARKET_REGIONS
+
+FEATURES = ["tempF", "windspeedMiles", "humidity", "pressure", "visibility"]
+
+
+def learning_table(t: Tables) -> DataFrame:
+    """The keyed hourly table with the model features, globally scaled."""
+    slim = t.keyed.select("row_id", "zone", cname("subba-name"), "datetime", *FEATURES, "value")
+    return scaling.scale_min_max(slim, (), [*FEATURES, "value"])
+
+
+# ---- fits: rows only --------------------------------------------------------------------
+
+@entry("m1_one_feature_line", sql(
+    f"""SELECT {rq("regr_slope(value, \"windspeedMiles\")", 3)} AS slope, {rq("regr_intercept(value, \"windspeedMiles\")", 2)} AS intercept
+    FROM hourly""", "hourly"))
+def _(t: Tables) -> DataFrame:
+    model = models.train(t.hourly.withColumn("value", F.col("value").cast("double")), "lr", ["windspeedMiles"])
+    fit = model.stages[-1]
+    line = t.spark.createDataFrame([(float(fit.coefficients[0]), float(fit.intercept))], "slope double, intercept double")
+    return line.select(r("slope", 3).alias("slope"), r("intercept", 2).alias("intercept"))
+
+
+@entry("m1_linear_regression")
+def _(t: Tables) -> DataFrame:
+    table = learning_table(t)
+    return models.evaluate(models.train(table, "lr", FEATURES), table)
+
+
+@entry("m2_lasso")
+def _(t: Tables) -> DataFrame:
+    table = learning_table(t)
+    return models.evaluate(models.train(table, "lasso", FEATURES, alpha=0.01), table)
+
+
+SMALL_GRID = {"stepSize": [0.05, 0.1], "maxIter": [3, 5], "maxDepth": [3], "minInstancesPerNode": [1, 3]}
+
+
+@entry("m3_tree_search")
+def _(t: Tables) -> DataFrame:
+    _, tried = models.search_boosted_trees(learning_table(t).cache(), FEATURES, grid=SMALL_GRID, picks=2, folds=2)
+    rows = [(str(sorted(s.items())), float(mse)) for s, mse in tried]
+    return t.spark.createDataFrame(rows, "setting string, mse double")
+
+
+@entry("m4_cross_validated_trees")
+def _(t: Tables) -> DataFrame:
+    folded = splits.hash_folds(learning_table(t), 3, "row_id").cache()
+    return models.cross_validate(folded, models.boosted_trees(FEATURES, maxIter=3, maxDepth=3), "fold", 3)
+
+
+@entry("m5_feature_elimination")
+def _(t: Tables) -> DataFrame:
+    kept = models.eliminate_features(learning_table(t).cache(), FEATURES, keep=3, maxIter=2, maxDepth=3)
+    return t.spark.createDataFrame([(f,) for f in kept], "feature string")
+
+
+@entry("m6_permutation_importance")
+def _(t: Tables) -> DataFrame:
+    return jobs.feature_importance(learning_table(t).cache(), "row_id", FEATURES, maxIter=3, maxDepth=3)
+
+
+@entry("m7_importance_input", sql(
+    """SELECT CAST(epoch(datetime) AS BIGINT) AS datetime, "tempF", dense_rank() OVER (ORDER BY "subba-name") - 1 AS "subba-name",
+    dense_rank() OVER (ORDER BY zone) - 1 AS zone, value FROM raw""", "raw"))
+def _(t: Tables) -> DataFrame:
+    slim = t.raw.select("datetime", "tempF", cname("subba-name"), "zone", "value")
+    return models.importance_input(slim)
+
+
+@entry("m8_train_since_date")
+def _(t: Tables) -> DataFrame:
+    table = learning_table(t)
+    found = None
+    for kind, params in (("lr", {}), ("xgboost", {"maxIter": 2, "maxDepth": 3})):
+        model = models.train(table, kind, FEATURES, since="2024-01-10 00:00:00", **params)
+        scored = models.evaluate(model, table).withColumn("kind", F.lit(kind))
+        found = scored if found is None else found.unionByName(scored)
+    return found
+
+
+RANKED = f"""ranked AS (SELECT k.row_id, k.zone, k.value, p.guess, row_number() OVER (PARTITION BY k.zone ORDER BY {seeded_q('k.row_id')}, k.row_id) AS rn,
+ count(*) OVER (PARTITION BY k.zone) AS n FROM keyed k JOIN predicted p ON p.zone = k.zone AND p.datetime = k.datetime),
+ tested AS (SELECT * FROM ranked WHERE rn <= (n * 200) // 1000)"""
+
+
+def with_guess(t: Tables) -> DataFrame:
+    """The keyed table with the value of the hour before as a fixed predictor."""
+    return over_blocks(
+        t.keyed.select("row_id", "zone", "datetime", "value"), ["zone"], "datetime", 1,
+        lambda w: {"guess": F.lag("value").over(w)}).filter("guess IS NOT NULL")
+
+
+@entry("m9_evaluate_test_split", sql(
+    f"""SELECT {rq('mse', 2)} AS mse, {rq('mae', 4)} AS mae, {rq('r2')} AS r2, rows FROM (SELECT {ERRORS},
+    1 - sum(CAST((value - guess) AS DOUBLE) * (value - guess)) / (var_pop(CAST(value AS DOUBLE)) * count(*)) AS r2, count(*) AS rows FROM tested)""",
+    "predicted", more=RANKED))
+def _(t: Tables) -> DataFrame:
+    split = splits.stratified_split(with_guess(t), ["zone"], "row_id")
+    return regression_metrics(split.filter("split = 'test'"), "value", "guess").select(
+        r("mse", 2).alias("mse"), r("mae", 4).alias("mae"), r("r2").alias("r2"), "rows")
+
+
+def column_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
+    """Stored bounds from the min-max table: one row per column comes to the driver."""
+    return {x["column"]: (x["min"], x["max"]) for x in scaling.min_max_map(df).collect()}
+
+
+@entry("m10_score_newest_hours")
+def _(t: Tables) -> DataFrame:
+    featured = jobs.feature_table(t.raw)
+    table = jobs.scale_and_select(featured)
+    model = models.train(table.na.drop("any"), "lr", SERVED)
+    bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
+    return models.score_newest(t.raw, model, bounds)
+
+
+SERVED = ["tempF_rolling_mean", "humidity_rolling_mean", "windspeedMiles", "tempF_lag_2", "month_sin", "month_cos"]
+
+
+@entry("m11_biased_groups", sql(BIASED.format("1.5"), "predicted", more=FRAME))
+def _(t: Tables) -> DataFrame:
+    return biased(t, 1.5)
+
+
+@entry("m12_reweighted_fit")
+def _(t: Tables) -> DataFrame:
+    split = splits.stratified_split(learning_table(t), ["zone"], "row_id").cache()
+    _, after = models.mitigate(split.filter("split = 'train'"), split.filter("split = 'test'"), "zone", "lr", FEATURES)
+    return after
+
+
+BEFORE_AFTER = """pairs AS (SELECT zone, avg(abs(value - guess)) AS before, avg(abs(value - (value + guess) / 2.0::DOUBLE)) AS after
+ FROM predicted GROUP BY 1)"""
+
+
+@entry("m13_may_serve", sql("SELECT zone, round(after, 4) <= round(before, 4) AS serve FROM pairs", "predicted", more=BEFORE_AFTER))
+def _(t: Tables) -> DataFrame:
+    blend = (F.col("value") + F.col("guess")) / F.lit(2.0)
+    pairs = t.predicted.groupBy("zone").agg(
+        F.avg(F.abs(F.col("value") - F.col("guess"))).alias("before"), F.avg(F.abs(F.col("value") - blend)).alias("after"))
+    return pairs.select("zone", registry.may_serve(F.col("before"), F.col("after")).alias("serve"))
+
+
+@entry("m14_metric_gate", sql(
+    """SELECT run_id, coalesce("MSE" <= 0.05 AND "MAE" <= 0.08 AND "R2" >= 0.4, FALSE) AS passes FROM runs""", "predicted", more=RUNS))
+def _(t: Tables) -> DataFrame:
+    metric = F.col("metrics")
+    gate = registry.passes_gate(metric["MSE"], metric["MAE"], metric["R2"], 0.05, 0.08, 0.4)
+    return runs(t).select("run_id", gate.alias("passes"))
+
+
+@entry("m15_registrable_runs", sql("""SELECT run_id FROM runs WHERE "R2" > 0.3 AND "MSE" < 0.01""", "predicted", more=RUNS))
+def _(t: Tables) -> DataFrame:
+    return registry.registrable(runs(t)).select("run_id")
+
+
+@entry("m16_promote", sql(
+    """SELECT name, version, CASE WHEN best AND version = newest THEN 'Production' WHEN best AND stage = 'Production' THEN 'Archived'
+    ELSE stage END AS stage FROM (SELECT *, max(version) OVER w AS newest,
+     max(CASE WHEN stage = 'Production' THEN 1 END) OVER w IS NULL OR
+     max(CASE WHEN version = latest THEN coalesce("R2", '-inf'::DOUBLE) END) OVER w
+      > max(CASE WHEN stage = 'Production' THEN coalesce("R2", '-inf'::DOUBLE) END) OVER w AS best
+     FROM (SELECT *, max(version) OVER (PARTITION BY name) AS latest FROM versions) WINDOW w AS (PARTITION BY name))""",
+    "predicted", more=f"{RUNS}, {VERSIONS}"))
+def _(t: Tables) -> DataFrame:
+    listed = versions(t)
+    newest = listed.groupBy("name").agg(F.max("version").alias("candidate"))
+    return registry.promote(listed, runs(t), newest).select("name", "version", "stage")
+
+
+@entry("m17_roll_back", sql(
+    """SELECT name, version, CASE WHEN target IS NULL THEN stage WHEN version = target THEN 'Production'
+    WHEN stage = 'Production' THEN 'Archived' ELSE stage END AS stage
+    FROM (SELECT *, max(CASE WHEN stage = 'Production' THEN previous END) OVER (PARTITION BY name) AS target
+     FROM (SELECT *, lag(version) OVER (PARTITION BY name ORDER BY version) AS previous FROM versions))""",
+    "predicted", more=f"{RUNS}, {VERSIONS}"))
+def _(t: Tables) -> DataFrame:
+    return registry.roll_back(versions(t)).select("name", "version", "stage")
+
+
+@entry("m18_run_table", sql(f"""SELECT run_id, {rq('"R2"')} AS r2, {rq('"MSE"', 9)} AS mse FROM runs""", "predicted", more=RUNS))
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "runs")
+    registry.log_runs(runs(t).filter("run_id LIKE 'view%'"), path)
+    registry.log_runs(runs(t).filter("run_id NOT LIKE 'view%'"), path)
+    metric = F.col("metrics")
+    return t.spark.read.parquet(path).select("run_id", r(metric["R2"]).alias("r2"), r(metric["MSE"], 9).alias("mse"))
+
+
+@entry("m19_bias_plot_data", sql(f"SELECT zone, {rq('mae', 4)} AS mae FROM frame WHERE scope = 'group'", "predicted", more=FRAME))
+def _(t: Tables) -> DataFrame:
+    return frame(t).filter("scope = 'group'").orderBy("zone").select("zone", r("mae", 4).alias("mae"))
+
+
+@entry("m20_saved_model_metrics")
+def _(t: Tables) -> DataFrame:
+    folder = scratch_path(t.spark, "models")
+    split = splits.random_split(learning_table(t), "row_id").cache()
+    fitted = models.train(split.filter("split = 'train'"), "lr", FEATURES)
+    models.save_model(fitted, folder, "lr", "20240201_000000")
+    loaded = models.load_latest(t.spark, folder, "lr")
+    scored = loaded.transform(split.filter("split = 'test'"))
+    damp = scored.withColumn("damp", bias.high_low(F.col("humidity"), F.lit(0.5)))
+    return bias.metric_frame(damp, "value", models.PREDICTION, ["zone", "damp"])
+
+
+# ---- registry lookups -------------------------------------------------------------------
+
+@entry("t4_best_run", sql(
+    f"""SELECT run_id, {rq('"R2"')} AS score, name AS model_type FROM runs ORDER BY "R2" DESC NULLS LAST, run_id LIMIT 1""",
+    "predicted", more=RUNS))
+def _(t: Tables) -> DataFrame:
+    return registry.best_run(runs(t)).select("run_id", r("score").alias("score"), "model_type")
+
+
+@entry("t5_latest_archived", sql(
+    "SELECT name, max(version) AS version FROM versions WHERE stage = 'Archived' GROUP BY 1", "predicted", more=f"{RUNS}, {VERSIONS}"))
+def _(t: Tables) -> DataFrame:
+    return registry.latest_archived(versions(t)).select("name", "version")
+
+
+@entry("t6_current_production", sql(
+    "SELECT name, version, run_id FROM versions WHERE stage = 'Production'", "predicted", more=f"{RUNS}, {VERSIONS}"))
+def _(t: Tables) -> DataFrame:
+    return registry.current_production(versions(t))
+
+
+@entry("w17_previous_version", sql(
+    "SELECT name, version, lag(version) OVER (PARTITION BY name ORDER BY version) AS previous FROM versions",
+    "predicted", more=f"{RUNS}, {VERSIONS}"))
+def _(t: Tables) -> DataFrame:
+    return registry.with_previous(versions(t)).select("name", "version", "previous")
+
+
+# ---- end to end -------------------------------------------------------------------------
+
+DIGITS = 9
+
+
+def scaled(over: str):
+    """SQL of a scaled final column."""
+
+    def cell(column: str) -> str:
+        if column.startswith("month"):
+            return f"({column} + 1) / 2"
+        value = f'CAST("{column}" AS DOUBLE)'
+        return f"({value} - min({value}) OVER ({over})) / nullif(max({value}) OVER ({over}) - min({value}) OVER ({over}), 0)"
+
+    return cell
+
+
+def final_sql(over: str) -> str:
+    cells = []
+    for c in schemas.FINAL_COLUMNS:
+        if c in ("datetime", "zone", "subba-name"):
+            cells.append(f'"{c}"')
+        else:
+            cells.append(f"""{rq(scaled(over)(c), DIGITS)} AS "{c}\"""")
+    return ", ".join(cells)
+
+
+TEXT_TIME = ", ".join(stamp_q("datetime") if c == "datetime" else f'"{c}"' for c in schemas.FINAL_COLUMNS)
+
+
+def finished(df: DataFrame) -> DataFrame:
+    measures = [c for c in df.columns if c not in ("datetime", "zone", "subba-name", "subba-name_code")]
+    return timed(rounded(df, measures, DIGITS))
+
+
+@entry("e1_preprocess", sql(
+    f"SELECT {TEXT_TIME} FROM (SELECT {final_sql('PARTITION BY zone')} FROM featured)", "raw", more=FEATURED))
+def _(t: Tables) -> DataFrame:
+    return finished(jobs.preprocess(t.raw))
+
+
+@entry("e1_preprocess_global_encoded", sql(
+    f"""SELECT {TEXT_TIME}, code AS "subba-name_code" FROM (SELECT {final_sql('')},
+    dense_rank() OVER (ORDER BY "subba-name") - 1 AS code FROM featured)""", "raw", more=FEATURED))
+def _(t: Tables) -> DataFrame:
+    return finished(jobs.preprocess(t.raw, scope="global", encode=True))
+
+
+CHUNKED = f"""placed AS (SELECT *, row_number() OVER (ORDER BY datetime, zone) AS _at FROM raw),
+ chunked AS (SELECT *, (_at - 1) // greatest(1, (SELECT count(*) FROM raw) // 100) AS chunk FROM placed),
+ featured AS (SELECT *, {MONTH_SQL} FROM (SELECT *, {FEATURE_SQL}, row_number() OVER w AS _place FROM chunked
+  WINDOW w AS (PARTITION BY chunk ORDER BY _at), w6 AS (PARTITION BY chunk ORDER BY _at ROWS BETWEEN 5 PRECEDING AND CURRENT ROW))
+ WHERE _place > 6)"""
+
+
+@entry("s2_chunked_preprocess", sql(
+    f"SELECT {TEXT_TIME} FROM (SELECT {final_sql('PARTITION BY chunk')} FROM featured)", "raw", more=CHUNKED))
+def _(t: Tables) -> DataFrame:
+    return finished(jobs.preprocess_chunks(t.raw, rows_per_block=10))
+
+
+def part_sql(name: str, where: str) -> str:
+    """Features and scaling over a part of the raw table."""
+    featured = FEATURED.replace("featured AS", f"{name}_featured AS").replace("FROM raw)", f"FROM raw WHERE {where})")
+    return f"{featured}, {name} AS (SELECT {final_sql('PARTITION BY zone')} FROM {name}_featured)"
+
+
+NEWEST = "(SELECT max(datetime) FROM raw)"
+
+
+@entry("e2_daily_increment", sql(
+    f"""SELECT {TEXT_TIME} FROM (SELECT *, row_number() OVER (PARTITION BY zone, datetime ORDER BY src) AS rk
+    FROM (SELECT 0 AS src, * FROM history UNION ALL SELECT 1, * FROM batch)) WHERE rk = 1""", "raw",
+    more=part_sql("history", f"datetime < {NEWEST} - INTERVAL 3 DAY") + ", "
+    + part_sql("batch", f"datetime >= {NEWEST} - INTERVAL 7 DAY")))
+def _(t: Tables) -> DataFrame:
+    newest = t.raw.agg(F.max("datetime")).scalar()
+    history = jobs.preprocess(t.raw.filter(F.col("datetime") < newest - F.expr("INTERVAL 3 DAYS")))
+    batch = t.raw.filter(F.col("datetime") >= newest - F.expr("INTERVAL 7 DAYS"))
+    rules = [
+        quality.ColumnRule("zone", "string", False), quality.ColumnRule("datetime", "timestamp_ntz", False),
+        quality.ColumnRule("value", "double", True, 0.0, 1.0)]
+    outcome = jobs.daily_increment(history, batch, rules)
+    return finished(outcome.merged)
+
+
+@entry("e3_collect_dataset", sql(
+    f"""SELECT {RAW_LIST} FROM raw JOIN (SELECT zone AS z, CAST(datetime AS DATE) AS day FROM raw GROUP BY 1, 2 HAVING count(*) > 3) f
+    ON raw.zone = f.z AND CAST(raw.datetime AS DATE) = f.day""", "raw"))
+def _(t: Tables) -> DataFrame:
+    demand = parsed(demand_payload(t), schemas.DEMAND_PAYLOAD)
+    weather = parsed(weather_payload(t), schemas.WEATHER_PAYLOAD)
+    table = jobs.collect_dataset(demand, weather)
+    return timed(table.select(*[cname(f.name) for f in schemas.RAW_SCHEMA.fields]))
+
+
+@entry("e4_data_bias", sql(
+    f"""SELECT zone, count(*) AS rows, count(value) AS known, min(value) AS low, max(value) AS high FROM (
+    SELECT {filled_list(True, True)} FROM gridded WHERE zone IN (SELECT zone FROM flagged)
+    UNION ALL SELECT zone, datetime, "tempF", "windspeedMiles", humidity, value FROM patchy WHERE zone NOT IN (SELECT zone FROM flagged))
+    GROUP BY 1""", "patchy", more=f"{RATES}, {GRID.format('patchy')}"))
+def _(t: Tables) -> DataFrame:
+    _, _, mended = jobs.data_bias(t.patchy)
+    return mended.groupBy("zone").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("known"), F.min("value").alias("low"), F.max("value").alias("high"))
+
+
+@entry("e6_train_and_evaluate")
+def _(t: Tables) -> DataFrame:
+    _, metrics = jobs.train_and_evaluate(learning_table(t), "lr", "row_id", FEATURES)
+    return metrics
+
+
+@entry("e7_model_bias")
+def _(t: Tables) -> DataFrame:
+    run = jobs.model_bias(learning_table(t), "lr", "row_id", FEATURES)
+    return run.before.withColumn("run", F.lit("before")).unionByName(run.after.withColumn("run", F.lit("after")))
+
+
+@entry("e8_monitor")
+def _(t: Tables) -> DataFrame:
+    passed, after, _ = jobs.monitor(learning_table(t), versions(t), "lr", "row_id", FEATURES)
+    return after.withColumn("passed", F.lit(passed))
+
+
+@entry("e9_feature_importance")
+def _(t: Tables) -> DataFrame:
+    prepared = models.importance_input(learning_table(t)).cache()
+    return jobs.feature_importance(prepared, "row_id", [*FEATURES, "subba-name"], maxIter=3, maxDepth=3)
+
+
+TICKERS = sorted({c.split(":")[1] for _, _, companies in MARKET_REGIONS for c in companies})
+TICKER_SQL = "[" + ", ".join(f"'{x}'" for x in TICKERS) + f"][CAST(o_custkey % {len(TICKERS)} + 1 AS BIGINT)]"
+LISTED = f"""prices AS (SELECT {TICKER_SQL} AS ticker, CAST(o_orderdate AS DATE) AS date, max(o_totalprice) AS "Close", count(*) AS "Volume"
+ FROM orders GROUP BY 1, 2), {HISTORY},
+ {ITEMS.replace('CAST(o_custkey AS VARCHAR)', TICKER_SQL)}, {SHEET}"""
+SEGMENT_ZONES = {"AUTOMOBILE": "click", "BUILDING": "view", "FURNITURE": "purchase", "HOUSEHOLD": "signup", "MACHINERY": "error"}
+
+
+def listed_orders(t: Tables) -> DataFrame:
+    """Orders with one of the listed companies as their ticker."""
+    names = F.array(*[F.lit(x) for x in TICKERS])
+    return t.orders.withColumn("ticker", F.element_at(names, (F.col("o_custkey") % len(TICKERS) + 1).cast("int")))
+
+
+def listed_prices(t: Tables) -> DataFrame:
+    return listed_orders(t).groupBy("ticker", F.to_date("o_orderdate").alias("date")).agg(
+        F.max("o_totalprice").alias("Close"), F.count(F.lit(1)).alias("Volume"))
+
+
+def listed_items(t: Tables) -> DataFrame:
+    return listed_orders(t).groupBy(
+        "ticker", F.col("o_orderpriority").alias("item"),
+        F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1)).alias("period")).agg(F.max("o_totalprice").alias("value"))
+
+
+def located(t: Tables) -> DataFrame:
+    """Customers as locations: market region by distance, weather zone by segment."""
+    zone = F.create_map(*[F.lit(x) for pair in SEGMENT_ZONES.items() for x in pair])[F.col("c_mktsegment")]
+    near = regions.with_region(t.places)
+    return near.select(F.col("c_custkey").alias("location"), zone.alias("zone"), "region", "companies")
+
+
+ZONE_CASE = "CASE c_mktsegment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_ZONES.items()) + " END"
+SHOWN_WEATHER = ["humidity", "windspeedMiles"]
+
+
+@entry("j11_location_context", sql(
+    """SELECT c_custkey AS location, n.zone, n.region, array_to_string(companies, ', ') AS company_list, price_days, highest_close, sheet_items,
+    '"humidity": ' || w.humidity || ', "windspeedMiles": ' || w."windspeedMiles" AS weather, w.value AS predicted
+    FROM (SELECT *, """ + ZONE_CASE + """ AS zone FROM near) n LEFT JOIN newest w ON w.zone = n.zone
+    LEFT JOIN facts f ON f.region = n.region""", "hourly", "places",
+    more=f"""{NEAR}, {LISTED}, newest AS (SELECT zone, max_by(humidity, datetime) AS humidity,
+     max_by("windspeedMiles", datetime) AS "windspeedMiles", max_by(value, datetime) AS value FROM hourly GROUP BY 1),
+    member AS (SELECT region, split_part(unnest(companies), ':', 2) AS ticker FROM regions),
+    facts AS (SELECT region, CAST(coalesce(sum(price_days), 0) AS BIGINT) AS price_days, max(last_close) AS highest_close,
+     CAST(coalesce(sum(sheet_items), 0) AS BIGINT) AS sheet_items FROM member
+     LEFT JOIN (SELECT ticker, count(*) AS price_days, max_by("Close", "Date") AS last_close FROM history GROUP BY 1) USING (ticker)
+     LEFT JOIN (SELECT ticker, count(DISTINCT item) AS sheet_items FROM sheet GROUP BY 1) USING (ticker) GROUP BY 1)"""))
+def _(t: Tables) -> DataFrame:
+    weather = report.newest_weather_text(t.hourly.select("zone", "datetime", *SHOWN_WEATHER), ["zone"], shown=SHOWN_WEATHER)
+    latest = t.hourly.groupBy("zone").agg(F.max_by("value", "datetime").alias("predicted"))
+    return report.location_report(
+        located(t), weather, latest, report.price_history(listed_prices(t)), report.balance_sheet(listed_items(t)))
+
+
+@entry("e10_location_report")
+def _(t: Tables) -> DataFrame:
+    table = jobs.scale_and_select(jobs.feature_table(t.raw))
+    model = models.train(table.na.drop("any"), "lr", SERVED)
+    bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
+    return jobs.location_reports(located(t), t.raw, model, bounds, listed_prices(t), listed_items(t))
+
+
+@entry("e11_weekly_chain")
+def _(t: Tables) -> DataFrame:
+    done = jobs.weekly_chain(learning_table(t), "lr", "row_id", FEATURES)
+    _, metrics = done["training"]
+    return metrics.select("mse", "mae", "r2", "passes").withColumn("serve", F.lit(done["model_bias"].serve))

@@ -250,7 +250,7 @@ RANKS = "ranks(feature, pos) AS (VALUES " + ", ".join(f"('{c}', {i})" for i, c i
     more=f"""{PAIRS}, {RANKS}, to_target AS (SELECT feature_1 AS feature, correlation AS r FROM pairs WHERE feature_2 = 'value'
     UNION ALL SELECT 'value', 1.0)"""))
 def _(t: Tables) -> DataFrame:
-    found = stats.strong_pairs(stats.correlations(t.raw, RELATED), RELATED, "value")
+    found = stats.strong_pairs(t.raw, RELATED, "value")
     return rounded(found, ["correlation", "target_1", "target_2"]).select(
         "feature_1", "feature_2", "correlation", "target_1", "target_2", "keep")
 
