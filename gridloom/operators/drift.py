@@ -51,20 +51,22 @@ def long_samples(baseline: DataFrame, new: DataFrame, columns: Sequence[str]) ->
     return one_side(baseline, 0).unionByName(one_side(new, 1))
 
 
-def value_counts_by_side(long: DataFrame) -> DataFrame:
-    return long.groupBy("feature", "value").agg(
+def sample_counts(baseline: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, n_baseline, n_new): all the numeric tests below start from these counts."""
+    return long_samples(baseline, new, columns).groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).alias("n_baseline"),
         F.count_if(F.col("side") == 1).alias("n_new"),
     )
 
 
-def cumulative_shares(long: DataFrame) -> DataFrame:
+def cumulative_shares(counts: DataFrame) -> DataFrame:
     """Both empirical distribution functions at every distinct value of every feature."""
-    running = running_totals(
-        value_counts_by_side(long), ["feature"], "value", ["n_baseline", "n_new"]
-    )
+    running = running_totals(counts, ["feature"], "value", ["n_baseline", "n_new"])
+    weighted = F.col("value") * F.col("n_baseline")
     sizes = running.groupBy("feature").agg(
-        F.sum("n_baseline").alias("size_baseline"), F.sum("n_new").alias("size_new")
+        F.sum("n_baseline").alias("size_baseline"),
+        F.sum("n_new").alias("size_new"),
+        F.try_divide(F.sum(weighted), F.sum("n_baseline")).alias("mean_baseline"),
     )
     # One row per numeric column of the input table.
     return running.join(F.broadcast(sizes), "feature").withColumns(
@@ -75,6 +77,24 @@ def cumulative_shares(long: DataFrame) -> DataFrame:
     )
 
 
+def distances(counts: DataFrame) -> DataFrame:
+    """Per feature, from one pass over the shares: the largest gap between the distribution
+    functions, the area between them, the sample sizes and the baseline's deviation."""
+    shares = cumulative_shares(counts)
+    gap = F.abs(F.col("share_baseline") - F.col("share_new"))
+    width = F.col("next_value") - F.col("value")
+    off_mean = F.col("value") - F.col("mean_baseline")
+    return shares.groupBy("feature").agg(
+        F.max(gap).alias("gap"),
+        F.sum(gap * width).alias("area"),
+        F.max("size_baseline").alias("size_baseline"),
+        F.max("size_new").alias("size_new"),
+        F.sqrt(
+            F.try_divide(F.sum(off_mean * off_mean * F.col("n_baseline")), F.max("size_baseline"))
+        ).alias("spread"),
+    )
+
+
 def kolmogorov_p(statistic: Column, size_a: Column, size_b: Column) -> Column:
     """Asymptotic two-sided p-value; exact small-sample tables would differ a little."""
     scaled = statistic * F.sqrt(size_a * size_b / (size_a + size_b))
@@ -90,55 +110,78 @@ def kolmogorov_p(statistic: Column, size_a: Column, size_b: Column) -> Column:
     return F.when(scaled < 0.2, F.lit(1.0)).otherwise(bounded)
 
 
-def ks_test(long: DataFrame, threshold: float = 0.05) -> DataFrame:
-    """Per feature: statistic, p_value and drift = p below the threshold."""
-    shares = cumulative_shares(long)
-    found = shares.groupBy("feature").agg(
-        F.max(F.abs(F.col("share_baseline") - F.col("share_new"))).alias("statistic"),
-        F.max("size_baseline").alias("size_baseline"),
-        F.max("size_new").alias("size_new"),
-    )
+def ks_from(found: DataFrame, threshold: float = 0.05) -> DataFrame:
+    """``ks_test`` from the distances."""
     p_value = kolmogorov_p(
-        F.col("statistic"), F.col("size_baseline").cast("double"), F.col("size_new").cast("double")
+        F.col("gap"), F.col("size_baseline").cast("double"), F.col("size_new").cast("double")
+    )
+    return found.select(
+        "feature", F.col("gap").alias("statistic"), "size_baseline", "size_new",
+        p_value.alias("p_value"),
+    ).withColumn("drift", F.col("p_value") < threshold)
+
+
+def wasserstein_from(found: DataFrame, floor: float = 0.001) -> DataFrame:
+    """``wasserstein`` from the distances."""
+    return found.select(
+        "feature",
+        F.col("area").alias("distance"),
+        (F.col("area") / F.greatest(F.col("spread"), F.lit(floor))).alias("normalised"),
     )
-    return found.withColumn("p_value", p_value).withColumn("drift", F.col("p_value") < threshold)
 
 
-def histogram(long: DataFrame, bins: int = 10, edges: str = "own") -> DataFrame:
+def ks_test(counts: DataFrame, threshold: float = 0.05) -> DataFrame:
+    """Per feature: Kolmogorov-Smirnov statistic, p_value and drift = p below the threshold."""
+    return ks_from(distances(counts), threshold)
+
+
+def wasserstein(counts: DataFrame, floor: float = 0.001) -> DataFrame:
+    """Area between the two distribution functions, also over the baseline's deviation."""
+    return wasserstein_from(distances(counts), floor)
+
+
+def histogram(counts: DataFrame, bins: int = 10, edges: str = "own") -> DataFrame:
     """(feature, side, bin, n): equal-width bins, last bin closed.
 
     ``edges='own'`` bins each side between its own extremes (so a pure shift is invisible);
     ``edges='baseline'`` bins both sides between the baseline's, outer values in the end bins.
     A constant column is widened by 0.5 on both sides, which puts all rows in the middle bin.
     """
-    side = ["feature", "side"] if edges == "own" else ["feature"]
+    sides = F.array(
+        *[
+            F.struct(F.lit(side).alias("side"), F.col(name).alias("n"))
+            for side, name in ((0, "n_baseline"), (1, "n_new"))
+        ]
+    )
+    long = counts.select("feature", "value", F.inline(sides)).filter("n > 0")
+    by = ["feature", "side"] if edges == "own" else ["feature"]
     source = long if edges == "own" else long.filter("side = 0")
     # One row per numeric column and side.
-    limits = source.groupBy(*side).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+    limits = source.groupBy(*by).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
     flat = F.col("_low") == F.col("_high")
     limits = limits.select(
-        *side,
+        *by,
         F.when(flat, F.col("_low") - 0.5).otherwise(F.col("_low")).alias("_low"),
         F.when(flat, F.col("_high") + 0.5).otherwise(F.col("_high")).alias("_high"),
     )
     position = F.floor((F.col("value") - F.col("_low")) * bins / (F.col("_high") - F.col("_low")))
     place = F.least(F.lit(bins - 1), F.greatest(F.lit(0), position)).cast("int")
     return (
-        long.join(F.broadcast(limits), side)
+        long.join(F.broadcast(limits), by)
         .groupBy("feature", "side", place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
 
 
 def psi(
-    long: DataFrame,
+    counts: DataFrame,
     bins: int = 10,
     threshold: float = 0.2,
     epsilon: float = PSI_EPSILON,
     edges: str = "own",
 ) -> DataFrame:
     """Population stability index per feature; features empty on one side are left out."""
-    counted = histogram(long, bins, edges)
+    counted = histogram(counts, bins, edges)
     # At most features × 2 × bins rows from here on.
     wide = counted.groupBy("feature").agg(
         *[
@@ -161,25 +204,6 @@ def psi(
     )
 
 
-def wasserstein(long: DataFrame, floor: float = 0.001) -> DataFrame:
-    """Area between the two distribution functions over the baseline's deviation."""
-    shares = cumulative_shares(long)
-    width = F.col("next_value") - F.col("value")
-    n, v = F.col("n_baseline").cast("double"), F.col("value")
-    found = shares.groupBy("feature").agg(
-        F.sum(F.abs(F.col("share_baseline") - F.col("share_new")) * width).alias("distance"),
-        F.sum(n).alias("_n"),
-    )
-    spread = (
-        long.filter("side = 0").groupBy("feature").agg(F.stddev_pop("value").alias("_spread"))
-    )
-    return found.join(F.broadcast(spread), "feature").select(
-        "feature",
-        "distance",
-        (F.col("distance") / F.greatest(F.col("_spread"), F.lit(floor))).alias("normalised"),
-    )
-
-
 def category_counts(baseline: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, category, n_baseline, n_new) of text columns."""
 
@@ -249,6 +273,43 @@ def category_drift(counts: DataFrame) -> DataFrame:
     )
 
 
+def report_from(
+    found: DataFrame,
+    categories: DataFrame | None,
+    small: bool,
+    p_threshold: float = 0.05,
+    distance_threshold: float = 0.1,
+) -> DataFrame:
+    """The drift report from numeric distances and category drift.
+
+    ``small`` samples are judged by p-values, others by distances.
+    """
+    if small:
+        numeric = ks_from(found).select("feature", F.lit("ks_p_value").alias("test"),
+                                        F.col("p_value").alias("drift_score"))
+        flag = F.col("drift_score") < p_threshold
+    else:
+        numeric = wasserstein_from(found).select(
+            "feature", F.lit("wasserstein_normalised").alias("test"),
+            F.col("normalised").alias("drift_score"))
+        flag = F.col("drift_score") > distance_threshold
+    scored = numeric
+    if categories is not None and small:
+        scored = numeric.unionByName(categories.select(
+            "feature", F.lit("chi_square_p_value").alias("test"),
+            chi2_tail_column("chi2", "freedom").alias("drift_score")))
+    elif categories is not None:
+        scored = numeric.unionByName(categories.select(
+            "feature", F.lit("jensen_shannon").alias("test"),
+            F.col("js_distance").alias("drift_score")))
+    return scored.withColumn("drift_detected", flag)
+
+
+def is_small(baseline: DataFrame, small_rows: int = 1000) -> bool:
+    """Whether the baseline has at most ``small_rows`` rows; reads no more than that."""
+    return baseline.limit(small_rows + 1).count() <= small_rows
+
+
 def drift_report(
     baseline: DataFrame,
     new: DataFrame,
@@ -261,40 +322,13 @@ def drift_report(
     """One row per column: test name, drift score, drift flag.
 
     Up to ``small_rows`` baseline rows p-values decide (Kolmogorov-Smirnov, chi-square); above
-    that distances do (normalised Wasserstein, Jensen-Shannon). The rule is chosen from a count
-    of the baseline.
+    that distances do (normalised Wasserstein, Jensen-Shannon).
     """
-    small = baseline.limit(small_rows + 1).count() <= small_rows
-    long = long_samples(baseline, new, numeric)
-    if small:
-        scored = ks_test(long).select(
-            "feature", F.lit("ks_p_value").alias("test"), F.col("p_value").alias("drift_score")
-        )
-    else:
-        scored = wasserstein(long).select(
-            "feature",
-            F.lit("wasserstein_normalised").alias("test"),
-            F.col("normalised").alias("drift_score"),
-        )
-    if text:
-        found = category_drift(category_counts(baseline, new, text))
-        if small:
-            found = found.select(
-                "feature",
-                F.lit("chi_square_p_value").alias("test"),
-                chi2_tail_column("chi2", "freedom").alias("drift_score"),
-            )
-        else:
-            found = found.select(
-                "feature",
-                F.lit("jensen_shannon").alias("test"),
-                F.col("js_distance").alias("drift_score"),
-            )
-        scored = scored.unionByName(found)
-    flag = (
-        F.col("drift_score") < p_threshold if small else F.col("drift_score") > distance_threshold
+    categories = category_drift(category_counts(baseline, new, text)) if text else None
+    return report_from(
+        distances(sample_counts(baseline, new, numeric)), categories,
+        is_small(baseline, small_rows), p_threshold, distance_threshold,
     )
-    return scored.withColumn("drift_detected", flag)
 
 
 def dataset_drift(report: DataFrame, share: float = 0.5) -> DataFrame:

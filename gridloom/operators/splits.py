@@ -16,6 +16,7 @@ from gridloom.operators.ordered import (
     block_positions,
     cname,
     cut_points,
+    global_position,
     hash_block,
     seeded_order,
     time_block,
@@ -73,16 +74,21 @@ def random_split(df: DataFrame, key: str, test: float = 0.2, seed: int = 42) ->
 
 
 def contiguous_folds(
-    df: DataFrame, folds: int, order: Sequence[str], block: Column, name: str = "fold"
+    df: DataFrame, folds: int, order: Sequence[str], name: str = "fold"
 ) -> DataFrame:
-    """Fold 0…k-1 as contiguous blocks of the order; the first n mod k folds have one row more."""
-    by = F.struct(*map(cname, order))
-
-    def ends(n: Column) -> list[Column]:
-        base, extra = F.floor(n / folds), n % folds
-        return [base * (i + 1) + F.least(extra, F.lit(i + 1)) for i in range(folds - 1)]
+    """Fold 0…k-1 as contiguous blocks of the order; the first n mod k folds have one row more.
 
-    cuts = cut_points(df, [], block, by, ends)
+    Only the order columns are range-sorted; the k-1 rows that end a fold become one struct that
+    all rows are compared with.
+    """
+    by = F.struct(*map(cname, order))
+    placed = global_position(df.select(*map(cname, order)), order, "_at")
+    total = placed.agg(F.max("_at")).scalar()
+    base, extra = F.floor(total / folds), total % folds
+    ends = [base * (i + 1) + F.least(extra, F.lit(i + 1)) for i in range(folds - 1)]
+    cuts = placed.agg(
+        *[F.max(F.when(F.col("_at") == end, by)).alias(f"cut_{i}") for i, end in enumerate(ends)]
+    )
     return below_cuts(df, [], by, cuts, folds - 1, name)
 
 

@@ -272,8 +272,8 @@ def samples(t: Tables) -> tuple[DataFrame, DataFrame]:
 WATCHED = ["cents", "k", "user_id"]
 
 
-def long_of(t: Tables) -> DataFrame:
-    return drift.long_samples(*samples(t), WATCHED)
+def counts_of(t: Tables) -> DataFrame:
+    return drift.sample_counts(*samples(t), WATCHED)
 
 
 def histogram_sql(edges: str) -> str:
@@ -287,7 +287,7 @@ def histogram_sql(edges: str) -> str:
 
 @entry("a22_histogram", sql("SELECT feature, side, bin, n FROM binned", "readings", more=f"{LONG}, {histogram_sql('own')}"))
 def _(t: Tables) -> DataFrame:
-    return drift.histogram(long_of(t))
+    return drift.histogram(counts_of(t))
 
 
 @entry("a23_largest_slice", "SELECT max(n) AS rows FROM (SELECT count(*) AS n FROM events GROUP BY user_id)")
@@ -398,7 +398,7 @@ KS = """ks AS (SELECT feature, max(abs(f0 - f1)) AS d, max(s0) AS s0, max(s1) AS
     f"""SELECT feature, {rq('d')} AS statistic, {rq('p')} AS p_value, p < 0.05 AS drift FROM tested""",
     "readings", more=f"{LONG}, {SHARES}, {KS}"))
 def _(t: Tables) -> DataFrame:
-    tested = drift.ks_test(long_of(t)).select("feature", "statistic", "p_value", "drift")
+    tested = drift.ks_test(counts_of(t)).select("feature", "statistic", "p_value", "drift")
     return rounded(tested, ["statistic", "p_value"])
 
 
@@ -414,12 +414,12 @@ def psi_sql(edges: str) -> str:
 
 @entry("q6_psi_own_edges", psi_sql("own"))
 def _(t: Tables) -> DataFrame:
-    return rounded(drift.psi(long_of(t)), ["psi"])
+    return rounded(drift.psi(counts_of(t)), ["psi"])
 
 
 @entry("q6_psi_baseline_edges", psi_sql("baseline"))
 def _(t: Tables) -> DataFrame:
-    return rounded(drift.psi(long_of(t), edges="baseline"), ["psi"])
+    return rounded(drift.psi(counts_of(t), edges="baseline"), ["psi"])
 
 
 AREA = """area AS (SELECT feature, sum(abs(f0 - f1) * (next_v - v)) AS distance FROM shares GROUP BY 1),
@@ -466,7 +466,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT feature, {rq('distance', 4)} AS distance, {rq('normalised')} AS normalised FROM moved",
     "readings", more=f"{LONG}, {SHARES}, {AREA}"))
 def _(t: Tables) -> DataFrame:
-    found = drift.wasserstein(long_of(t))
+    found = drift.wasserstein(counts_of(t))
     return found.select("feature", r("distance", 4).alias("distance"), r("normalised").alias("normalised"))
 
 

@@ -12,6 +12,7 @@ from gridloom.operators.ordered import cname, global_position
 from gridloom.plans.catalog.base import (
     Tables, entry, r, rounded, rq, sql, stamp, stamp_q, timed,
 )
+from gridloom.session import scratch_path
 from gridloom.sources import landed
 from gridloom.sources.dimensions import MARKET_REGIONS
 
@@ -549,12 +550,10 @@ def _(t: Tables) -> DataFrame:
 
 @entry("u2_concat_zones", f"SELECT event_id, event_type AS zone, {stamp_q('ts', 'ts')}, value FROM events")
 def _(t: Tables) -> DataFrame:
-    kinds = ["click", "error", "purchase", "signup", "view"]
-    parts = [t.events.filter(F.col("event_type") == k).withColumn("zone", F.lit(k)) for k in kinds]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole.select("event_id", "zone", stamp("ts", "ts"), "value")
+    folder = scratch_path(t.spark, "zones")
+    zoned = t.events.select("event_id", F.col("event_type").alias("zone"), "ts", "value")
+    zoned.write.partitionBy("zone").parquet(folder)
+    return timed(t.spark.read.parquet(folder), "ts")
 
 
 @entry("u3_distinct_rows", "SELECT DISTINCT user_id, event_type, CAST(floor(value) AS BIGINT) AS level FROM events")

@@ -317,8 +317,7 @@ def _(t: Tables) -> DataFrame:
  ELSE extra + (rn - 1 - extra * (base + 1)) // base END AS BIGINT) AS fold FROM (SELECT event_id,
  row_number() OVER (ORDER BY ts, event_id) AS rn, count(*) OVER () // 5 AS base, count(*) OVER () % 5 AS extra FROM events)""")
 def _(t: Tables) -> DataFrame:
-    block = F.date_trunc("hour", "ts")
-    folded = splits.contiguous_folds(t.events.select("event_id", "ts"), 5, ["ts", "event_id"], block)
+    folded = splits.contiguous_folds(t.events.select("event_id", "ts"), 5, ["ts", "event_id"])
     return folded.select("event_id", F.col("fold").cast("bigint"))
 
 

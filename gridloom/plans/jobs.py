@@ -134,20 +134,26 @@ def data_bias(df: DataFrame, target: str = "value", group: str = "zone") -> tupl
 
 def drift_job(
     df: DataFrame, start: Column | None = None, columns: Sequence[str] | None = None,
-    order: str = "datetime",
+    order: str = "datetime", text: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Split at a time and run all drift tests; the long samples are materialised once."""
+    """Split at a time and run all drift tests.
+
+    The samples are read once, into counts per distinct value; the distances that the report and
+    the Kolmogorov-Smirnov test share are computed once.
+    """
     baseline, new = drift.split_at_time(df, order, start)
     present, missing = drift.common_columns(baseline, new, columns)
-    long = checkpointed(drift.long_samples(baseline, new, present))
-    spark = df.sparkSession
+    counts = checkpointed(drift.sample_counts(baseline, new, present))
+    found = checkpointed(drift.distances(counts))
+    categories = drift.category_drift(drift.category_counts(baseline, new, text)) if text else None
     return {
-        "report": drift.drift_report(baseline, new, present),
-        "ks": drift.ks_test(long),
-        "psi": drift.psi(long),
-        "missing": spark.createDataFrame([(c,) for c in missing], "column string"),
+        "report": drift.report_from(found, categories, drift.is_small(baseline)),
+        "ks": drift.ks_from(found),
+        "psi": drift.psi(counts),
+        "missing": df.sparkSession.createDataFrame([(c,) for c in missing], "column string"),
     }
 
+
 def train_and_evaluate(
     table: DataFrame, kind: str, key: str, features: Sequence[str], strata: Sequence[str] = ("subba-name",),
     **params,
