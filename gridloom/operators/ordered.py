@@ -264,14 +264,16 @@ def expand_rows(df: DataFrame, times: Column, name: str, per_block: int = 1000)
     """Repeat each row ``times`` times, numbered 0…times-1.
 
     Two steps with a shuffle on (row, block) between them, so that one row with a huge count is
-    spread over the cluster instead of being unrolled in one task.
+    spread over the cluster instead of being unrolled in one task. The partition number is
+    given, because adaptive execution would merge the few small rows that stand for many.
     """
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last_block = F.floor((F.col("_times") - 1) / per_block).cast("bigint")
     blocks = (
         df.withColumn("_times", times.cast("bigint"))
         .filter(F.col("_times") > 0)
         .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-        .repartition(*map(cname, df.columns), F.col("_part"))
+        .repartition(spread, *map(cname, df.columns), F.col("_part"))
     )
     first = F.col("_part") * per_block
     last = F.least(first + (per_block - 1), F.col("_times") - 1)
