@@ -134,7 +134,8 @@ def column_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
 def _(t: Tables) -> DataFrame:
     featured = jobs.feature_table(t.raw)
     table = jobs.scale_and_select(featured)
-    model = models.train(table.na.drop("any"), "lr", SERVED)
+    # A column that is constant in a zone has no scaled value; only the served ones must be there.
+    model = models.train(table.na.drop("any", subset=[*SERVED, "value"]), "lr", SERVED)
     bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
     return models.score_newest(t.raw, model, bounds)
 
@@ -446,7 +447,8 @@ def _(t: Tables) -> DataFrame:
 @entry("e10_location_report")
 def _(t: Tables) -> DataFrame:
     table = jobs.scale_and_select(jobs.feature_table(t.raw))
-    model = models.train(table.na.drop("any"), "lr", SERVED)
+    # A column that is constant in a zone has no scaled value; only the served ones must be there.
+    model = models.train(table.na.drop("any", subset=[*SERVED, "value"]), "lr", SERVED)
     bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
     return jobs.location_reports(located(t), t.raw, model, bounds, listed_prices(t), listed_items(t))
 

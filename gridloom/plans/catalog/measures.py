@@ -498,6 +498,7 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     old, new = samples(t)
     found = jobs.drift_job(
-        old.unionByName(new).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts")
+        old.unionByName(new).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts",
+        small_rows=0)
     both = found["ks"].join(found["report"], "feature")
     return both.select("feature", *[r(c).alias(c) for c in ("statistic", "p_value", "drift_score")])

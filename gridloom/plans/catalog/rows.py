@@ -61,8 +61,8 @@ def _(t: Tables) -> DataFrame:
 
 
 FEATURE_SQL = ",\n ".join(
-    [f'CASE WHEN count("{c}") OVER w6 = 6 THEN avg("{c}") OVER w6 END AS "{c}_rolling_mean"' for c in schemas.ROLLED]
-    + [f'CASE WHEN count("{c}") OVER w6 = 6 THEN stddev_samp("{c}") OVER w6 END AS "{c}_rolling_std"' for c in schemas.ROLLED]
+    [f'CASE WHEN count("{c}") OVER w6 = 6 THEN round(avg("{c}") OVER w6, 10) END AS "{c}_rolling_mean"' for c in schemas.ROLLED]
+    + [f'CASE WHEN count("{c}") OVER w6 = 6 THEN round(stddev_samp("{c}") OVER w6, 10) END AS "{c}_rolling_std"' for c in schemas.ROLLED]
     + [f'lag("{c}", {n}) OVER w AS "{c}_lag_{n}"' for n in schemas.LAGS for c in schemas.ROLLED]
 )
 MONTH_SQL = "round(sin(2 * pi() * month(datetime) / 12), 6) AS month_sin, " \
