@@ -36,7 +36,6 @@ class Tables:
     @property
     def keyed(self) -> DataFrame:
         """The raw hourly table plus ``row_id``, an integer row key."""
-        measures = {name: F.expr(text.format(div="div")) for name, text in MEASURES.items()}
         return self.readings.groupBy(
             F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("datetime"),
             F.col("event_type").alias("zone"),
@@ -44,10 +43,7 @@ class Tables:
             F.min("event_id").alias("row_id"),
             F.concat(F.first("event_type"), F.lit(" - Area")).alias("subba-name"),
             F.lit("megawatthours").alias("value-units"),
-            *[
-                m.cast("double" if n in schemas.WEATHER_DOUBLES else "bigint").alias(n)
-                for n, m in measures.items()
-            ],
+            *[F.expr(_typed(name, text, "div", "`")) for name, text in MEASURES.items()],
         )
 
     @property
@@ -124,9 +120,9 @@ PATCHES = {
 }
 
 
-def _typed(name: str, text: str) -> str:
+def _typed(name: str, text: str, div: str = "//", quote: str = '"') -> str:
     kind = "DOUBLE" if name in schemas.WEATHER_DOUBLES else "BIGINT"
-    return f'CAST({text.format(div="//")} AS {kind}) AS "{name}"'
+    return f"CAST({text.format(div=div)} AS {kind}) AS {quote}{name}{quote}"
 
 
 CTES = {
