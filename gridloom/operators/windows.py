@@ -167,13 +167,15 @@ def last_rows(
     count: int = schemas.WINDOW_ROWS + 1,
     keys: Sequence[str] = ("zone",),
     order: Sequence[str] = ("datetime",),
+    oldest: bool = False,
 ) -> DataFrame:
-    """The newest ``count`` rows of each group.
+    """The newest (or oldest) ``count`` rows of each group.
 
     Spark keeps at most ``count`` rows per group and task before the shuffle, so a large group
     never travels whole.
     """
-    newest = Window.partitionBy(*map(cname, keys)).orderBy(*[cname(c).desc() for c in order])
-    return df.withColumn("_rank", F.row_number().over(newest)).filter(
+    columns = [cname(c).asc() if oldest else cname(c).desc() for c in order]
+    ranked = Window.partitionBy(*map(cname, keys)).orderBy(*columns)
+    return df.withColumn("_rank", F.row_number().over(ranked)).filter(
         F.col("_rank") <= count
     ).drop("_rank")

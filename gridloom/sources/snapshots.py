@@ -18,7 +18,8 @@ def _manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}/_manifest"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on whatever file system it names."""
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
@@ -32,7 +33,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """Published versions, one small row each."""
-    if not _exists(spark, _manifest_path(path)):
+    if not exists(spark, _manifest_path(path)):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
     return spark.read.schema(MANIFEST_SCHEMA).json(_manifest_path(path))
 

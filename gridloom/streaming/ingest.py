@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gridloom.operators import cleaning, combine, quality
+from gridloom import schemas
+from gridloom.operators import cleaning, combine, quality, windows
 from gridloom.operators.ordered import cname
 from gridloom.session import checkpointed
 from gridloom.sources import snapshots
@@ -32,6 +33,16 @@ def partition_months(df: DataFrame, order: str = "datetime") -> DataFrame:
     return df.withColumn("month", F.date_format(cname(order), "yyyy-MM"))
 
 
+def overwrite_months(df: DataFrame, table: str) -> None:
+    """Replace exactly the months that ``df`` holds."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(table)
+    )
+
+
 def merge_batch(
     batch: DataFrame, table: str, keys: Sequence[str], order: str = "datetime"
 ) -> None:
@@ -44,7 +55,7 @@ def merge_batch(
     if batch.isEmpty():
         return
     new = partition_months(batch, order)
-    if snapshots._exists(spark, table):
+    if snapshots.exists(spark, table):
         stored = spark.read.parquet(table)
         touched = stored.join(new.select("month").distinct(), "month", "left_semi")
         merged = combine.merge_history(touched.select(*map(cname, new.columns)), new, keys)
@@ -54,12 +65,61 @@ def merge_batch(
         ]))
     # The result replaces folders it was read from, so it is cut off from them first.
     staged = checkpointed(merged)
-    (
-        staged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(table)
+    overwrite_months(staged, table)
+
+
+def rows_around(
+    stored: DataFrame, batch: DataFrame, keys: Sequence[str], order: str, reach: int
+) -> DataFrame:
+    """Stored rows of each group inside the batch's time span, and ``reach`` rows on both sides.
+
+    The rows before are looked up in the months next to the batch; only groups that have too
+    few there are looked up in all older months.
+    """
+    spans = batch.groupBy(*map(cname, keys)).agg(
+        F.min(cname(order)).alias("_first"), F.max(cname(order)).alias("_last")
+    )
+    start = spans.agg(F.add_months(F.min("_first"), -1)).first()[0]
+    recent_month = F.col("month") >= F.date_format(F.lit(start), "yyyy-MM")
+    recent = stored.filter(recent_month).join(spans, list(keys))
+    inside = recent.filter(cname(order).between(F.col("_first"), F.col("_last")))
+    after = windows.last_rows(
+        recent.filter(cname(order) > F.col("_last")), reach, keys, [order], oldest=True
+    )
+    before = windows.last_rows(
+        recent.filter(cname(order) < F.col("_first")), reach, keys, [order]
     )
+    found = before.groupBy(*map(cname, keys)).agg(F.count(F.lit(1)).alias("_n"))
+    lacking = spans.join(found, list(keys), "left").filter(F.coalesce("_n", F.lit(0)) < reach)
+    older = stored.filter(~recent_month).join(lacking.drop("_n"), list(keys))
+    before = windows.last_rows(
+        before.unionByName(windows.last_rows(older, reach, keys, [order])), reach, keys, [order]
+    )
+    return before.unionByName(inside).unionByName(after).select(*map(cname, stored.columns))
+
+
+def refresh_features(
+    batch: DataFrame, table: str, features: str, keys: Sequence[str] = ("zone",),
+    order: str = "datetime",
+) -> None:
+    """Bring the feature table up to date after ``batch`` was merged into ``table``.
+
+    A new row changes its own features and those of the next rows its window reaches; these are
+    computed from the rows around the batch and replace the stored ones, month by month.
+    """
+    spark = batch.sparkSession
+    if batch.isEmpty():
+        return
+    reach = max(schemas.WINDOW_ROWS - 1, *schemas.LAGS)
+    near = rows_around(spark.read.parquet(table), batch, keys, order, reach)
+    fresh = checkpointed(windows.cyclic_month(windows.engineer_features(near, keys, order)))
+    result = fresh
+    if snapshots.exists(spark, features):
+        stored = spark.read.parquet(features)
+        touched = stored.join(fresh.select("month").distinct(), "month", "left_semi")
+        kept = touched.join(fresh.select(*map(cname, keys), cname(order)), [*keys, order], "left_anti")
+        result = checkpointed(fresh.unionByName(kept))
+    overwrite_months(result, features)
 
 
 def ingest(
@@ -70,9 +130,11 @@ def ingest(
     quarantine: str | None = None,
     keys: Sequence[str] = ("zone", "datetime"),
     shape: Callable[[DataFrame], DataFrame] = cleaning.clean,
+    features: str | None = None,
 ) -> StreamingQuery:
     """Process everything that has landed, then stop: clean, validate, merge by key.
 
+    With ``features`` the window features of the touched rows are kept in a second table.
     ``progress`` is the stream's checkpoint folder. A batch that breaks the rules goes to
     ``quarantine`` whole and the stream goes on.
     """
@@ -85,6 +147,8 @@ def ingest(
                 ready.write.mode("overwrite").parquet(aside)
             return
         merge_batch(ready, table, keys)
+        if features:
+            refresh_features(ready, table, features)
 
     return (
         stream.writeStream.foreachBatch(handle)

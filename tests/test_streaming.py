@@ -1,11 +1,13 @@
 """Incremental ingest equals the batch result; replays are harmless."""
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from gridloom.operators import combine
+from gridloom.operators import combine, windows
 from gridloom.operators.quality import ColumnRule
 from gridloom.streaming import ingest
-from tests.helpers import as_set, hour
+from tests.helpers import as_set, hour, series
 
 LAYOUT = "zone string, datetime timestamp_ntz, value double"
 FIRST = [("a", hour(i), float(i)) for i in range(1000)] + [("b", hour(i), 1.0) for i in range(50)]
@@ -69,3 +71,30 @@ def test_overlap_is_dropped_by_key(spark, folders):
     (ingest.dedupe_overlap(stream).writeStream.format("parquet").option("path", table)
      .option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination())
     assert spark.read.parquet(table).count() == len(FIRST)
+
+
+def test_features_follow_late_and_out_of_order_batches(spark, folders, tmp_path):
+    whole = series(spark, {"hot": 1200, "b": 200, "late": 20}, gap=0.3)
+    whole = whole.withColumn("n", F.row_number().over(Window.partitionBy("zone").orderBy("datetime")))
+    part = F.when(F.col("n") % 7 == 3, 2).when(F.col("n") > 600, 1).otherwise(0)
+    parts = whole.withColumn("part", F.when(F.col("zone") == "late", 2).otherwise(part)).drop("n").cache()
+    features = str(tmp_path / "features")
+    for i in (1, 0, 2):
+        batch = parts.filter(F.col("part") == i).drop("part")
+        batch.coalesce(1).write.mode("append").parquet(folders[0])
+        run(spark, folders, batch.schema, features=features)
+    expected = windows.cyclic_month(windows.engineer_features(parts.drop("part"), unit=None))
+    found = spark.read.parquet(features)
+    assert as_set(found.select(*expected.columns)) == as_set(expected)
+
+
+def test_history_is_searched_when_recent_months_have_too_few_rows(spark, folders, tmp_path):
+    features = str(tmp_path / "features")
+    layout = "zone string, datetime timestamp_ntz, tempF double, windspeedMiles double, humidity double, value double"
+    old = spark.createDataFrame([("a", hour(i), float(i), 1.0, 2.0, 3.0) for i in range(10)], layout)
+    new = spark.createDataFrame([("a", hour(24 * 200 + i), 50.0 + i, 1.0, 2.0, 3.0) for i in range(2)], layout)
+    for batch in (old, new):
+        ingest.merge_batch(batch, folders[1], ["zone", "datetime"])
+        ingest.refresh_features(batch, folders[1], features)
+    expected = windows.cyclic_month(windows.engineer_features(old.unionByName(new), unit=None))
+    assert as_set(spark.read.parquet(features).select(*expected.columns)) == as_set(expected)
