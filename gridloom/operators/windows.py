@@ -103,9 +103,12 @@ def fill_gaps(
     The last (first) value known in each block travels over a table with one row per block;
     inside a block the fill is an ordinary window.
     """
-    block = Window.partitionBy(*map(cname, keys), F.col("_block")).orderBy(cname(order))
-    back = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = block.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Both directions run from the frame's start: a frame that ends at "unbounded following"
+    # would be evaluated again for every row.
+    block = Window.partitionBy(*map(cname, keys), F.col("_block"))
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    back = block.orderBy(cname(order)).rowsBetween(*upto)
+    ahead = block.orderBy(cname(order).desc()).rowsBetween(*upto)
     blocked = df.withColumn("_block", time_block(order, unit))
 
     known = blocked.groupBy(*map(cname, keys), F.col("_block")).agg(
@@ -116,13 +119,15 @@ def fill_gaps(
     )
     series = Window.partitionBy(*map(cname, keys)).orderBy("_block")
     earlier = series.rowsBetween(Window.unboundedPreceding, -1)
-    later = series.rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*map(cname, keys)).orderBy(F.desc("_block")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
     carried = known.select(
         *map(cname, keys),
         "_block",
         *[F.last(cname(f"_last_{c}"), ignorenulls=True).over(earlier).alias(f"_from_{c}")
           for c in columns],
-        *[F.first(cname(f"_first_{c}"), ignorenulls=True).over(later).alias(f"_to_{c}")
+        *[F.last(cname(f"_first_{c}"), ignorenulls=True).over(later).alias(f"_to_{c}")
           for c in columns],
     )
     joined = join_on_keys(blocked, carried, [*keys, "_block"], "inner")
@@ -132,7 +137,7 @@ def fill_gaps(
         if forward:
             steps += [F.last(cname(c), ignorenulls=True).over(back), cname(f"_from_{c}")]
         if backward:
-            steps += [F.first(cname(c), ignorenulls=True).over(ahead), cname(f"_to_{c}")]
+            steps += [F.last(cname(c), ignorenulls=True).over(ahead), cname(f"_to_{c}")]
         filled[c] = F.coalesce(*steps).alias(c)
     return joined.select(*[filled.get(c, cname(c)) for c in df.columns])
 

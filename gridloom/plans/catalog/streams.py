@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from gridloom.operators.quality import ColumnRule
-from gridloom.plans.catalog.base import Tables, entry, sql, stamp_q, timed
+from gridloom.plans.catalog.base import Tables, entry, rounded, rq, sql, stamp_q, timed
+from gridloom.plans.catalog.rows import FEATURE_SQL
+from gridloom.plans.catalog.series import FEATURE_NAMES
 from gridloom.session import scratch_path
 from gridloom.streaming import ingest
 
@@ -39,3 +41,14 @@ def _(t: Tables) -> DataFrame:
         .trigger(availableNow=True).start().awaitTermination()
     )
     return timed(t.spark.read.parquet(table).select(*t.hourly.columns))
+
+
+@entry("st1_incremental_features", sql(
+    f"SELECT zone, {stamp_q('datetime')}, " + ", ".join(f"""{rq(f'"{c}"')} AS "{c}\"""" for c in FEATURE_NAMES)
+    + f""" FROM (SELECT *, {FEATURE_SQL}, row_number() OVER w AS _place FROM hourly WINDOW w AS (PARTITION BY zone ORDER BY datetime),
+    w6 AS (PARTITION BY zone ORDER BY datetime ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)) WHERE _place > 6""", "hourly"))
+def _(t: Tables) -> DataFrame:
+    stream = ingest.landed_stream(t.spark, landed(t), t.hourly.schema)
+    table, features = scratch_path(t.spark, "table"), scratch_path(t.spark, "features")
+    ingest.ingest(stream, table, scratch_path(t.spark, "progress"), features=features).awaitTermination()
+    return timed(rounded(t.spark.read.parquet(features).select("zone", "datetime", *FEATURE_NAMES), FEATURE_NAMES))

@@ -27,6 +27,7 @@ from gridloom.operators import (
 from gridloom.operators.ordered import global_position
 from gridloom.session import checkpointed
 from gridloom.sources import landed, snapshots
+from gridloom.streaming import ingest
 
 def feature_table(
     raw: DataFrame, keys: Sequence[str] = ("zone",), unit: str | None = "month"
@@ -113,13 +114,22 @@ def daily_increment(
     store: str | None = None,
     quarantine: str | None = None,
     keys: Sequence[str] = ("zone", "datetime"),
+    table: str | None = None,
 ) -> Increment:
-    """Preprocess new rows, validate against the history's schema, merge or set aside, publish."""
+    """Preprocess new rows, validate against the history's schema, merge or set aside, publish.
+
+    ``store`` gets the merged table as a new version. ``table`` names a month-partitioned table
+    that holds the history: then only the months of the new rows are read and rewritten.
+    """
     processed = checkpointed(preprocess(new_raw))
     rules = rules if rules is not None else quality.infer_rules(history)
     if not quality.gate(processed, rules, quarantine):
         return Increment(False, None, None)
-    merged = combine.merge_history(history, processed, keys)
+    if table:
+        ingest.merge_batch(processed, table, keys)
+        merged = history.sparkSession.read.parquet(table).drop("month")
+    else:
+        merged = combine.merge_history(history, processed, keys)
     version = snapshots.publish(merged, store, "preprocessed") if store else None
     return Increment(True, version, merged)
 

@@ -104,6 +104,17 @@ def test_daily_increment_merges_or_rejects(spark):
     assert spark.read.parquet(aside).count() > 0
 
 
+def test_daily_increment_into_a_month_table(spark):
+    from gridloom.streaming.ingest import overwrite_months, partition_months
+
+    table = scratch_path(spark, "table")
+    history = jobs.preprocess(raw_rows(spark, range(0, 100))).cache()
+    overwrite_months(partition_months(history), table)
+    found = jobs.daily_increment(history, raw_rows(spark, range(80, 130)), table=table)
+    whole = jobs.daily_increment(history, raw_rows(spark, range(80, 130)))
+    assert sorted(map(str, found.merged.select(*whole.merged.columns).collect())) == sorted(map(str, whole.merged.collect()))
+
+
 def test_preprocess_keeps_32_columns_and_bounds(spark):
     found = jobs.preprocess(raw_rows(spark, range(60)))
     assert len(found.columns) == 32
