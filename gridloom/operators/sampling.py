@@ -34,33 +34,41 @@ def draws(sizes: DataFrame, wanted: Column, seed: int) -> DataFrame:
     ).drop("_wanted", "n")
 
 
+def group_sizes(df: DataFrame, group: str) -> DataFrame:
+    return df.groupBy(cname(group)).agg(F.count(F.lit(1)).alias("n"))
+
+
 def sample_with_replacement(
-    placed: DataFrame, keys: Sequence[str], position: str, wanted: Column, seed: int = 42
+    placed: DataFrame, sizes: DataFrame, group: str, position: str, wanted: Column, seed: int = 42
 ) -> DataFrame:
     """``wanted`` rows of each group, drawn with replacement from numbered rows.
 
-    Draws join rows on (group, row number): one hash join on an even key.
+    ``sizes`` holds the row count ``n`` of each group. Draws join rows on (group, row number): one
+    hash join on an even key.
     """
-    sizes = placed.groupBy(*map(cname, keys)).agg(F.count(F.lit(1)).alias("n"))
     picks = draws(sizes, wanted, seed).withColumnRenamed("at", position)
-    return join_on_keys(picks, placed, [*keys, position], "inner")
+    return join_on_keys(picks, placed, [group, position], "inner")
 
 
-def resample_to_largest(
-    df: DataFrame, group: str, key: str, seed: int = 42
-) -> DataFrame:
+def resample_to_largest(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
     """Every group resampled with replacement to the size of the largest group."""
+    sizes = group_sizes(df, group)
+    largest = sizes.agg(F.max("n")).scalar()
     placed = seeded_positions(df, [group], key, seed, "_at")
-    largest = df.groupBy(cname(group)).count().agg(F.max("count")).scalar()
-    sampled = sample_with_replacement(placed, [group], "_at", largest, seed)
+    sampled = sample_with_replacement(placed, sizes, group, "_at", largest, seed)
     return sampled.select("draw", *map(cname, df.columns))
 
 
 def over_sample(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
-    """All rows, plus for each smaller group drawn copies up to the majority size."""
-    placed = seeded_positions(df, [group], key, seed, "_at")
-    largest = df.groupBy(cname(group)).count().agg(F.max("count")).scalar()
-    copies = sample_with_replacement(placed, [group], "_at", largest - F.col("n"), seed)
+    """All rows, plus for each smaller group drawn copies up to the majority size.
+
+    Rows of the majority group are neither numbered nor shuffled.
+    """
+    sizes = group_sizes(df, group)
+    largest = sizes.agg(F.max("n")).scalar()
+    smaller = sizes.filter(F.col("n") < largest)
+    placed = seeded_positions(df.join(smaller, group, "left_semi"), [group], key, seed, "_at")
+    copies = sample_with_replacement(placed, smaller, group, "_at", largest - F.col("n"), seed)
     return df.withColumn("copied", F.lit(False)).unionByName(
         copies.select(*map(cname, df.columns)).withColumn("copied", F.lit(True))
     )
@@ -74,11 +82,11 @@ def impute_and_resample(
 
     The largest slice is counted before the grid, as rows per slice of the input.
     """
-    largest = df.groupBy(cname(group)).count().agg(F.max("count")).scalar()
+    largest = group_sizes(df, group).agg(F.max("n")).scalar()
     grid = reindex(df, [group], day, step_seconds)
     filled = impute_rolling_mean(grid, features, [group], day)
     placed = block_positions(filled, [group], time_block(day, "year"), [cname(day)], "_at")
-    sampled = sample_with_replacement(placed, [group], "_at", largest, seed)
+    sampled = sample_with_replacement(placed, group_sizes(grid, group), group, "_at", largest, seed)
     return sampled.select("draw", *map(cname, df.columns))
 
 

@@ -140,15 +140,18 @@ def ingest(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ready = shape(batch)
-        aside = f"{quarantine.rstrip('/')}/batch={batch_id}" if quarantine else None
-        if rules is not None and not quality.violation_free(ready, rules):
-            if aside:
-                ready.write.mode("overwrite").parquet(aside)
-            return
-        merge_batch(ready, table, keys)
-        if features:
-            refresh_features(ready, table, features)
+        ready = shape(batch).persist()
+        try:
+            if rules is not None and not quality.violation_free(ready, rules):
+                if quarantine:
+                    aside = f"{quarantine.rstrip('/')}/batch={batch_id}"
+                    ready.write.mode("overwrite").parquet(aside)
+                return
+            merge_batch(ready, table, keys)
+            if features:
+                refresh_features(ready, table, features)
+        finally:
+            ready.unpersist()
 
     return (
         stream.writeStream.foreachBatch(handle)

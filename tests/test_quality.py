@@ -44,6 +44,12 @@ def test_missing_column_and_unreadable_text(spark, known):
     assert failing(text, rules) == {("HeatIndexF", "present"): 1, ("visibility", "type"): 1, ("visibility", "max"): 1}
 
 
+def test_no_rules_accept_everything(spark, known):
+    assert quality.violation_free(known, [])
+    only_absent = quality.violation_counts(known, [quality.ColumnRule("gone", "int", True)])
+    assert [tuple(r) for r in only_absent.collect()] == [("gone", "present", 1)]
+
+
 def test_validation_does_not_change_rows(spark, known):
     bad = spark.createDataFrame([("a", None, None)], LAYOUT)
     before = bad.collect()
