@@ -29,6 +29,11 @@ def hour_label(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH")
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 of a timestamp without zone, whatever the session's zone."""
+    return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), ts)
+
+
 def parse_day(text: Column) -> Column:
     """``dd-mm-yyyy`` → date; null if malformed."""
     return F.try_to_timestamp(text, F.lit(DAY_FORMAT)).cast("date")

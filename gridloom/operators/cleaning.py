@@ -44,7 +44,8 @@ def select_final(df: DataFrame) -> DataFrame:
 
 
 def model_columns(
-    df: DataFrame, features: Sequence[str] = tuple(schemas.MODEL_FEATURES), since: str | None = None
+    df: DataFrame, features: Sequence[str] = tuple(schemas.TRAINING_FEATURES),
+    since: str | None = None,
 ) -> DataFrame:
     """Features and label, optionally only from a date on (the filter reaches the scan)."""
     if since is not None:

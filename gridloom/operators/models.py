@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom import schemas
+from gridloom.functions.calendar import epoch_seconds
 from gridloom.operators import scaling, windows
 from gridloom.operators.bias import balanced_weights, metric_frame
 from gridloom.operators.cleaning import clean
@@ -187,7 +188,7 @@ def permutation_importance(
 
 def importance_input(df: DataFrame, text: Sequence[str] = ("subba-name", "zone")) -> DataFrame:
     """Time as epoch seconds, text as category codes (null −1), target last."""
-    coded = df.withColumn("datetime", F.unix_timestamp(cname("datetime").cast("timestamp")))
+    coded = df.withColumn("datetime", epoch_seconds(cname("datetime").cast("timestamp_ntz")))
     for column in text:
         dictionary = scaling.label_dictionary(df, column, "_code")
         coded = scaling.encode_labels(coded, column, dictionary, "_code", "mark")

@@ -21,7 +21,7 @@ from gridloom.plans.catalog.series import GRID, RATES, filled_list
 from gridloom.plans.catalog.storage import (
     RUNS, VERSIONS, demand_payload, parsed, runs, versions, weather_payload, RAW_LIST,
 )
-from gridloom.session import scratch_path
+from gridloom.session import checkpointed, scratch_path
 from gridloom.sources.dimensions import MARKET_REGIONS
 
 FEATURES = ["tempF", "windspeedMiles", "humidity", "pressure", "visibility"]
@@ -130,17 +130,19 @@ def column_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
     return {x["column"]: (x["min"], x["max"]) for x in scaling.min_max_map(df).collect()}
 
 
-@entry("m10_score_newest_hours")
-def _(t: Tables) -> DataFrame:
-    featured = jobs.feature_table(t.raw)
-    table = jobs.scale_and_select(featured)
-    # A column that is constant in a zone has no scaled value; only the served ones must be there.
-    model = models.train(table.na.drop("any", subset=[*SERVED, "value"]), "lr", SERVED)
-    bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
-    return models.score_newest(t.raw, model, bounds)
+SERVED = ["tempF_rolling_mean", "humidity_rolling_mean", "windspeedMiles", "tempF_lag_2", "month_sin", "month_cos"]
 
 
-SERVED = ["tempF_rolling_mean", "humidity_rolling_mean", "windspeedMiles", "tempF_lag_2", "month_sin", "month_cos"]
+def served_model(t: Tables):
+    """A line fitted on the globally scaled features, and the bounds they were scaled with."""
+    featured = checkpointed(jobs.feature_table(t.raw))
+    bounds = column_bounds(featured)
+    return models.train(scaling.scale_with_map(featured, bounds), "lr", SERVED), bounds
+
+
+@entry("m10_score_newest_hours")
+def _(t: Tables) -> DataFrame:
+    return models.score_newest(t.raw, *served_model(t))
 
 
 @entry("m11_biased_groups", sql(BIASED.format("1.5"), "predicted", more=FRAME))
@@ -446,10 +448,7 @@ def _(t: Tables) -> DataFrame:
 
 @entry("e10_location_report")
 def _(t: Tables) -> DataFrame:
-    table = jobs.scale_and_select(jobs.feature_table(t.raw))
-    # A column that is constant in a zone has no scaled value; only the served ones must be there.
-    model = models.train(table.na.drop("any", subset=[*SERVED, "value"]), "lr", SERVED)
-    bounds = column_bounds(windows.cyclic_month(windows.engineer_features(t.raw)))
+    model, bounds = served_model(t)
     return jobs.location_reports(located(t), t.raw, model, bounds, listed_prices(t), listed_items(t))
 
 

@@ -104,7 +104,7 @@ def _(t: Tables) -> DataFrame:
     return shown(cleaning.select_final(featured))
 
 
-MODEL_SQL = ", ".join(f"""{rq(f'"{c}"')} AS "{c}\"""" for c in [*schemas.MODEL_FEATURES, "value"])
+MODEL_SQL = ", ".join(f"""{rq(f'"{c}"')} AS "{c}\"""" for c in [*schemas.MODEL_FEATURES, "value"]) + ', "subba-name"'
 
 
 @entry("p8_model_projection", sql(f"SELECT {MODEL_SQL} FROM featured", "raw", more=FEATURED))
@@ -462,7 +462,7 @@ def _(t: Tables) -> DataFrame:
 
 @entry("f21_epoch_seconds", "SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS seconds FROM events")
 def _(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("seconds"))
+    return t.events.select("event_id", calendar.epoch_seconds(F.col("ts")).alias("seconds"))
 
 
 @entry("f22_label_codes", "SELECT p_partkey, p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS p_type_code FROM part")

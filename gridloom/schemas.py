@@ -31,14 +31,17 @@ FINAL_COLUMNS = [
 ]
 
 MODEL_LABEL = "value"
+# Served features are the final measures; training adds the name of the area.
 MODEL_FEATURES = [
     c for c in FINAL_COLUMNS if c not in ("datetime", MODEL_LABEL, "subba-name", "zone")
 ]
+TRAINING_FEATURES = [*MODEL_FEATURES, "subba-name"]
 
-# Columns that must not be negative: every final measure except the cyclic month pair.
+# Columns that must not be negative: the final measures except the weather code and the
+# cyclic month pair.
 NON_NEGATIVE = [
     c for c in FINAL_COLUMNS
-    if c not in ("datetime", "month_sin", "month_cos", "subba-name", "zone")
+    if c not in ("datetime", "weatherCode", "month_sin", "month_cos", "subba-name", "zone")
 ]
 
 # Columns never rescaled by min-max.
@@ -83,6 +86,7 @@ DEMAND_PAYLOAD = T.StructType(
 
 # Landed weather payload: data.weather[].hourly[]; every measure arrives as text.
 _LABELS = T.ArrayType(T.StructType([T.StructField("value", T.StringType())]))
+# Fields of an hour that are not kept.
 DROPPED_WEATHER = [
     "time", "tempC", "windspeedKmph", "weatherIconUrl", "weatherDesc", "winddirDegree",
     "winddir16Point",
