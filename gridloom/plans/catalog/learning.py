@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom import schemas
-from gridloom.operators import bias, cleaning, combine, models, quality, registry, regions, report, scaling, splits, windows
+from gridloom.operators import bias, models, quality, registry, regions, report, scaling, splits
 from gridloom.operators.ordered import cname, over_blocks
 from gridloom.operators.stats import regression_metrics
 from gridloom.plans import jobs
 from gridloom.plans.catalog.base import (
-    Tables, entry, r, rounded, rq, seeded_q, sql, stamp, stamp_q, timed,
+    Tables, entry, r, rounded, rq, seeded_q, sql, stamp_q, timed,
 )
 from gridloom.plans.catalog.measures import ERRORS, FRAME, biased, BIASED, frame
 from gridloom.plans.catalog.rows import (
-    FEATURE_SQL, FEATURED, HISTORY, ITEMS, MONTH_SQL, NEAR, SHEET, final_list, shown,
+    FEATURE_SQL, FEATURED, HISTORY, ITEMS, MONTH_SQL, NEAR, SHEET,
 )
 from gridloom.plans.catalog.series import GRID, RATES, filled_list
 from gridloom.plans.catalog.storage import (

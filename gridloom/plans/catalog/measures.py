@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gridloom import schemas
 from gridloom.operators import bias, drift, quality, stats
-from gridloom.operators.ordered import cname
 from gridloom.plans import jobs
 from gridloom.plans.catalog.base import (
     Tables, entry, r, rounded, rq, sql, stamp, stamp_q, timed,

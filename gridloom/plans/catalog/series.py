@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from gridloom import schemas
 from gridloom.operators import bias, cleaning, combine, drift, sampling, scaling, splits, vectors, windows
-from gridloom.operators.ordered import cname
 from gridloom.plans import jobs
 from gridloom.plans.catalog.base import (
-    PATCHES, Tables, entry, r, rounded, rq, seeded_q, sql, stamp, stamp_q, timed,
+    Tables, entry, r, rounded, rq, seeded_q, sql, stamp_q, timed,
 )
-from gridloom.plans.catalog.rows import FEATURED, KM, NEAR, final_list, shown
+from gridloom.plans.catalog.rows import FEATURED, NEAR
 
 HOURLY_LIST = f'zone, {stamp_q("datetime")}, "tempF", "windspeedMiles", humidity, value'
 

@@ -10,7 +10,7 @@ from gridloom.functions import calendar
 from gridloom.operators import bias, quality, regions, registry, scaling, splits
 from gridloom.operators.ordered import cname
 from gridloom.plans.catalog.base import (
-    CTES, Tables, entry, r, rq, seeded_q, sql, stamp, stamp_q, timed,
+    Tables, entry, r, rq, sql, stamp_q, timed,
 )
 from gridloom.plans.catalog.measures import EXTREMES, FRAME, RULED, frame
 from gridloom.plans.catalog.rows import NEAR

@@ -10,7 +10,6 @@ from gridloom import schemas
 from gridloom.functions import calendar, geo, text
 from gridloom.operators import regions, vectors
 from gridloom.plans import jobs
-from gridloom.session import scratch_path
 from gridloom.sources import dimensions, files, landed, snapshots
 from tests.helpers import as_set
 
