@@ -29,7 +29,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def own_names(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, renamed: extra columns of any name cannot clash."""
-    return df.select(*[df[f"`{old}`"].alias(new) for new, old in columns.items()])
+    return df.select(*[df[f"`{old}`"].alias(new) for old, new in columns.items()])
 
 
 def powers(n: int) -> np.ndarray:
