@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, jaccard, packing, quality, sharding, topk, urls
+from gridloom.llm import bpe, jaccard, packing, passages, pii, quality, sharding, substrings, topk, urls
 
 URL_RULES: list[urls.Rule] = [
     ("allow", "com", "/"),
@@ -18,6 +18,9 @@ URL_RULES: list[urls.Rule] = [
     ("block", "net", "/fr/"),
 ]
 
+#: The registered queries' key; a user brings a secret one.
+SURROGATE_KEY = "a key for the registered queries"
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -37,14 +40,29 @@ def op3_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.nearest(vectors, vectors.where("id % 20 = 0"), k=20)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.repeated_bytes(read(spark, folder, "documents"), length=200)
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(read(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def word_ids():
+    return packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"), end=1)
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    encoder = packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"), end=1)
-    return packing.pack_documents(read(spark, folder, "documents"), encoder, limits=(2048, 64, 2048))
+    return packing.pack_documents(read(spark, folder, "documents"), word_ids(), limits=(2048, 64, 2048))
+
+
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.shared_passages(read(spark, folder, "documents"))
+
+
+def op8_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymised(read(spark, folder, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
 
 
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +80,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_ngram_jaccard_join, op2_sharding, op3_exact_topk, op5_byte_bpe, op6_packing, op9_url_filters, op10_quality_rules,
+        op1_ngram_jaccard_join, op2_sharding, op3_exact_topk, op4_suffix_array_dedup, op5_byte_bpe, op6_packing,
+        op7_substring_dedup, op8_pii_surrogates, op9_url_filters, op10_quality_rules,
     )
 }
 
