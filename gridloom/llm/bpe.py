@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Pieces remembered per worker; beyond it the memory starts anew (speed only, never results).
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+#: Longer pieces (characters) are not remembered.
+LONG = 256
+#: Texts encoded together.
+TOGETHER = 64
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -74,16 +80,30 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Exact append: earlier entries stay as they are."""
         start, self.data = len(self.data), self.data + more
-        data, last, ranks, token, longest = self.data, self.last, self.v.ranks, self.v.token, self.v.longest
+        data, last, get, longest = self.data, self.last, self.v.ranks.get, self.v.longest
+        known, compatible = self.v.pairs.get, self.v.compatible
         for end in range(start + 1, len(data) + 1):
             for at in range(max(0, end - longest), end):
-                t = ranks.get(data[at:end])
-                if t is not None and (self.v.compatible(last[at - 1], t) if at else self.v.reachable(t)):
+                t = get(data[at:end])
+                if t is None:
+                    continue
+                if not at:
+                    fits = self.v.reachable(t)
+                elif (fits := known((last[at - 1], t))) is None:
+                    fits = compatible(last[at - 1], t)
+                if fits:
                     last.append(t)
                     break
             else:
                 raise ValueError("a byte of the text has no token")
 
+    def turn_into(self, data: bytes) -> None:
+        """Go over to other bytes; the entries of the common prefix stay."""
+        n = len(os.path.commonprefix((self.data, data)))
+        self.data = data[:n]
+        del self.last[n:]
+        self.append(data[n:])
+
     def replace(self, start: int, stop: int, by: bytes) -> None:
         """Bytes ``start`` to ``stop`` become ``by``; entries before the edit stay, later ones are
         recomputed only until they agree with the old ones over a whole token length."""
@@ -116,21 +136,31 @@ class Codec:
         self.v, self.split, self.remembered = vocabulary, regex.compile(pattern).findall, remembered
         self.known: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> bytes:
-        data = text.encode("utf-8", "surrogatepass")
-        whole = self.v.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.v, data).ids()
-        out = np.array(ids, "<u4").tobytes()
-        if len(data) <= 256:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
-            self.known[text] = out
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces, in byte order, so that each keeps the table entries of the prefix it
+        shares with the one before."""
+        table, out = PrefixTable(self.v), {}
+        for data, text in sorted((p.encode(), p) for p in pieces):
+            whole = self.v.ranks.get(data)
+            if whole is None:
+                table.turn_into(data)
+                ids = table.ids()
+            else:
+                ids = [whole]
+            out[text] = np.array(ids, "<u4").tobytes()
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        get, piece = self.known.get, self.piece
-        return b"".join([get(m) or piece(m) for m in self.split(text)])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        cut = [self.split(t) for t in texts]
+        new = {p for pieces in cut for p in pieces}.difference(self.known)
+        if len(self.known) + len(new) > self.remembered:
+            self.known.clear()
+            new = {p for pieces in cut for p in pieces}
+        long = {p for p in new if len(p) > LONG}
+        self.known.update(self.learn(new - long))
+        get = (ChainMap(self.learn(long), self.known) if long else self.known).__getitem__
+        return [b"".join(map(get, pieces)) for pieces in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.v.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -156,7 +186,8 @@ def encoded(documents: DataFrame, path: str, pattern: str, key: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            ids = [c.encode(t or "") for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ids = [i for at in range(0, len(texts), TOGETHER) for i in c.encode(texts[at : at + TOGETHER])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(ids, pa.binary()), pa.array(map(c.decode, ids), pa.binary())],
                 ["doc_id", "ids", "decoded"],
@@ -172,11 +203,11 @@ def digests(documents: DataFrame, path: str, pattern: str, key: str = "doc_id",
         c = codec(path, pattern)
         for batch in batches:
             count, one, two = [], [], []
-            for t in batch.column(1):
-                ids = c.encode(t.as_py() or "")
-                count.append(len(ids) // 4)
-                one.append(hashlib.sha256(ids).hexdigest())
-                two.append(hashlib.sha256(c.decode(ids)).hexdigest())
+            for at in range(0, batch.num_rows, TOGETHER):
+                for ids in c.encode([t or "" for t in batch.column(1).slice(at, TOGETHER).to_pylist()]):
+                    count.append(len(ids) // 4)
+                    one.append(hashlib.sha256(ids).hexdigest())
+                    two.append(hashlib.sha256(c.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(count, pa.int64()), pa.array(one, pa.string()), pa.array(two, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
