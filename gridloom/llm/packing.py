@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 #: Tokens gathered before a block is packed; bounds a worker's memory.
 BLOCK_TOKENS = 4_000_000
-REMEMBERED = 400_000
+REMEMBERED = 1_200_000
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -193,15 +193,28 @@ def word_encoder(path: str, end: int, remembered: int = REMEMBERED) -> Callable[
         known = _WORDS.setdefault(path, {})
         last = np.array([end], np.uint32).tobytes()
 
+        def learn(new: set[str]) -> None:
+            """Words go through the tokenizer as lower-case stems: a last mark after a letter or
+            figure is a token of its own, and these letters lower alike in any context."""
+            parts = {}
+            for w in new:
+                stem = w.lower() if w.isascii() or max(w) < "\u0130" else w
+                marked = len(stem) > 1 and stem[-1] in ".,:;!?|" and stem[-2].lower().isalnum() and "<|" not in stem
+                parts[w] = (stem[:-1], stem[-1]) if marked else (stem if "<|" not in w else w,)
+            stems = list({p for pair in parts.values() for p in pair if p not in known})
+            for w, e in zip(stems, tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
+                known[w] = np.array(e.ids, np.uint32).tobytes()
+            for w, pair in parts.items():
+                if w not in known:
+                    known[w] = b"".join([known[p] for p in pair])
+
         def encode(texts: list[str]) -> list[np.ndarray]:
             cut = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-            new = {w for words in cut for w in words if w not in known}
-            if len(known) + len(new) > remembered:
+            new = {w for words in cut for w in words}.difference(known)
+            if len(known) + 2 * len(new) > remembered:
                 known.clear()
                 new = {w for words in cut for w in words}
-            new_words = list(new)
-            for w, e in zip(new_words, tokenizer.encode_batch_fast(new_words, add_special_tokens=False)):
-                known[w] = np.array(e.ids, np.uint32).tobytes()
+            learn(new)
             get = known.__getitem__
             return [np.frombuffer(b"".join([*map(get, words), last]), np.uint32) for words in cut]
 

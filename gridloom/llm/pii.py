@@ -19,14 +19,14 @@ TITLES = "Mr|Mrs|Ms|Miss|Herrn?|Frau|Monsieur|Madame|Mme|Mlle|Señora?|Sra?|Г-
 SECRET_NAMES = "password|passwd|pwd|passphrase|token|secret|api_?key|access_?key|auth"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": rf"(?<=\b(?i:{SECRET_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[A-Za-z0-9_/+.-]{{7,}}[A-Za-z0-9_/+-]",
+    "secret": rf"(?<=[=:\"']|[=:]\s{{1,3}})(?<=\b(?i:{SECRET_NAMES})[\"']?\s{{0,3}}[=:]\s{{0,3}}[\"']?)[A-Za-z0-9_/+.-]{{7,}}[A-Za-z0-9_/+-]",
     "credential": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "phone": r"(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}-\d{4})(?!\d)",
     "card": r"(?<![\d.])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
-    "name": rf"(?<=(?<!\p{{L}})(?:{TITLES})\.? )\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
+    "name": rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{TITLES})\.? )\p{{Lu}}\p{{L}}+(?:[ -]\p{{Lu}}\p{{L}}+)?",
 }
 #: Alphabets of exchange: a letter becomes one of its own row.
 ROWS = (
