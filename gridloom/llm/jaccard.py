@@ -57,7 +57,7 @@ def profiles(documents: DataFrame, words: int, similarity: int, key: str = "doc_
                     one.append(int((w.hash[a:b] * (place * np.uint64(0xD6E8FEB86659FD93) | np.uint64(1))).sum(dtype=np.uint64).view(np.int64)))
                     two.append(int(((w.hash[a:b] ^ (w.hash[a:b] >> np.uint64(29))) * (place * np.uint64(0xA0761D6478BD642F) | np.uint64(1))).sum(dtype=np.uint64).view(np.int64)))
                     slack = n - needed(n, similarity)
-                    l = 1 + slack // 4 if n else 0
+                    l = 1 + slack // 2 if n else 0
                     size.append(n)
                     must.append(l)
                     low.append(own[: slack + l].view(np.int64))
@@ -265,12 +265,12 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
     member = written(known.groupBy("one", "two").agg(F.min("doc_id").alias("member")), "members")
     of = known.select("doc_id", "one", "two").join(member, ["one", "two"]).groupBy("doc_id").agg(F.min("member").alias("member"))
     of = written(of, "memberships")
-    heads = known.join(of.where("doc_id = member").select("doc_id"), "doc_id", "left_semi")
+    heads = known.join(of.where("doc_id = member").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     # Members that share enough of their smallest hashes with others.
     low = heads.select("doc_id", "must", F.explode("low").alias("gram"))
-    shared = low.groupBy("gram").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("gram")
-    hits = low.join(shared, "gram").groupBy("doc_id").agg(F.countDistinct("gram").alias("hits"), F.min("must").alias("must"))
+    shared = low.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1").select("gram")
+    hits = low.join(shared, "gram").groupBy("doc_id").agg(F.count("*").alias("hits"), F.min("must").alias("must"))
     some = written(hits.where("hits >= must").select("doc_id"), "candidates")
 
     texts = own_names(documents, **{key: "doc_id", text: "text"}).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -281,18 +281,17 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
     # N-grams of one member alone come first in it and match nothing: only their number counts.
     flat = sets.select("doc_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = flat.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    # (40 bits of the hash and the frequency name an n-gram here; the whole sets decide later.)
     code = F.expr("(least(df, 4194303) << 40) | (gram & 1099511627775)")
-    ranked = flat.join(often, "gram").groupBy("doc_id", "n").agg(
-        F.sort_array(F.collect_list(F.struct(code.alias("code"), "gram"))).alias("common")
-    )
+    ranked = flat.join(often, "gram").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(code)).alias("common"))
     keep = F.expr(f"CAST(1 + n - ceil(n * {similarity} / 100.0) AS INT) - (n - size(common))")
     prefix = ranked.withColumn("keep", keep).where("keep > 0")
     entries = prefix.select("doc_id", "n", "common", F.posexplode(F.expr("slice(common, 1, keep)")).alias("pos", "own"))
     entries = written(
         entries.select(
-            F.col("own.gram").alias("gram"), F.col("doc_id").alias("doc"), F.col("n").cast("long").alias("n"),
+            F.col("own").alias("gram"), F.col("doc_id").alias("doc"), F.col("n").cast("long").alias("n"),
             (F.size("common") - F.col("pos") - 1).cast("long").alias("after"),
-            F.expr(f"transform(slice(common, pos + 2, {depth}), c -> c.code)").alias("path"),
+            F.expr(f"slice(common, pos + 2, {depth})").alias("path"),
         ),
         "entries",
     )

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from gridloom.llm.tables import written
 
 TITLES = "Mr|Mrs|Ms|Miss|Herrn?|Frau|Monsieur|Madame|Mme|Mlle|Señora?|Sra?|Г-н|Г-жа|господин|госпожа|Κύριος|Κυρία"
+#: What a text with a title holds, optional letters left out.
+TITLE_WORDS = [w.removesuffix("n?").removesuffix("a?") + " " if "?" not in w else w.removesuffix("n?").removesuffix("a?") for w in TITLES.split("|")]
+TITLE_WORDS += [w + ". " for w in TITLES.split("|") if "?" not in w]
 SECRET_NAMES = "password|passwd|pwd|passphrase|token|secret|api_?key|access_?key|auth"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
@@ -45,6 +48,15 @@ def pattern() -> str:
     return "|".join(PATTERNS.values())
 
 
+def has_entity(text: Column) -> Column:
+    """Whether the pattern is found; texts without a figure, sign or title cannot have one, and
+    are told by cheap searches."""
+    hint = text.rlike("[0-9@=:]")
+    for title in TITLE_WORDS:
+        hint = hint | text.contains(title)
+    return F.coalesce(hint & F.regexp_like(text, F.lit(pattern())), F.lit(False))
+
+
 def kind(m: Column) -> Column:
     """The type an entity is drawn as, from its own letters alone."""
     digits = F.length(F.regexp_replace(m, "[^0-9]", ""))
@@ -141,7 +153,7 @@ def pseudonymised(documents: DataFrame, key: str, text: str = "text") -> DataFra
     names = [c for c in documents.columns if c.lower() != "n_replaced"]
     documents = documents.select(*[f"`{c}`" for c in names])
     body, every = F.col(f"`{text}`"), F.lit(pattern())
-    has = F.coalesce(F.regexp_like(body, every), F.lit(False))
+    has = has_entity(body)
     found = documents.where(has).select(F.md5(body.cast("binary")).alias("h"), F.regexp_extract_all(body, every, F.lit(0)).alias("all"))
     found = found.groupBy("h").agg(F.first("all").alias("all")).select("h", F.posexplode("all").alias("i", "m"))
     typ = kind(F.col("m"))
