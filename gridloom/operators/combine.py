@@ -23,13 +23,15 @@ def append_new(history: DataFrame | None, new: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], sequence: str | Column) -> DataFrame:
-    """One row per key: the one with the smallest ``sequence``.
+    """One row per key: the one with the smallest ``sequence``; null is the largest, and equal
+    sequences are decided by a hash of the row, so the order of the input plays no part.
 
     ``min_by`` is combined before the shuffle, so a key with very many copies does not gather
     in one task.
     """
     order = cname(sequence) if isinstance(sequence, str) else sequence
     rest = [c for c in df.columns if c not in keys]
+    order = F.struct(order.isNull(), order, F.xxhash64(*map(cname, rest or keys)))
     picked = df.groupBy(*map(cname, keys)).agg(
         F.min_by(F.struct(*map(cname, rest)), order).alias("_row")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -237,13 +238,13 @@ def save_model(model: PipelineModel, folder: str, name: str, stamp: str) -> str:
 
 
 def load_latest(spark, folder: str, name: str) -> PipelineModel:
-    """Load the newest saved model of a name (largest stamp)."""
+    """Load the newest saved model of exactly this name (largest stamp; stamps begin with a digit)."""
     safe = "".join(c if c.isascii() and c.isalnum() else "_" for c in name)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath().toString() for s in fs.listStatus(root)
-             if s.getPath().getName().startswith(f"{safe}_")]
+    paths = [s.getPath() for s in fs.listStatus(root)]
+    found = [(m[1], p.toString()) for p in paths if (m := re.fullmatch(rf"{safe}_(\d[^/]*)", p.getName()))]
     if not found:
         raise FileNotFoundError(f"no saved model {name} in {folder}")
-    return PipelineModel.load(max(found))
+    return PipelineModel.load(max(found)[1])

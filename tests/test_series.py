@@ -207,3 +207,14 @@ def test_biased_group_is_filled_and_others_are_kept(spark):
     assert poor.count() == 24 and poor.filter("value IS NULL").count() == 0
     # 'rich' is off the overall rate as well, and gets the same calendar.
     assert found.filter("zone = 'rich'").count() == 24
+
+
+def test_keep_first_with_null_and_equal_sequences(spark):
+    from gridloom.operators.combine import keep_first
+
+    rows = [("a", None, 1.0), ("b", 2, 5.0), ("b", None, 6.0), ("c", 1, 9.0), ("c", 1, 1.0)]
+    one, two = (
+        {r.k: (r.n, r.v) for r in keep_first(spark.createDataFrame(x, "k string, n int, v double").coalesce(1), ["k"], "n").collect()}
+        for x in (rows, rows[::-1])
+    )
+    assert one == two and one["a"] == (None, 1.0) and one["b"] == (2, 5.0)
