@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import written
+from gridloom.llm.tables import released, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     both = links.select(F.col(a).alias("x"), F.col(b).alias("y"))
     both = written(both.union(both.select("y", "x")).where("x <> y").distinct(), "links")
-    label = written(both.groupBy(F.col("x").alias("id")).agg(F.least(F.min("y"), F.col("x")).alias("component")), "labels")
+    table = written(both.groupBy(F.col("x").alias("id")).agg(F.least(F.min("y"), F.col("x")).alias("component")), "labels")
+    label = table
     while True:
         near = both.join(label, both["y"] == label["id"]).groupBy(F.col("x").alias("id")).agg(F.min("component").alias("near"))
         new = label.join(near, "id").select("id", "component", F.least("component", "near").alias("new"))
@@ -30,6 +31,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             new.join(jump, "new", "left").select("id", F.col("component").alias("old"), F.least("new", F.coalesce("jumped", "new")).alias("component")),
             "labels",
         )
+        released(table, new)
+        table, label = after, after.select("id", "component")
         if after.where("old <> component").isEmpty():
-            return after.select("id", "component")
-        label = after.select("id", "component")
+            released(both)
+            return label

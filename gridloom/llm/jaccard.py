@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
-from gridloom.llm.tables import Words, mixed, own_names, text_chunks, written
+from gridloom.llm.tables import Words, mixed, own_names, released, text_chunks, written
 
 #: N-grams of the path after the shared one that go into the trie; only pruning depends on it.
-DEPTH = 64
+DEPTH = 48
+#: N-grams of the prefix before the shared one that an entry keeps, to know a pair from its first.
+BEHIND = 16
 #: Members of one group that meet in one task; larger groups are split into blocks of pairs.
 BLOCK_ROWS = 2048
 
@@ -170,13 +172,15 @@ def _trie_pairs(similarity: int):
     def group(rows: dict[str, list]) -> Iterator[tuple[int, int]]:
         """Side 0 probes, side 1 is probed, side 2 both."""
         trie, docs, labels = Trie(), rows["doc"], rows["component"]
+        behind = [frozenset(grams) for grams in rows["before"]]
         for i, (n, after, path, side) in enumerate(zip(rows["n"], rows["after"], rows["path"], rows["side"])):
             if side:
                 trie.insert(i, n, after, tuple(path))
         for i, (n, after, path, side) in enumerate(zip(rows["n"], rows["after"], rows["path"], rows["side"])):
             if side != 1:
                 for j in trie.probe(n, after, tuple(path), similarity):
-                    if docs[j] != docs[i] and labels[j] != labels[i]:
+                    # A pair that shares an n-gram before this one is met in that one's group.
+                    if docs[j] != docs[i] and labels[j] != labels[i] and behind[i].isdisjoint(behind[j]):
                         yield min(docs[i], docs[j]), max(docs[i], docs[j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +217,7 @@ def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def trie_join(entries: DataFrame, similarity: int, first_only: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Distinct candidate pairs (a, b) of ``entries``: gram, doc, n, after, path, component.
+    """Distinct candidate pairs (a, b) of ``entries``: gram, doc, n, after, path, before, component.
 
     Every member of an n-gram's group probes the group's trie, or with ``first_only`` just the one
     with the smallest set. A group larger than ``block_rows`` is dealt to blocks with a trie each:
@@ -234,7 +238,7 @@ def trie_join(entries: DataFrame, similarity: int, first_only: bool = False, blo
             "transform(filter(sequence(0, blocks - 1), l -> l > block), l -> struct(l AS left, block AS right, 1 AS side)))"
         )
     dealt = dealt.withColumn("meet", F.explode(meets)).select(
-        "gram", "meet.left", "meet.right", "meet.side", "doc", "n", "after", "path", "component"
+        "gram", "meet.left", "meet.right", "meet.side", "doc", "n", "after", "path", "before", "component"
     )
     spread = dealt.repartition("gram", "left", "right").sortWithinPartitions("gram", "left", "right")
     return spread.mapInArrow(_trie_pairs(similarity), "a long, b long").distinct()
@@ -265,6 +269,7 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
     member = written(known.groupBy("one", "two").agg(F.min("doc_id").alias("member")), "members")
     of = known.select("doc_id", "one", "two").join(member, ["one", "two"]).groupBy("doc_id").agg(F.min("member").alias("member"))
     of = written(of, "memberships")
+    released(member)
     heads = known.join(of.where("doc_id = member").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     # Members that share enough of their smallest hashes with others.
@@ -272,18 +277,22 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
     shared = low.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1").select("gram")
     hits = low.join(shared, "gram").groupBy("doc_id").agg(F.count("*").alias("hits"), F.min("must").alias("must"))
     some = written(hits.where("hits >= must").select("doc_id"), "candidates")
+    sizes = written(profile.select("doc_id", "n").join(of, "doc_id", "left"), "sizes")
+    released(profile, of)
 
     texts = own_names(documents, **{key: "doc_id", text: "text"}).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     picked = texts.join(some, "doc_id", "left_semi")
     sets = written(gram_sets(picked, words).groupBy("doc_id").agg(F.min("grams").alias("grams")), "sets")
+    released(some)
 
     # Global order: frequency among the candidates, then the hash, as one comparable number.
     # N-grams of one member alone come first in it and match nothing: only their number counts.
-    flat = sets.select("doc_id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    flat = sets.select("doc_id", F.explode("grams").alias("gram"))
     often = flat.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     # (40 bits of the hash and the frequency name an n-gram here; the whole sets decide later.)
     code = F.expr("(least(df, 4194303) << 40) | (gram & 1099511627775)")
-    ranked = flat.join(often, "gram").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(code)).alias("common"))
+    ranked = flat.join(often, "gram").groupBy("doc_id").agg(F.sort_array(F.collect_list(code)).alias("common"))
+    ranked = ranked.join(sets.select("doc_id", F.size("grams").alias("n")), "doc_id")
     keep = F.expr(f"CAST(1 + n - ceil(n * {similarity} / 100.0) AS INT) - (n - size(common))")
     prefix = ranked.withColumn("keep", keep).where("keep > 0")
     entries = prefix.select("doc_id", "n", "common", F.posexplode(F.expr("slice(common, 1, keep)")).alias("pos", "own"))
@@ -292,6 +301,7 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
             F.col("own").alias("gram"), F.col("doc_id").alias("doc"), F.col("n").cast("long").alias("n"),
             (F.size("common") - F.col("pos") - 1).cast("long").alias("after"),
             F.expr(f"slice(common, pos + 2, {depth})").alias("path"),
+            F.expr(f"slice(common, greatest(1, pos + 1 - {BEHIND}), least(pos, {BEHIND}))").alias("before"),
         ),
         "entries",
     )
@@ -304,11 +314,11 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
     several = labelled.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = trie_join(labelled.join(several.select("gram"), "gram"), similarity, False, block_rows)
     more = written(rest.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    released(entries, pairs)
     label = components(links.union(linked(more, sets, similarity)))
+    released(sets, links, more)
 
     return (
-        profile.select("doc_id", "n")
-        .join(of, "doc_id", "left")
-        .join(label.withColumnRenamed("id", "member"), "member", "left")
+        sizes.join(label.withColumnRenamed("id", "member"), "member", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "member", "doc_id").alias("component_id"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,11 +22,35 @@ _STEP = 0x9E3779B97F4A7C15
 _POWERS = [np.ones(1, np.uint64)]
 
 
+#: Spark's setting that removes the shuffle files of a query when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there, executors may go."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared folder: lineage ends there, executors may go.
+
+    Shuffle files of the write go when it has ended; the table stays until ``released``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Remove the folders of ``written`` tables that nothing to come reads."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(table))
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def own_names(df: DataFrame, **columns: str) -> DataFrame:
