@@ -10,9 +10,9 @@
    trie. A probe walks it, carries the overlap and the misses of the path so far, which all
    members below share, and leaves a subtree when the lengths that remain cannot bring the
    overlap needed.
-4. Pairs the trie leaves are compared in full. The first round probes with one member per group;
-   what it links is one component. The second round probes with every member but passes over
-   members of its own component, so a large group of near copies costs no pairs within it.
+4. Pairs the trie leaves are compared in full. The first round probes with a few members per group
+   (hubs); what they link is one component. The second round probes with every member but passes
+   over members of its own component, so a large group of near copies costs few pairs within it.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ from gridloom.llm.tables import Words, mixed, own_names, released, text_chunks,
 DEPTH = 48
 #: N-grams of the prefix before the shared one that an entry keeps, to know a pair from its first.
 BEHIND = 16
+#: Members of a group that probe in the first round, on average; the second round is exact with any.
+HUBS = 16
 #: Members of one group that meet in one task; larger groups are split into blocks of pairs.
 BLOCK_ROWS = 2048
 
@@ -216,20 +218,21 @@ def _pairs(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def trie_join(entries: DataFrame, similarity: int, first_only: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def trie_join(entries: DataFrame, similarity: int, hubs: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Distinct candidate pairs (a, b) of ``entries``: gram, doc, n, after, path, before, component.
 
-    Every member of an n-gram's group probes the group's trie, or with ``first_only`` just the one
-    with the smallest set. A group larger than ``block_rows`` is dealt to blocks with a trie each:
-    a probe goes to all of them (with ``first_only``), or each pair of blocks meets in a task's
-    group of its own, so that no more than two blocks are ever held.
+    Every member of an n-gram's group probes the group's trie, or with ``hubs`` about so many of
+    them, by a hash of the document, so that groups with the same members have the same hubs. A
+    group larger than ``block_rows`` is dealt to blocks with a trie each: a hub goes to all of them,
+    or each pair of blocks meets in a task's group of its own, so that no more than two blocks are
+    ever held.
     """
-    sizes = entries.groupBy("gram").agg(F.count("*").alias("size"), F.min(F.struct("n", "doc")).alias("least"))
+    sizes = entries.groupBy("gram").agg(F.count("*").alias("size"))
     dealt = entries.join(sizes.where("size > 1"), "gram").withColumn("blocks", F.ceil(F.col("size") / block_rows).cast("int"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc"), F.col("blocks")).cast("int"))
-    if first_only:
+    if hubs is not None:
         meets = F.expr(
-            "concat(array(struct(0 AS left, block AS right, 1 AS side)), IF(doc = least.doc, "
+            f"concat(array(struct(0 AS left, block AS right, 1 AS side)), IF(pmod(xxhash64('hub', doc), 1048576) * size < {hubs} * 1048576L, "
             "transform(sequence(0, blocks - 1), r -> struct(0 AS left, r AS right, 0 AS side)), array()))"
         )
     else:
@@ -254,7 +257,7 @@ def linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80, key: str = "doc_id", text: str = "text",
-                    depth: int = DEPTH, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    depth: int = DEPTH, block_rows: int = BLOCK_ROWS, hubs: int = HUBS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     ``similarity`` is a whole percentage of intersection over union, from 1 to 100. A null or empty text and a
@@ -305,14 +308,14 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
         ),
         "entries",
     )
-    star = trie_join(entries.withColumn("component", F.col("doc")), similarity, True, block_rows)
+    star = trie_join(entries.withColumn("component", F.col("doc")), similarity, hubs, block_rows)
     pairs = written(star, "star-pairs")
     links = written(linked(pairs, sets, similarity), "star-links")
     label = components(links).withColumnRenamed("id", "doc")
 
     labelled = entries.join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     several = labelled.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = trie_join(labelled.join(several.select("gram"), "gram"), similarity, False, block_rows)
+    rest = trie_join(labelled.join(several.select("gram"), "gram"), similarity, None, block_rows)
     more = written(rest.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     released(entries, pairs)
     label = components(links.union(linked(more, sets, similarity)))
