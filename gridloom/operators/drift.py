@@ -276,14 +276,17 @@ def category_drift(counts: DataFrame) -> DataFrame:
 def report_from(
     found: DataFrame,
     categories: DataFrame | None,
-    small: bool,
+    judge: str = "distance",
     p_threshold: float = 0.05,
     distance_threshold: float = 0.1,
 ) -> DataFrame:
     """The drift report from numeric distances and category drift.
 
-    ``small`` samples are judged by p-values, others by distances.
+    ``judge`` is ``"p_value"`` or ``"distance"``.
     """
+    if judge not in ("p_value", "distance"):
+        raise ValueError(f"unknown judge {judge!r}")
+    small = judge == "p_value"
     if small:
         numeric = ks_from(found).select("feature", F.lit("ks_p_value").alias("test"),
                                         F.col("p_value").alias("drift_score"))
@@ -305,29 +308,24 @@ def report_from(
     return scored.withColumn("drift_detected", flag)
 
 
-def is_small(baseline: DataFrame, small_rows: int = 1000) -> bool:
-    """Whether the baseline has at most ``small_rows`` rows; reads no more than that."""
-    return baseline.limit(small_rows + 1).count() <= small_rows
-
-
 def drift_report(
     baseline: DataFrame,
     new: DataFrame,
     numeric: Sequence[str],
     text: Sequence[str] = (),
-    small_rows: int = 1000,
+    judge: str = "distance",
     p_threshold: float = 0.05,
     distance_threshold: float = 0.1,
 ) -> DataFrame:
     """One row per column: test name, drift score, drift flag.
 
-    Up to ``small_rows`` baseline rows p-values decide (Kolmogorov-Smirnov, chi-square); above
-    that distances do (normalised Wasserstein, Jensen-Shannon).
+    ``judge="p_value"`` decides by Kolmogorov-Smirnov and chi-square, meant for samples of up to about
+    1000 rows; ``"distance"`` by normalised Wasserstein and Jensen-Shannon.
     """
     categories = category_drift(category_counts(baseline, new, text)) if text else None
     return report_from(
         distances(sample_counts(baseline, new, numeric)), categories,
-        is_small(baseline, small_rows), p_threshold, distance_threshold,
+        judge, p_threshold, distance_threshold,
     )
 
 

@@ -147,19 +147,19 @@ def tree_importances(model: PipelineModel, features: Sequence[str]) -> list[tupl
 
 def permutation_importance(
     df: DataFrame, model: PipelineModel, features: Sequence[str], key: str,
-    label: str = schemas.MODEL_LABEL, seed: int = 42, rows_per_block: int = 100_000,
+    label: str = schemas.MODEL_LABEL, seed: int = 42, blocks: int = 64,
 ) -> DataFrame:
     """(feature, mse, increase): error after shuffling one feature, for all features in one job.
 
     The shuffle takes each feature from the row before in seeded order, inside hash blocks, and
     the first row of a block from its last: a permutation that needs one exchange in total.
-    The number of blocks follows the row count, so a block stays small enough for one task.
+    The rows are dealt to ``blocks`` hash blocks, each sorted by one task: raise the number for large
+    tables, and keep it well below the row count, as a block of one row permutes nothing.
     """
-    blocks = 2 ** (df.count() // rows_per_block).bit_length()
-    order = [seeded_order(key, seed), cname(key)]
+    order = [seeded_order(key, seed=seed), cname(key)]
     block = Window.partitionBy("_block").orderBy(*order)
     whole = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    moved = df.withColumn("_block", hash_block(seeded_order(key, seed), blocks)).withColumns(
+    moved = df.withColumn("_block", hash_block(seeded_order(key, seed=seed), blocks)).withColumns(
         {
             f"_moved_{i}": F.coalesce(F.lag(cname(f)).over(block), F.last(cname(f)).over(whole))
             for i, f in enumerate(features)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridloom.session import checkpointed
 
-HASH_RANGE = 4294967296
+HASH_RANGE = 1 << 60
 HASH_BLOCKS = 16384
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
@@ -24,16 +24,22 @@ def cname(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def seeded_order(key: str | Column, seed: int = 42) -> Column:
-    """Arithmetic hash of an integer key in [0, 2^32): the same number on any SQL engine."""
-    column = cname(key) if isinstance(key, str) else key
-    folded = F.pmod(column.cast("bigint"), F.lit(2147483648))
-    return (folded * F.lit(2654435761) + F.lit(seed)) % F.lit(HASH_RANGE)
+def seeded_order(*keys: str | Column, seed: int = 42) -> Column:
+    """Hash of integer or text keys in [0, 2^60): the first 15 hex digits of an MD5, so any SQL engine
+    finds the same number."""
+    columns = [cname(k) if isinstance(k, str) else k for k in keys]
+    joined = F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in columns])
+    return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("bigint")
+
+
+def whole_parts(number: Column, size: int) -> Column:
+    """How often ``size`` goes into a whole number, in integers."""
+    return F.call_function("div", number, F.lit(size).cast("bigint"))
 
 
 def hash_block(order: Column, blocks: int = HASH_BLOCKS) -> Column:
     """Ordered block of a seeded order; blocks are even because the hash is."""
-    return F.floor(order / F.lit(HASH_RANGE // blocks)).cast("bigint")
+    return whole_parts(order, HASH_RANGE // blocks)
 
 
 def time_block(column: str, unit: str) -> Column:
@@ -267,7 +273,8 @@ def expand_rows(df: DataFrame, times: Column, name: str, per_block: int = 1000)
     spread over the cluster instead of being unrolled in one task. The partition number is
     given, because adaptive execution would merge the few small rows that stand for many.
     """
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    spread = int(setting) if setting.isdigit() else 200
     last_block = F.floor((F.col("_times") - 1) / per_block).cast("bigint")
     blocks = (
         df.withColumn("_times", times.cast("bigint"))

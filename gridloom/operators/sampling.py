@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.combine import reindex
 from gridloom.operators.ordered import (
+    HASH_BLOCKS,
     below_cuts,
     cname,
     cut_points,
@@ -26,11 +27,13 @@ from gridloom.operators.windows import impute_rolling_mean
 def draws(sizes: DataFrame, wanted: Column, seed: int) -> DataFrame:
     """(group, draw, at): for each wanted draw a pseudo-random row number of its group.
 
-    ``sizes`` has one row per group with its row count ``n``.
+    ``sizes`` has one row per group with its row count ``n``. The hash takes in the group, so groups
+    of one size draw differently, and 60 bits leave no row of any real group out of reach.
     """
+    groups = [c for c in sizes.columns if c != "n"]
     numbered = expand_rows(sizes.withColumn("_wanted", wanted), F.col("_wanted"), "draw")
     return numbered.withColumn(
-        "at", (seeded_order(F.col("draw"), seed) % F.col("n")) + F.lit(1)
+        "at", (seeded_order(*groups, "draw", seed=seed) % F.col("n")) + F.lit(1)
     ).drop("_wanted", "n")
 
 
@@ -50,16 +53,20 @@ def sample_with_replacement(
     return join_on_keys(picks, placed, [group, position], "inner")
 
 
-def resample_to_largest(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
+def resample_to_largest(
+    df: DataFrame, group: str, key: str, seed: int = 42, blocks: int = HASH_BLOCKS
+) -> DataFrame:
     """Every group resampled with replacement to the size of the largest group."""
     sizes = group_sizes(df, group)
     largest = sizes.agg(F.max("n")).scalar()
-    placed = seeded_positions(df, [group], key, seed, "_at")
+    placed = seeded_positions(df, [group], key, seed, "_at", blocks)
     sampled = sample_with_replacement(placed, sizes, group, "_at", largest, seed)
     return sampled.select("draw", *map(cname, df.columns))
 
 
-def over_sample(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFrame:
+def over_sample(
+    df: DataFrame, group: str, key: str, seed: int = 42, blocks: int = HASH_BLOCKS
+) -> DataFrame:
     """All rows, plus for each smaller group drawn copies up to the majority size.
 
     Rows of the majority group are neither numbered nor shuffled.
@@ -67,7 +74,7 @@ def over_sample(df: DataFrame, group: str, key: str, seed: int = 42) -> DataFram
     sizes = group_sizes(df, group)
     largest = sizes.agg(F.max("n")).scalar()
     smaller = sizes.filter(F.col("n") < largest)
-    placed = seeded_positions(df.join(smaller, group, "left_semi"), [group], key, seed, "_at")
+    placed = seeded_positions(df.join(smaller, group, "left_semi"), [group], key, seed, "_at", blocks)
     copies = sample_with_replacement(placed, smaller, group, "_at", largest - F.col("n"), seed)
     return df.withColumn("copied", F.lit(False)).unionByName(
         copies.select(*map(cname, df.columns)).withColumn("copied", F.lit(True))
@@ -91,14 +98,15 @@ def impute_and_resample(
 
 
 def thin_category(
-    df: DataFrame, column: str, category: str | Column, share: float, key: str, seed: int = 42
+    df: DataFrame, column: str, category: str | Column, share: float, key: str, seed: int = 42,
+    blocks: int = HASH_BLOCKS,
 ) -> DataFrame:
     """Remove ``round(share · n)`` rows of one category, chosen by seeded order."""
     wanted = category if isinstance(category, Column) else F.lit(category)
-    order = F.struct(seeded_order(key, seed).alias("h"), cname(key).alias("id"))
+    order = F.struct(seeded_order(key, seed=seed).alias("h"), cname(key).alias("id"))
     inside = df.filter(cname(column) == wanted)
     cuts = cut_points(
-        inside, [], hash_block(seeded_order(key, seed)), order,
+        inside, [], hash_block(seeded_order(key, seed=seed), blocks), order,
         lambda n: [F.round(n * F.lit(share)).cast("bigint")],
     )
     marked = below_cuts(df, [], order, cuts, 1, "_beyond")

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom import schemas
 from gridloom.operators.cleaning import numeric_columns
 from gridloom.operators.ordered import cname, global_position, join_on_keys
 
-SMALL_DICTIONARY = 1_000_000
 
 
 def min_max_map(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -113,14 +112,10 @@ def descale(value: Column, low: Column | float, high: Column | float, swapped: b
 def label_dictionary(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
     """(value, code) with codes 0… in text order of the distinct values.
 
-    The distinct values are counted first: a short list is numbered by one window, a long one
-    by a range sort.
+    A range sort numbers the distinct values, however many there are.
     """
     code = code or f"{column}_code"
     values = df.select(cname(column)).filter(cname(column).isNotNull()).distinct()
-    if values.limit(SMALL_DICTIONARY + 1).count() <= SMALL_DICTIONARY:
-        place = F.row_number().over(Window.orderBy(cname(column)))
-        return values.withColumn(code, place.cast("bigint") - 1)
     return global_position(values, [column], "_at").select(
         cname(column), (F.col("_at") - 1).alias(code)
     )

@@ -7,11 +7,14 @@ Each split only needs the order value at a few positions per group. Those are fo
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.ordered import (
+    HASH_BLOCKS,
+    HASH_RANGE,
     below_cuts,
     block_positions,
     cname,
@@ -20,16 +23,19 @@ from gridloom.operators.ordered import (
     hash_block,
     seeded_order,
     time_block,
+    whole_parts,
 )
 
 
 def _share(total: Column, share: float) -> Column:
-    """floor(total × share), with the share taken in thousandths to stay in integers."""
-    return F.floor(total * F.lit(round(share * 1000)) / F.lit(1000)).cast("bigint")
+    """floor(total × share) in integers; the share is the nearest fraction with a denominator of a
+    million at most, so 1/3 and 0.0004 are exact."""
+    part = Fraction(share).limit_denominator(1_000_000)
+    return whole_parts(total.cast("bigint") * F.lit(part.numerator), part.denominator)
 
 
 def _hash_order(key: str, seed: int) -> Column:
-    return F.struct(seeded_order(key, seed).alias("h"), cname(key).alias("id"))
+    return F.struct(seeded_order(key, seed=seed).alias("h"), cname(key).alias("id"))
 
 
 def chronological_split(
@@ -49,12 +55,13 @@ def chronological_split(
 def stratified_split(
     df: DataFrame, strata: Sequence[str], key: str,
     test: float = 0.2, validation: float = 0.1, seed: int = 42,
+    blocks: int = HASH_BLOCKS,
 ) -> DataFrame:
     """Test and validation shares of every stratum, chosen by seeded order of an integer key.
 
     Sizes are floored per stratum; a whole-table allocation may differ by one row per stratum.
     """
-    block = hash_block(seeded_order(key, seed))
+    block = hash_block(seeded_order(key, seed=seed), blocks)
     cuts = cut_points(
         df, strata, block, _hash_order(key, seed),
         lambda n: [_share(n, test), _share(n, test) + _share(n, validation)],
@@ -94,10 +101,16 @@ def contiguous_folds(
 
 def hash_folds(df: DataFrame, folds: int, key: str, seed: int = 42, name: str = "fold") -> DataFrame:
     """Fold by seeded hash: no order, no shuffle."""
-    return df.withColumn(name, F.floor(seeded_order(key, seed) * folds / 4294967296).cast("int"))
+    return df.withColumn(name, whole_parts(seeded_order(key, seed=seed), HASH_RANGE // folds + 1).cast("int"))
 
 
-def seeded_positions(df: DataFrame, keys: Sequence[str], key: str, seed: int = 42, name: str = "position") -> DataFrame:
-    """1-based place of every row in the seeded order of its group."""
-    order = seeded_order(key, seed)
-    return block_positions(df, keys, hash_block(order), [order, cname(key)], name)
+def seeded_positions(
+    df: DataFrame, keys: Sequence[str], key: str, seed: int = 42, name: str = "position",
+    blocks: int = HASH_BLOCKS,
+) -> DataFrame:
+    """1-based place of every row in the seeded order of its group.
+
+    A task sorts one of ``blocks`` hash blocks of a group: raise it with the rows per group.
+    """
+    order = seeded_order(key, seed=seed)
+    return block_positions(df, keys, hash_block(order, blocks), [order, cname(key)], name)

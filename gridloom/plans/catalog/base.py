@@ -211,9 +211,9 @@ def stamp_q(expression: str, name: str = "datetime") -> str:
     return f"strftime({expression}, '%Y-%m-%d %H:%M:%S') AS {name}"
 
 
-def seeded_q(key: str, seed: int = 42) -> str:
+def seeded_q(*keys: str, seed: int = 42) -> str:
     """The SQL twin of ``seeded_order``."""
-    return f"((({key} % 2147483648) * 2654435761 + {seed}) % 4294967296)"
+    return f"CAST('0x' || substr(md5(concat_ws(':', '{seed}', {', '.join(keys)})), 1, 15) AS BIGINT)"
 
 
 def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:

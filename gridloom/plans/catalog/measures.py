@@ -449,16 +449,23 @@ KIND_COLUMNS = ["event_type", "level"]
     UNION ALL SELECT feature, 'jensen_shannon', {rq('js_distance')}, js_distance > 0.1 FROM fitted""",
     "readings", more=f"{LONG}, {SHARES}, {AREA}, {KINDS}"))
 def _(t: Tables) -> DataFrame:
-    found = drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS, small_rows=0)
+    found = drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS)
     return rounded(found, ["drift_score"])
 
 
+@entry("q7_drift_report_p_values", sql(
+    f"SELECT feature, 'ks_p_value' AS test, {rq('p')} AS drift_score, p < 0.05 AS drift_detected FROM tested",
+    "readings", more=f"{LONG}, {SHARES}, {KS}"))
+def _(t: Tables) -> DataFrame:
+    return rounded(drift.drift_report(*samples(t), WATCHED, judge="p_value"), ["drift_score"])
+
+
 @entry("q7_dataset_drift", sql(
     """SELECT count(*) AS columns, count(*) FILTER (hit) AS drifted_columns, count(*) FILTER (hit) / count(*) AS share_drifted,
     count(*) FILTER (hit) / count(*) >= 0.5 AS dataset_drift FROM (SELECT normalised > 0.1 AS hit FROM moved UNION ALL
     SELECT js_distance > 0.1 FROM fitted)""", "readings", more=f"{LONG}, {SHARES}, {AREA}, {KINDS}"))
 def _(t: Tables) -> DataFrame:
-    return drift.dataset_drift(drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS, small_rows=0))
+    return drift.dataset_drift(drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS))
 
 
 @entry("q8_wasserstein", sql(
@@ -497,7 +504,6 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     old, new = samples(t)
     found = jobs.drift_job(
-        old.unionByName(new).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts",
-        small_rows=0)
+        old.unionByName(new).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts")
     both = found["ks"].join(found["report"], "feature")
     return both.select("feature", *[r(c).alias(c) for c in ("statistic", "p_value", "drift_score")])

@@ -320,7 +320,7 @@ def _(t: Tables) -> DataFrame:
     return folded.select("event_id", F.col("fold").cast("bigint"))
 
 
-@entry("w16_hash_folds", f"SELECT event_id, CAST({seeded_q('event_id')} * 5 // 4294967296 AS BIGINT) AS fold FROM events")
+@entry("w16_hash_folds", f"SELECT event_id, CAST({seeded_q('event_id')} // {2 ** 60 // 5 + 1} AS BIGINT) AS fold FROM events")
 def _(t: Tables) -> DataFrame:
     return splits.hash_folds(t.events.select("event_id"), 5, "event_id").withColumn("fold", F.col("fold").cast("bigint"))
 
@@ -342,7 +342,7 @@ def _(t: Tables) -> DataFrame:
 
 @entry("r2_impute_and_resample", sql(
     f"""SELECT user_id, draw, {stamp_q('day', 'day')}, {rq('cents')} AS cents, {rq('k')} AS k FROM
-    (SELECT user_id, draw, {seeded_q('draw')} % n + 1 AS pos FROM (SELECT user_id, n, unnest(range(wanted)) AS draw FROM
+    (SELECT user_id, draw, {seeded_q('user_id', 'draw')} % n + 1 AS pos FROM (SELECT user_id, n, unnest(range(wanted)) AS draw FROM
       (SELECT user_id, count(*) AS n FROM full_days GROUP BY 1),
       (SELECT max(n) AS wanted FROM (SELECT count(*) AS n FROM daily GROUP BY user_id))))
     JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) AS pos FROM imputed) USING (user_id, pos)""",
@@ -358,7 +358,7 @@ PLACED = f"""placed AS (SELECT event_id, event_type, value, row_number() OVER (P
 
 
 @entry("r3_resample_to_largest", sql(
-    f"""SELECT draw, event_id, event_type, value FROM (SELECT event_type, draw, {seeded_q('draw')} % n + 1 AS pos
+    f"""SELECT draw, event_id, event_type, value FROM (SELECT event_type, draw, {seeded_q('event_type', 'draw')} % n + 1 AS pos
     FROM (SELECT event_type, n, unnest(range(most)) AS draw FROM sizes)) JOIN placed USING (event_type, pos)""", more=PLACED))
 def _(t: Tables) -> DataFrame:
     return sampling.resample_to_largest(t.events.select("event_id", "event_type", "value"), "event_type", "event_id")
@@ -366,7 +366,7 @@ def _(t: Tables) -> DataFrame:
 
 @entry("r4_over_sample", sql(
     f"""SELECT event_id, event_type, value, FALSE AS copied FROM events UNION ALL
-    SELECT event_id, event_type, value, TRUE FROM (SELECT event_type, {seeded_q('draw')} % n + 1 AS pos
+    SELECT event_id, event_type, value, TRUE FROM (SELECT event_type, {seeded_q('event_type', 'draw')} % n + 1 AS pos
     FROM (SELECT event_type, n, unnest(range(most - n)) AS draw FROM sizes)) JOIN placed USING (event_type, pos)""", more=PLACED))
 def _(t: Tables) -> DataFrame:
     return sampling.over_sample(t.events.select("event_id", "event_type", "value"), "event_type", "event_id")

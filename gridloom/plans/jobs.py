@@ -144,7 +144,7 @@ def data_bias(df: DataFrame, target: str = "value", group: str = "zone") -> tupl
 
 def drift_job(
     df: DataFrame, start: Column | None = None, columns: Sequence[str] | None = None,
-    order: str = "datetime", text: Sequence[str] = (), small_rows: int = 1000,
+    order: str = "datetime", text: Sequence[str] = (), judge: str = "distance",
 ) -> dict[str, DataFrame]:
     """Split at a time and run all drift tests.
 
@@ -157,7 +157,7 @@ def drift_job(
     found = checkpointed(drift.distances(counts))
     categories = drift.category_drift(drift.category_counts(baseline, new, text)) if text else None
     return {
-        "report": drift.report_from(found, categories, drift.is_small(baseline, small_rows)),
+        "report": drift.report_from(found, categories, judge),
         "ks": drift.ks_from(found),
         "psi": drift.psi(counts),
         "missing": df.sparkSession.createDataFrame([(c,) for c in missing], "column string"),

@@ -109,15 +109,15 @@ def test_category_drift(spark):
     assert math.isinf(unseen.chi2)
 
 
-def test_report_uses_p_values_for_small_samples(spark):
+def test_report_in_both_forms(spark):
     old, new = samples(8, 300, 300, 15)
     frames_ = [f.withColumn("kind", F.lit("a")) for f in frames(spark, old, new)]
-    small = {r.feature: r for r in drift.drift_report(*frames_, ["x"], ["kind"]).collect()}
+    small = {r.feature: r for r in drift.drift_report(*frames_, ["x"], ["kind"], judge="p_value").collect()}
     assert small["x"].test == "ks_p_value" and small["x"].drift_detected
     assert small["kind"].test == "chi_square_p_value" and not small["kind"].drift_detected
-    large = {r.feature: r for r in drift.drift_report(*frames_, ["x"], ["kind"], small_rows=10).collect()}
+    large = {r.feature: r for r in drift.drift_report(*frames_, ["x"], ["kind"], judge="distance").collect()}
     assert large["x"].test == "wasserstein_normalised" and large["kind"].test == "jensen_shannon"
-    whole = drift.dataset_drift(drift.drift_report(*frames_, ["x"], ["kind"])).first()
+    whole = drift.dataset_drift(drift.drift_report(*frames_, ["x"], ["kind"], judge="p_value")).first()
     assert (whole.drifted_columns, whole.share_drifted, whole.dataset_drift) == (1, 0.5, True)
 
 

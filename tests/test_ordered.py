@@ -1,5 +1,6 @@
 """Order helpers against brute force, with one group holding most rows."""
 
+import hashlib
 import random
 
 import pytest
@@ -14,7 +15,7 @@ from gridloom.operators.ordered import (
 
 
 def twin(key: int, seed: int = 42) -> int:
-    return ((key % 2147483648) * 2654435761 + seed) % 4294967296
+    return int(hashlib.md5(f"{seed}:{key}".encode()).hexdigest()[:15], 16)
 
 
 def grouped(spark, sizes):
@@ -31,6 +32,24 @@ def test_seeded_order_matches_plain_arithmetic(spark):
     assert {r.id: r.h for r in found} == {k: twin(k) for k in keys}
 
 
+def test_draws_are_with_replacement(spark):
+    sizes = spark.createDataFrame([("a", 1000), ("b", 1024), ("c", 1500), ("d", 1500)], "g string, n bigint")
+    at = [(r.g, r["at"]) for r in sampling.draws(sizes, F.col("n"), 42).collect()]
+    for g, n in (("a", 1000), ("b", 1024), ("c", 1500), ("d", 1500)):
+        drawn = [p for h, p in at if h == g]
+        assert len(drawn) == n and min(drawn) >= 1 and max(drawn) <= n
+        assert 0.59 < len(set(drawn)) / n < 0.68  # 1 - 1/e of the rows are met
+    assert sorted(p for g, p in at if g == "c") != sorted(p for g, p in at if g == "d")
+
+
+def test_small_and_odd_shares(spark):
+    df = spark.range(30000).withColumnRenamed("id", "key")
+    few = splits.random_split(df, "key", test=0.0004).groupBy("split").count().collect()
+    assert {r.split: r["count"] for r in few} == {"test": 12, "train": 29988}
+    third = splits.random_split(df, "key", test=1 / 3).filter("split = 'test'").count()
+    assert third == 10000
+
+
 def test_running_totals(spark):
     rng = random.Random(3)
     rows = [(f, v, rng.randint(0, 5), rng.randint(0, 5)) for f, n in (("x", 700), ("y", 3)) for v in rng.sample(range(5000), n)]
