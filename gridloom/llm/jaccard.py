@@ -34,7 +34,7 @@ BEHIND = 16
 #: Members of a group that probe in the first round, on average; the second round is exact with any.
 HUBS = 16
 #: Members of one group that meet in one task; larger groups are split into blocks of pairs.
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 512
 
 
 def needed(n, similarity: int):
