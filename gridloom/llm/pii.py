@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import written
+from gridloom.llm.tables import released, written
 
 TITLES = "Mr|Mrs|Ms|Miss|Herrn?|Frau|Monsieur|Madame|Mme|Mlle|Señora?|Sra?|Г-н|Г-жа|господин|госпожа|Κύριος|Κυρία"
 #: What a text with a title holds, optional letters left out.
@@ -139,7 +139,8 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if clash.where("again").isEmpty():
             return table.select("typ", "c", "s")
         fresh = clash.where("again").select("typ", "c", (F.col("attempt") + 1).alias("attempt")).withColumn("s", drawn(key))
-        table = written(clash.where("NOT again").drop("again").unionByName(fresh), "surrogates")
+        spent, table = table, written(clash.where("NOT again").drop("again").unionByName(fresh), "surrogates")
+        released(spent)
     raise ValueError("no distinct surrogates: too many entities for their format")
 
 

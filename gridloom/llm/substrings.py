@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import _LETTER, _STEP, mixed, own_names, powers, text_chunks, written
+from gridloom.llm.tables import _LETTER, _STEP, mixed, own_names, powers, released, text_chunks, written
 
 SEED_BYTES = 32
 #: Strings sorted together in a mapping task before they are sent; equal ones meet there first.
@@ -252,6 +252,7 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
         F.when(F.col("marks").isNull(), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("kept_sha256"),
     )
     both = written(both, "suffix-texts")
+    released(tied, contexts)
     marked = both.where("marks IS NOT NULL").select("doc", "text", "marks")
     found = sorted_ties(open_strings(marked, length, seed)).groupBy("doc").agg(F.collect_list("pos").alias("found"))
     done = marked.join(found, "doc", "left").select("doc", "text", "marks", "found")
