@@ -13,7 +13,9 @@ hash), because then equal strings meet in *every* sampled suffix, not in one of
 2. Rank the rest by all bytes around the sample that strings above it can hold (``context``). An
    equal context settles every string above the sample: repeated.
 3. Strings above the other samples, and above one sample of each context that they could equal,
-   are sorted bucket by bucket on their fingerprints; neighbours that tie are repeated.
+   go in runs of ``RUN`` neighbours: a run whose common core occurs once is settled as unique. The
+   strings of the other runs are sorted bucket by bucket on their core and the few bytes around
+   it; neighbours that tie are repeated.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from gridloom.llm.tables import _LETTER, _STEP, mixed, own_names, powers, released, text_chunks, written
 
 SEED_BYTES = 32
+#: Neighbouring strings that travel as one row: their core, and the bytes before and after it.
+RUN = 8
 #: Strings sorted together in a mapping task before they are sent; equal ones meet there first.
 BATCH_STRINGS = 1_000_000
 _INVERSE = pow(_STEP, -1, 1 << 64)
@@ -43,39 +47,44 @@ def _back(n: int) -> np.ndarray:
     return _BACK[0][:n]
 
 
-class Cover:
-    """Samples and fingerprints of one chunk of texts."""
+class Prints:
+    """Fingerprints of any string of one chunk of texts."""
 
-    def __init__(self, offsets: np.ndarray, data: np.ndarray, length: int, seed: int):
+    def __init__(self, offsets: np.ndarray, data: np.ndarray):
         n = len(data)
-        self.offsets, self.n, self.length, self.seed = offsets, n, length, seed
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_LETTER[data] * powers(n), dtype=np.uint64, out=sums[1:]) if n else None
-        self.sums, self.back = sums, _back(n + 1)
-        #: Starts of strings of the full length, and for each its sample.
-        ends = np.repeat(offsets[1:], np.diff(offsets))
-        self.strings = np.flatnonzero(np.arange(n) + length <= ends)
-        if not len(self.strings):
-            self.sample_of = self.samples = np.zeros(0, np.int64)
-            return
-        span = length - seed + 1
-        grams = self.names(np.arange(n - seed + 1), seed) & np.uint64((1 << 64) - (1 << 30))
-        packed = grams | np.arange(len(grams), dtype=np.uint64)
-        least = _window_min(packed, span)
-        self.sample_of = (least[self.strings] & np.uint64((1 << 30) - 1)).astype(np.int64)
-        self.samples = self.sample_of[np.flatnonzero(np.diff(self.sample_of, prepend=-1))]
+        self.offsets, self.n = offsets, n
+        self.sums = np.zeros(n + 1, np.uint64)
+        if n:
+            np.cumsum(_LETTER[data] * powers(n), dtype=np.uint64, out=self.sums[1:])
+        self.back = _back(n + 1)
 
     def names(self, starts: np.ndarray, length) -> np.ndarray:
         """Fingerprints of the strings that begin at ``starts``."""
         return mixed((self.sums[starts + length] - self.sums[starts]) * self.back[starts])
 
-    def contexts(self, row_of: np.ndarray) -> np.ndarray:
-        """Fingerprints of all bytes that a string above each sample can hold, cut at the text's ends."""
-        reach = self.length - self.seed
-        low = np.maximum(self.samples - reach, self.offsets[row_of])
-        high = np.minimum(self.samples + self.length, self.offsets[row_of + 1])
-        place = (self.samples - low).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
-        return mixed(self.names(low, high - low) + place + (high - low).astype(np.uint64))
+
+class Cover(Prints):
+    """The samples of a chunk, and the strings above each: ``many`` from ``first`` on."""
+
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, length: int, seed: int):
+        super().__init__(offsets, data)
+        self.length = length
+        ends = np.repeat(offsets[1:], np.diff(offsets))
+        strings = np.flatnonzero(np.arange(self.n) + length <= ends)
+        if not len(strings):
+            self.samples = self.first = self.many = np.zeros(0, np.int64)
+            return
+        grams = self.names(np.arange(self.n - seed + 1), seed) & np.uint64((1 << 64) - (1 << 30))
+        least = _window_min(grams | np.arange(len(grams), dtype=np.uint64), length - seed + 1)
+        sample_of = (least[strings] & np.uint64((1 << 30) - 1)).astype(np.int64)
+        edge = np.flatnonzero(np.diff(sample_of, prepend=-1))
+        self.samples, self.first = sample_of[edge], strings[edge]
+        self.many = np.diff(edge, append=len(strings))
+
+    def contexts(self) -> np.ndarray:
+        """Fingerprints of all bytes of the strings above each sample, and of its place in them."""
+        place = (self.samples - self.first).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+        return mixed(self.names(self.first, self.many - 1 + self.length) + place + self.many.astype(np.uint64))
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -91,7 +100,8 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def samples(documents: DataFrame, length: int, seed: int) -> DataFrame:
-    """key, context, doc, pos of every sampled suffix of (doc, text)."""
+    """key, context, doc, pos of every sampled suffix of (doc, text); the strings above it are
+    ``many`` from ``ahead`` bytes before it on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,22 +112,76 @@ def samples(documents: DataFrame, length: int, seed: int) -> DataFrame:
                     continue
                 rows = np.searchsorted(offsets, c.samples, "right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.names(c.samples, seed).view(np.int64)), pa.array(c.contexts(rows).view(np.int64)),
-                     pa.array(ids[row + rows].astype(np.int64)), pa.array((c.samples - offsets[rows]).astype(np.int32))],
-                    ["key", "context", "doc", "pos"],
+                    [pa.array(c.names(c.samples, seed).view(np.int64)), pa.array(c.contexts().view(np.int64)),
+                     pa.array(ids[row + rows].astype(np.int64)), pa.array((c.samples - offsets[rows]).astype(np.int32)),
+                     pa.array((c.samples - c.first).astype(np.int32)), pa.array(c.many.astype(np.int32))],
+                    ["key", "context", "doc", "pos", "ahead", "many"],
                 )
 
-    return documents.mapInArrow(run, "key long, context long, doc long, pos int")
+    return documents.mapInArrow(run, "key long, context long, doc long, pos int, ahead int, many int")
 
 
 REPEATED, OPEN, GIVES = 1, 2, 3
 
 
-def open_strings(texts: DataFrame, length: int, seed: int) -> DataFrame:
-    """name, doc, pos, state of the strings that step 3 sorts, of (doc, text, marks).
+class Marks:
+    """A column of lists of marks: numpy arrays of the marks of some rows, and their rows."""
 
-    Open strings that tie in the task are already known to be repeated: one of them is sent to
-    tie with others, and all are sent on under spread names.
+    def __init__(self, column: pa.ListArray):
+        self.ends = column.offsets.to_numpy()
+        self.fields = {k: column.values.field(k).to_numpy().astype(np.int64) for k in ("pos", "ahead", "many", "state")}
+
+    def of(self, row: int, rows: int) -> tuple[np.ndarray, ...]:
+        """Row (from 0), pos, ahead, many and state of the marks of ``rows`` rows from ``row`` on."""
+        ends = self.ends[row : row + rows + 1]
+        return np.repeat(np.arange(rows), np.diff(ends)), *[f[ends[0] : ends[-1]] for f in self.fields.values()]
+
+
+def open_runs(texts: DataFrame, length: int) -> DataFrame:
+    """Runs of the strings that step 3 settles, of (doc, text, marks).
+
+    ``core`` names the bytes that all strings of a whole run share, from ``pos`` on; ``left`` and
+    ``right`` are the bytes before and after it, the nearest lowest. String j of a run starts j bytes
+    before the core and has RUN - 1 - j bytes after it; those from ``low`` to ``high`` are meant.
+    """
+    size = length - RUN + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = batch.column(0).to_numpy(), Marks(batch.column(2))
+            for row, offsets, data in text_chunks(batch.column(1)):
+                rows, pos, ahead, many, state = marks.of(row, len(offsets) - 1)
+                at = np.flatnonzero(state >= OPEN)
+                if not len(at):
+                    continue
+                least, most = (ahead - many + 1)[at], ahead[at]
+                runs = most // RUN - least // RUN + 1
+                at, least, most = np.repeat(at, runs), np.repeat(least, runs), np.repeat(most, runs)
+                near = RUN * (least // RUN + np.arange(len(at)) - np.repeat(np.cumsum(runs) - runs, runs))
+                low, high = np.maximum(0, least - near), np.minimum(RUN - 1, most - near)
+                place = pos[at] - near
+                start = offsets[rows[at]] + place
+                padded = np.concatenate([np.zeros(RUN, np.uint64), data.astype(np.uint64), np.zeros(RUN, np.uint64)])
+                left, right = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+                for j in range(RUN - 1):
+                    shift = np.uint64(8 * j)
+                    left |= np.where(j < high, padded[start - 1 - j + RUN], np.uint64(0)) << shift
+                    right |= np.where(j < RUN - 1 - low, padded[start + size + j + RUN], np.uint64(0)) << shift
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(Prints(offsets, data).names(start, size).view(np.int64)), pa.array(left.view(np.int64)), pa.array(right.view(np.int64)),
+                     pa.array(ids[row + rows[at]].astype(np.int64)), pa.array(place.astype(np.int32)),
+                     pa.array(low.astype(np.int8)), pa.array(high.astype(np.int8)), pa.array(state[at].astype(np.int8))],
+                    ["core", "left", "right", "doc", "pos", "low", "high", "state"],
+                )
+
+    return texts.mapInArrow(run, "core long, left long, right long, doc long, pos int, low byte, high byte, state byte")
+
+
+def strings_of(runs: DataFrame) -> DataFrame:
+    """name, doc, pos, state of the single strings of runs.
+
+    Open strings that tie in the task are already known to be repeated; one of those that tie is
+    sent to tie with others. Runs of one core mostly come together, so this settles most.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,41 +198,31 @@ def open_strings(texts: DataFrame, length: int, seed: int) -> DataFrame:
             alone = np.repeat(size == 1, size)
             sure = ~alone & (state == OPEN)
             first = new & ~alone
-            spread = mixed(doc[sure].astype(np.uint64) * np.uint64(1 << 20) + pos[sure].astype(np.uint64))
-            parts = (
-                np.concatenate([name[alone], name[first], spread]),
-                np.concatenate([doc[alone], doc[first], doc[sure]]),
-                np.concatenate([pos[alone], pos[first], pos[sure]]),
-                np.concatenate([state[alone], np.full(first.sum(), GIVES), np.full(sure.sum(), REPEATED)]),
-            )
+            pick = np.concatenate([np.flatnonzero(alone), np.flatnonzero(first), np.flatnonzero(sure)])
+            state = np.concatenate([state[alone], np.full(first.sum(), GIVES), np.full(sure.sum(), REPEATED)])
             return pa.RecordBatch.from_arrays(
-                [pa.array(parts[0].view(np.int64)), pa.array(parts[1]), pa.array(parts[2].astype(np.int32)), pa.array(parts[3].astype(np.int8))],
+                [pa.array(name[pick].view(np.int64)), pa.array(doc[pick]), pa.array(pos[pick].astype(np.int32)), pa.array(state.astype(np.int8))],
                 ["name", "doc", "pos", "state"],
             )
 
         for batch in batches:
-            ids, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for row, offsets, data in text_chunks(batch.column(1)):
-                c = Cover(offsets, data, length, seed)
-                if not len(c.samples):
-                    continue
-                state = np.zeros(c.n, np.int8)
-                for i in range(len(offsets) - 1):
-                    mark = marks[row + i] or []
-                    state[offsets[i] + np.array([m["pos"] for m in mark], np.int64)] = [m["state"] for m in mark]
-                of = state[c.sample_of]
-                at = np.flatnonzero(of >= OPEN)
-                starts = c.strings[at]
-                rows = np.searchsorted(offsets, starts, "right") - 1
-                held.append((c.names(starts, length), np.array(ids[row : row + len(offsets) - 1], np.int64)[rows], starts - offsets[rows], of[at]))
+            core, left, right, doc, pos, low, high, state = (c.to_numpy() for c in batch.columns)
+            core, left, right = core.view(np.uint64), left.view(np.uint64), right.view(np.uint64)
+            for j in range(RUN):
+                at = np.flatnonzero((low <= j) & (j <= high))
+                before = left[at] & np.uint64((1 << 8 * j) - 1)
+                after = right[at] & np.uint64((1 << 8 * (RUN - 1 - j)) - 1)
+                # Together RUN - 1 bytes; the eighth tells j.
+                around = before | (after << np.uint64(8 * j)) | np.uint64(j << 56)
+                held.append((mixed(core[at] + mixed(around)), doc[at], pos[at] - j, state[at]))
                 count += len(at)
-                if count >= BATCH_STRINGS:
-                    yield answer()
-                    held, count = [], 0
+            if count >= BATCH_STRINGS:
+                yield answer()
+                held, count = [], 0
         if count:
             yield answer()
 
-    return texts.mapInArrow(run, "name long, doc long, pos int, state byte")
+    return runs.mapInArrow(run, "name long, doc long, pos int, state byte")
 
 
 def sorted_ties(strings: DataFrame) -> DataFrame:
@@ -190,7 +244,7 @@ def sorted_ties(strings: DataFrame) -> DataFrame:
                 docs.append([carried[0]])
                 places.append([carried[1]])
                 carried = None
-            out = (ties & (state == OPEN)) | (state == REPEATED)
+            out = ties & (state == OPEN)
             docs.append(doc[out])
             places.append(pos[out])
             if len(name) and not ties[-1]:
@@ -214,11 +268,11 @@ def _answer(ids: list, parts: list[tuple[int, int, int, str]]) -> pa.RecordBatch
     )
 
 
-def cleaned(data: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int]:
-    """``data`` without the strings that begin at ``starts``, and the number of runs removed."""
+def cleaned(data: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, int]:
+    """``data`` without the stretches from ``starts`` to ``stops``, and the number of runs removed."""
     cover = np.zeros(len(data) + 1, np.int32)
     np.add.at(cover, starts, 1)
-    np.add.at(cover, starts + length, -1)
+    np.add.at(cover, stops, -1)
     gone = np.cumsum(cover[:-1]) > 0
     runs = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), runs
@@ -228,7 +282,7 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Matches never cross texts; null counts as empty, texts shorter than ``length`` lose nothing;
-    equal texts lose all. Strings are compared by 64-bit fingerprints. Keys must be unique and
+    equal texts lose all. ``length`` is at least ``seed`` and RUN. Strings are compared by 64-bit fingerprints. Keys must be unique and
     not null: the bytes of rows that share a key count as starting elsewhere, but the rows get
     the union of their spans. Extra columns are left behind. Empty input gives an empty result.
     """
@@ -241,8 +295,8 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     open_keys = contexts.where("n = 1").groupBy("key").agg(F.count("*").alias("open"))
     state = F.when(F.col("n") == 1, OPEN).when(F.col("open").isNotNull() & (F.struct("doc", "pos") == F.col("first")), GIVES).otherwise(REPEATED)
     known = contexts.join(open_keys, "key", "left")
-    marks = tied.join(known, ["key", "context"]).select("doc", F.col("pos"), state.cast("int").alias("state"))
-    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("pos", "state")).alias("marks"))
+    marks = tied.join(known, ["key", "context"]).select("doc", F.struct("pos", "ahead", "many", state.cast("int").alias("state")).alias("mark"))
+    marks = marks.groupBy("doc").agg(F.collect_list("mark").alias("marks"))
     texts_marked = texts.join(marks, "doc", "left")
     # One pass over the join: marked texts keep their text, the others only their digest.
     both = texts_marked.select(
@@ -254,31 +308,34 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     both = written(both, "suffix-texts")
     released(tied, contexts)
     marked = both.where("marks IS NOT NULL").select("doc", "text", "marks")
-    found = sorted_ties(open_strings(marked, length, seed)).groupBy("doc").agg(F.collect_list("pos").alias("found"))
+    runs = written(open_runs(marked, length), "suffix-runs")
+    cores = runs.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    shared = runs.join(cores, "core").select(*runs.columns)
+    strings = written(strings_of(shared), "suffix-strings")
+    released(runs)
+    found = sorted_ties(strings.where(F.col("state") != REPEATED)).union(strings.where(F.col("state") == REPEATED).select("doc", "pos"))
+    found = found.groupBy("doc").agg(F.collect_list("pos").alias("found"))
     done = marked.join(found, "doc", "left").select("doc", "text", "marks", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, more = batch.column(2).to_pylist(), batch.column(3)
+            ids, marks, more = batch.column(0).to_pylist(), Marks(batch.column(2)), batch.column(3)
             for row, offsets, data in text_chunks(batch.column(1)):
-                c = Cover(offsets, data, length, seed)
-                state = np.zeros(c.n + 1, np.int8)
-                for i in range(len(offsets) - 1):
-                    mark = marks[row + i] or []
-                    state[offsets[i] + np.array([m["pos"] for m in mark], np.int64)] = [m["state"] for m in mark]
-                sure = np.zeros(c.n + 1, bool)
-                sure[c.strings[np.isin(state[c.sample_of], (REPEATED, GIVES))]] = True
+                rows, pos, ahead, many, state = marks.of(row, len(offsets) - 1)
+                sure = np.isin(state, (REPEATED, GIVES))
+                first, last = (pos - ahead)[sure], (pos - ahead + many - 1 + length)[sure]
+                bounds = np.searchsorted(rows[sure], np.arange(len(offsets)))
                 out = []
                 for i in range(len(offsets) - 1):
-                    a, b = offsets[i], offsets[i + 1]
-                    starts = np.flatnonzero(sure[a:b])
+                    starts, stops = first[bounds[i] : bounds[i + 1]], last[bounds[i] : bounds[i + 1]]
                     extra = more[row + i].values
                     if extra is not None:
-                        starts = np.union1d(starts, np.asarray(extra))
-                    own = data[a:b].tobytes()
-                    kept, runs = cleaned(own, starts.astype(np.int64), length)
-                    out.append((len(own), len(own) - len(kept), runs, hashlib.sha256(kept).hexdigest()))
-                yield _answer(batch.column(0).slice(row, len(out)).to_pylist(), out)
+                        extra = extra.to_numpy().astype(np.int64)
+                        starts, stops = np.concatenate([starts, extra]), np.concatenate([stops, extra + length])
+                    own = data[offsets[i] : offsets[i + 1]].tobytes()
+                    kept, cuts = cleaned(own, starts, stops)
+                    out.append((len(own), len(own) - len(kept), cuts, hashlib.sha256(kept).hexdigest()))
+                yield _answer(ids[row : row + len(out)], out)
 
     got = done.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     zero = F.lit(0).cast("long")
