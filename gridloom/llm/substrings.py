@@ -287,14 +287,18 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     the union of their spans. Extra columns are left behind. Empty input gives an empty result.
     """
     texts = own_names(documents, **{key: "doc", text: "text"}).select(F.col("doc").cast("long"), F.col("text").cast("string"))
-    sampled = samples(texts, length, seed)
-    often = sampled.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    tied = written(sampled.join(often, "key"), "suffix-samples")
+    # Each side of a join on a key that may be hot is a table of its own, so that adaptive
+    # execution can split the hot key.
+    sampled = written(samples(texts, length, seed), "suffix-samples")
+    often = written(sampled.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "suffix-keys")
+    tied = written(sampled.join(often, "key"), "suffix-ties")
+    released(sampled, often)
     contexts = tied.groupBy("key", "context").agg(F.count("*").alias("n"), F.min(F.struct("doc", "pos")).alias("first"))
     contexts = written(contexts, "suffix-contexts")
-    open_keys = contexts.where("n = 1").groupBy("key").agg(F.count("*").alias("open"))
+    open_keys = written(contexts.where("n = 1").groupBy("key").agg(F.count("*").alias("open")), "suffix-open")
+    known = written(contexts.join(open_keys, "key", "left"), "suffix-known")
+    released(contexts, open_keys)
     state = F.when(F.col("n") == 1, OPEN).when(F.col("open").isNotNull() & (F.struct("doc", "pos") == F.col("first")), GIVES).otherwise(REPEATED)
-    known = contexts.join(open_keys, "key", "left")
     marks = tied.join(known, ["key", "context"]).select("doc", F.struct("pos", "ahead", "many", state.cast("int").alias("state")).alias("mark"))
     marks = marks.groupBy("doc").agg(F.collect_list("mark").alias("marks"))
     texts_marked = texts.join(marks, "doc", "left")
@@ -306,13 +310,13 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
         F.when(F.col("marks").isNull(), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("kept_sha256"),
     )
     both = written(both, "suffix-texts")
-    released(tied, contexts)
+    released(tied, known)
     marked = both.where("marks IS NOT NULL").select("doc", "text", "marks")
     runs = written(open_runs(marked, length), "suffix-runs")
-    cores = runs.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    cores = written(runs.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), "suffix-cores")
     shared = runs.join(cores, "core").select(*runs.columns)
     strings = written(strings_of(shared), "suffix-strings")
-    released(runs)
+    released(runs, cores)
     found = sorted_ties(strings.where(F.col("state") != REPEATED)).union(strings.where(F.col("state") == REPEATED).select("doc", "pos"))
     found = found.groupBy("doc").agg(F.collect_list("pos").alias("found"))
     done = marked.join(found, "doc", "left").select("doc", "text", "marks", "found")
