@@ -176,3 +176,25 @@ def test_fuzzy_passages(spark):
     kept = {x.doc_id: x.text for x in passages.without_passages(df, passages.shared_passages(df, window=4)).collect()}
     assert kept[1] == rows[0][1] and len(kept[2].split()) in range(138, 146) and kept[4] is None
     assert passages.shared_passages(df.limit(0)).count() == 0
+
+
+def test_exact_passages_of_common_lines(spark):
+    rng = random.Random(10)
+    lines = [" ".join(f"w{rng.randrange(500)}" for _ in range(10)) for _ in range(12)]
+    rows = [(i, " ".join(rng.choice(lines) for _ in range(30))) for i in range(600)]
+    copies = {}
+    for i in range(600, 630):
+        of = rng.randrange(300, 600)
+        at = rng.randrange(240)
+        copied = rows[of][1].split()[at : at + 60]
+        copies[i] = copied
+        rows.append((i, " ".join([*(f"x{i}y{j}" for j in range(40)), *copied, *(f"z{i}y{j}" for j in range(40))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = df.select("doc_id", "text").toDF("doc", "text")
+    matched, _ = passages.matches(passages.shared_seeds(passages.seeds(texts, window=1)))
+    linked = {(r.a, r.b) for r in matched.where("b >= 600").select("a", "b").distinct().collect()}
+    text = {i: " " + t + " " for i, t in rows}
+    for i, copied in copies.items():
+        for s in (0, 5, 10):
+            run = " " + " ".join(copied[s : s + 50]) + " "
+            assert any(run in text[a] for a, b in linked if b == i), (i, s)
