@@ -198,3 +198,31 @@ def test_exact_passages_of_common_lines(spark):
         for s in (0, 5, 10):
             run = " " + " ".join(copied[s : s + 50]) + " "
             assert any(run in text[a] for a, b in linked if b == i), (i, s)
+
+
+@pytest.mark.parametrize("every,length,inserted", [(10, 55, True), (15, 60, True), (8, 80, True), (10, 55, False)])
+def test_alignment_over_inserted_and_deleted_words(every, length, inserted):
+    rng = random.Random(every * length)
+    number = lambda n: np.array([rng.randrange(1, 1 << 30) for _ in range(n)])
+    for trial in range(20):
+        passage = number(length)
+        a = np.concatenate([number(64), passage, number(64)])
+        at = np.arange(trial % every, length, every)
+        changed = np.insert(passage, at, number(len(at))) if inserted else np.delete(passage, at)
+        b = np.concatenate([number(64), changed, number(64)])
+        i = 25 + int(np.isin(changed[25:], passage).argmax())
+        (x,) = np.flatnonzero(a == changed[i])
+        agree, opposite = passages.aligned(a, b, np.array([x]), np.array([64 + i]), 1)
+        assert agree.sum() >= np.isin(changed, passage).sum()
+        assert (a[opposite[agree]] == b[agree]).all()
+        assert passages.stretches(agree, min(50, len(changed) - 3), 80)
+        if len(changed) >= 53:
+            wide = [np.full((1, 64), -1, np.int16) for _ in range(4)]
+            for cells, words in zip(wide, (a[:x][::-1], b[: 64 + i][::-1], a[x + 1 :], b[65 + i :])):
+                cells[0, : min(64, len(words))] = (words % 256)[:64]
+            left, right = passages._reach(wide[0], wide[1], 80), passages._reach(wide[2], wide[3], 80)
+            assert passages._can(left, right, np.array([1]), 50, 80).all()
+    far = np.concatenate([number(60), passage, number(60)])
+    apart = np.concatenate([passage[:20], number(60), passage[20:]])
+    got, _ = passages._gap(passage, apart, passages.BAND)
+    assert got.sum() >= length and passages._gap(far, passage, passages.BAND)[0].sum() >= length
