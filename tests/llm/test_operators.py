@@ -226,3 +226,42 @@ def test_alignment_over_inserted_and_deleted_words(every, length, inserted):
     apart = np.concatenate([passage[:20], number(60), passage[20:]])
     got, _ = passages._gap(passage, apart, passages.BAND)
     assert got.sum() >= length and passages._gap(far, passage, passages.BAND)[0].sum() >= length
+
+
+def test_registered_parameters_find_fuzzy_passages(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(20000)]
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    rows, planted = [], {}
+    for i in range(90):
+        length, kind = rng.randint(51, 60), i % 3
+        passage = some(length)
+        if kind == 0:
+            changed = [rng.choice(words) if j % 6 == 5 and j < length - 1 else w for j, w in enumerate(passage)]
+        elif kind == 1:
+            at = set(rng.sample(range(1, length - 1), length // 5))
+            changed = [rng.choice(words) if j in at else w for j, w in enumerate(passage)]
+        else:
+            changed = [x for j, w in enumerate(passage) for x in ([rng.choice(words), w] if j % 10 == 5 else [w])]
+        planted[1000 + i] = (i, 70, 70 + len(changed), sum(w in passage for w in changed))
+        rows += [(i, " ".join(some(70) + passage + some(70))), (1000 + i, " ".join(some(70) + changed + some(70)))]
+    got = passages.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r.doc_id, r.of_doc): r for r in got}
+    for b, (a, start, stop, equal) in planted.items():
+        r = found.get((b, a))
+        assert r is not None, (b, a)
+        assert r.stop - r.start >= 50 and 100 * r.agreeing >= 80 * (r.stop - r.start)
+        assert abs(r.start - start) <= 6 and abs(r.stop - stop) <= 6
+
+
+def test_stretches_like_brute_force():
+    rng = random.Random(13)
+    for _ in range(300):
+        agree = np.array([rng.random() < rng.choice((0.5, 0.8, 0.9)) for _ in range(60)])
+        sums = np.append(0, np.cumsum(agree))
+        spans = [(s, e) for s in range(60) for e in range(s + 20, 61) if agree[s] and agree[e - 1] and 100 * (sums[e] - sums[s]) >= 80 * (e - s)]
+        longest = passages._longest(agree, 20, 80)
+        assert (longest is not None) == bool(spans)
+        if spans:
+            assert longest in spans and longest[1] - longest[0] == max(e - s for s, e in spans)
+            assert passages.stretches(agree, 20, 80)
