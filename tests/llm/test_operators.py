@@ -191,7 +191,7 @@ def test_exact_passages_of_common_lines(spark):
         rows.append((i, " ".join([*(f"x{i}y{j}" for j in range(40)), *copied, *(f"z{i}y{j}" for j in range(40))])))
     df = spark.createDataFrame(rows, "doc_id long, text string")
     texts = df.select("doc_id", "text").toDF("doc", "text")
-    matched, _ = passages.matches(passages.shared_seeds(passages.seeds(texts, window=1)))
+    matched, _ = passages.matches(texts)
     linked = {(r.a, r.b) for r in matched.where("b >= 600").select("a", "b").distinct().collect()}
     text = {i: " " + t + " " for i, t in rows}
     for i, copied in copies.items():
