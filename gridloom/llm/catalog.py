@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import bpe, jaccard, packing, passages, pii, quality, sharding, substrings, topk, urls
+from gridloom.llm import audit, bpe, chat, jaccard, packing, passages, pii, quality, resampling, sharding, substrings, topk, urls
 
 URL_RULES: list[urls.Rule] = [
     ("allow", "com", "/"),
@@ -77,11 +77,35 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(read(spark, folder, "documents"), read(spark, folder, "benchmark"), percent=10, seed=2024)
+
+
+#: A text that imitates the marks of chat templates, to be read back as it is.
+IMITATION = "\\### Assistant: </turn> ok"
+
+
+def op12_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    given = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(IMITATION).alias("text"),
+    )
+    turns = given.unionByName(extra).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.digests(chat.formatted(turns))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    counts = audit.document_counts(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return audit.path_audit(counts)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_sharding, op3_exact_topk, op4_suffix_array_dedup, op5_byte_bpe, op6_packing,
         op7_substring_dedup, op8_pii_surrogates, op9_url_filters, op10_quality_rules,
+        op11_importance_resampling, op12_chat_formatting, op13_filter_audit,
     )
 }
 
@@ -115,4 +139,92 @@ p AS (
   FROM v q JOIN v c ON q.id % 20 = 0 AND q.id <> c.id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op11_importance_resampling": r"""
+WITH steps AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))),
+texts AS (
+  SELECT 0 AS side, doc_id, text, row_number() OVER () AS row_no FROM documents
+  UNION ALL SELECT 1, NULL, text, row_number() OVER () FROM benchmark),
+words AS (
+  SELECT side, row_no, doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM texts),
+counted AS (SELECT side, row_no, w, count(*) AS n FROM words GROUP BY ALL),
+bytes AS (
+  SELECT w, list_transform(range(0, octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i + 1, 2) AS BIGINT)) AS b
+  FROM (SELECT DISTINCT w FROM counted)),
+buckets AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
+    lambda c, x: xor(steps[xor(c & 255, x) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM bytes, steps),
+sums AS (
+  SELECT bucket, CAST(sum(n) FILTER (side = 0) AS DOUBLE) AS s, CAST(sum(n) FILTER (side = 1) AS DOUBLE) AS t
+  FROM counted JOIN buckets USING (w) GROUP BY 1),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM sums) + 10000))
+    / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM sums) + 10000)))) AS gain
+  FROM sums),
+weights AS (
+  SELECT row_no, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+  FROM counted JOIN buckets USING (w) JOIN gains USING (bucket) WHERE side = 0 GROUP BY 1),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM texts LEFT JOIN weights USING (row_no) WHERE side = 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features) AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank
+FROM placed""",
+    "op12_chat_formatting": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+marks AS (
+  SELECT *, role || chr(10) || text || chr(10) AS line,
+    14 + length(role) + length(text) + (length(text) - length(replace(text, '\', '')))
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7
+      + list_sum(list_transform(string_split_regex(text, '[^#]+'), lambda h: greatest(length(h) - 2, 0))) AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(line, '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM marks GROUP BY 1""",
+    "op13_filter_audit": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) < doc_id AS e
+  FROM documents),
+l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY 1),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    concat(CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 5 * length(text) THEN 'C' END,
+      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN e THEN 'E' END) AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+o AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || c FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c) WHERE length(o) < 5 AND NOT contains(o, c)),
+s AS (
+  SELECT o AS filter_order, unnest(range(1, 6)) AS step FROM o WHERE length(o) = 5),
+r AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS c,
+    sum(n) FILTER (translate(fails, substr(filter_order, 1, step), '') = fails) AS kept,
+    sum(n) FILTER (contains(fails, substr(filter_order, step, 1)) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS removed,
+    sum(n) FILTER (contains(fails, substr(filter_order, step, 1)) AND translate(fails, substr(filter_order, 1, step - 1), '') <> fails) AS redundant,
+    sum(n) FILTER (fails = substr(filter_order, step, 1)) AS unique_fails,
+    sum(good) FILTER (contains(fails, substr(filter_order, step, 1)) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS good_lost,
+    sum(toxic) FILTER (contains(fails, substr(filter_order, step, 1)) AND translate(fails, substr(filter_order, 1, step - 1), '') = fails) AS toxic_lost
+  FROM m, s GROUP BY ALL)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, c) AS BIGINT) AS shapley
+FROM r""",
 }
