@@ -152,10 +152,12 @@ def document_counts(documents: DataFrame, labels: DataFrame) -> DataFrame:
     marks = marks.groupBy(F.col("label_id").cast("long").alias("label_id")).agg(
         F.max((F.col("quality") == 1).cast("long")).alias("good"), F.max((F.col("toxic") == 1).cast("long")).alias("toxic")
     )
-    named = rows.where("doc_id IS NOT NULL").join(marks, F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
-    nameless = rows.where("doc_id IS NULL").withColumns({"good": F.lit(None).cast("long"), "toxic": F.lit(None).cast("long")})
+    # Rows without doc_id are spread by their text and match no label.
+    rows = rows.withColumns({"key": F.coalesce("doc_id", F.xxhash64("print")), "nameless": F.col("doc_id").isNull()})
+    marks = marks.withColumn("labelled", F.lit(False))
+    joined = rows.join(marks, (F.col("key") == F.col("label_id")) & (F.col("nameless") == F.col("labelled")), "left")
     table = written(
-        named.unionByName(nameless).select(
+        joined.select(
             "doc_id", "part", "mask", "print", "n",
             (F.col("n") * F.coalesce("good", F.lit(0))).alias("good"), (F.col("n") * F.coalesce("toxic", F.lit(0))).alias("toxic"),
         ),
