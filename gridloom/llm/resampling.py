@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import LOWER, own_names, text_chunks, written
+from gridloom.llm.tables import LOWER, own_names, released, text_chunks, written
 from gridloom.operators.ordered import cname, global_position
 
 BUCKETS = 10_000
@@ -101,7 +101,11 @@ def bucket_counts(texts: DataFrame, text: str = "text", runs: int = 1, buckets:
 
 
 def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """floor(1000 ln) of the target's smoothed share of each bucket over the corpus's: one row per bucket."""
+    """floor(1000 ln) of the target's smoothed share of each bucket over the corpus's: one entry per bucket.
+
+    Both counts have at most ``buckets`` rows and are written, so that the texts are read once.
+    """
+    corpus, target = written(corpus, "corpus-counts"), written(target, "target-counts")
     total = [F.coalesce(c.agg(F.sum("n")).scalar(), F.lit(0)).cast("double") for c in (corpus, target)]
     both = corpus.select("bucket", F.col("n").alias("s"), F.lit(0).cast("long").alias("t")).unionByName(
         target.select("bucket", F.lit(0).cast("long").alias("s"), F.col("n").alias("t"))
@@ -109,6 +113,7 @@ def gains(corpus: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np.nd
     sums = both.groupBy("bucket").agg(F.sum("s").cast("double").alias("s"), F.sum("t").cast("double").alias("t"))
     ratio = ((F.col("t") + 1) * (total[0] + buckets)) / ((F.col("s") + 1) * (total[1] + buckets))
     rows = sums.select("bucket", F.floor(1000 * F.log(ratio)).alias("gain")).collect()  # ``buckets`` rows
+    released(corpus, target)
     out = np.zeros(buckets, np.int64)
     out[[r.bucket for r in rows]] = [r.gain for r in rows]
     return out
