@@ -16,13 +16,14 @@ from gridloom.operators.ordered import cname
 
 @dataclass(frozen=True)
 class ColumnRule:
-    """What is known of one column: type, nullability and, for numbers, bounds."""
+    """What is known of one column: type, nullability, bounds of numbers, allowed values of text."""
 
     column: str
     type: str
     nullable: bool
     min: float | None = None
     max: float | None = None
+    values: tuple[str, ...] | None = None
 
 
 def _is_number(field: T.StructField) -> bool:
@@ -59,18 +60,24 @@ def rules_to_json(rules: Sequence[ColumnRule]) -> str:
 
 
 def rules_from_json(text: str) -> list[ColumnRule]:
-    return [ColumnRule(**entry) for entry in json.loads(text)]
+    return [_rule(entry) for entry in json.loads(text)]
+
+
+def _rule(entry: dict) -> ColumnRule:
+    values = entry.get("values")
+    return ColumnRule(**{**entry, "values": None if values is None else tuple(values)})
+
+
+_LAYOUT = "column string, type string, nullable boolean, min double, max double, values array<string>"
 
 
 def save_rules(spark: SparkSession, rules: Sequence[ColumnRule], path: str) -> None:
-    kept = [(r.column, r.type, r.nullable, r.min, r.max) for r in rules]
-    layout = "column string, type string, nullable boolean, min double, max double"
-    spark.createDataFrame(kept, layout).coalesce(1).write.mode("overwrite").json(path)
+    kept = [(r.column, r.type, r.nullable, r.min, r.max, None if r.values is None else list(r.values)) for r in rules]
+    spark.createDataFrame(kept, _LAYOUT).coalesce(1).write.mode("overwrite").json(path)
 
 
 def load_rules(spark: SparkSession, path: str) -> list[ColumnRule]:
-    layout = "column string, type string, nullable boolean, min double, max double"
-    return [ColumnRule(**r.asDict()) for r in spark.read.schema(layout).json(path).collect()]
+    return [_rule(r.asDict()) for r in spark.read.schema(_LAYOUT).json(path).collect()]
 
 
 def _same_kind(rule: ColumnRule, field: T.StructField) -> bool:
@@ -98,6 +105,9 @@ def _checks(rules: Sequence[ColumnRule], df: DataFrame) -> list[tuple[str, str,
         if rule.max is not None:
             high = value.cast("double") > F.lit(rule.max)
             checks.append((rule.column, "max", F.coalesce(high, F.lit(False))))
+        if rule.values is not None:
+            known = F.array_contains(F.lit(list(rule.values)).cast("array<string>"), cname(rule.column).cast("string"))
+            checks.append((rule.column, "value", F.coalesce(~known, F.lit(False))))
     return checks
 
 

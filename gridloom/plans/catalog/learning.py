@@ -11,7 +11,7 @@ from gridloom.operators.ordered import cname, over_blocks
 from gridloom.operators.stats import regression_metrics
 from gridloom.plans import jobs
 from gridloom.plans.catalog.base import (
-    Tables, entry, r, rounded, rq, seeded_q, sql, stamp_q, timed,
+    ORACLE, Tables, entry, r, rounded, rq, seeded_q, sql, stamp_q, timed,
 )
 from gridloom.plans.catalog.measures import ERRORS, FRAME, biased, BIASED, frame
 from gridloom.plans.catalog.rows import (
@@ -22,6 +22,7 @@ from gridloom.plans.catalog.storage import (
     RUNS, VERSIONS, demand_payload, parsed, runs, versions, weather_payload, RAW_LIST,
 )
 from gridloom.session import checkpointed, scratch_path
+from gridloom.sources import snapshots
 from gridloom.sources.dimensions import MARKET_REGIONS
 
 FEATURES = ["tempF", "windspeedMiles", "humidity", "pressure", "visibility"]
@@ -346,6 +347,30 @@ def _(t: Tables) -> DataFrame:
     return finished(outcome.merged)
 
 
+@entry("e2_month_table", ORACLE["e2_daily_increment"])
+def _(t: Tables) -> DataFrame:
+    newest = t.raw.agg(F.max("datetime")).scalar()
+    table, state = scratch_path(t.spark, "table"), scratch_path(t.spark, "state")
+    parts = [
+        t.raw.filter(F.col("datetime") < newest - F.expr("INTERVAL 3 DAYS")),
+        t.raw.filter(F.col("datetime") >= newest - F.expr("INTERVAL 7 DAYS"))]
+    rules = [quality.ColumnRule("zone", "string", False), quality.ColumnRule("value", "double", True, 0.0, 1.0)]
+    for part in parts:
+        outcome = jobs.daily_increment(None, part, rules, table=table, state=state)
+    return finished(outcome.merged)
+
+
+@entry("e2_raw_branch", sql(
+    f"SELECT {RAW_LIST} FROM (SELECT * FROM raw WHERE datetime < {NEWEST} - INTERVAL 3 DAY UNION ALL SELECT * FROM raw WHERE datetime >= {NEWEST} - INTERVAL 7 DAY)", "raw"))
+def _(t: Tables) -> DataFrame:
+    newest = t.raw.agg(F.max("datetime")).scalar()
+    store = scratch_path(t.spark, "raw-store")
+    jobs.raw_increment(None, t.raw.filter(F.col("datetime") < newest - F.expr("INTERVAL 3 DAYS")), store, keep=1)
+    history = snapshots.read_version(t.spark, store)
+    jobs.raw_increment(history, t.raw.filter(F.col("datetime") >= newest - F.expr("INTERVAL 7 DAYS")), store, keep=1)
+    return timed(snapshots.read_version(t.spark, store))
+
+
 @entry("e3_collect_dataset", sql(
     f"""SELECT {RAW_LIST} FROM raw JOIN (SELECT zone AS z, CAST(datetime AS DATE) AS day FROM raw GROUP BY 1, 2 HAVING count(*) > 3) f
     ON raw.zone = f.z AND CAST(raw.datetime AS DATE) = f.day""", "raw"))

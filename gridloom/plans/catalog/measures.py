@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom import schemas
-from gridloom.operators import bias, drift, quality, stats
+from gridloom.operators import bias, drift, quality, rulestate, stats
 from gridloom.plans import jobs
 from gridloom.plans.catalog.base import (
     Tables, entry, r, rounded, rq, sql, stamp, stamp_q, timed,
 )
 from gridloom.plans.catalog.rows import TWICE, twice
+from gridloom.session import scratch_path
 
 # ---- statistics -------------------------------------------------------------------------
 
@@ -329,6 +330,37 @@ def _(t: Tables) -> DataFrame:
     return quality.schema_statistics(t.patchy)
 
 
+@entry("q1_merged_rules", sql(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", '{kind}' AS type, count(*) AS rows, count(*) FILTER ("{c}" IS NULL) AS nulls, """
+    + (f'CAST(min("{c}") AS DOUBLE) AS min, CAST(max("{c}") AS DOUBLE) AS max' if kind == "bigint" else "NULL::DOUBLE AS min, NULL::DOUBLE AS max")
+    + (", array_to_string(list_sort(list(DISTINCT zone)), ',') AS known_values" if c == "zone" else ", NULL::VARCHAR AS known_values")
+    + " FROM patchy" for c, kind in RULED.items()), "patchy"))
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "state")
+    for i in range(3):  # three batches; none reads the others
+        rulestate.save_merged(t.patchy.filter(F.dayofmonth("datetime") % 3 == i), path, value_sets=["zone"])
+    return rulestate.load_state(t.spark, path).select(
+        "column", F.col("types")[0].alias("type"), "rows", "nulls", "min", "max", F.array_join("values", ",").alias("known_values"))
+
+
+@entry("q4_gate", sql(
+    """SELECT part, bool_and(fits) AS accepted, CASE WHEN bool_and(fits) THEN 0 ELSE count(*) END AS set_aside
+    FROM (SELECT CASE WHEN zone = 'view' THEN 'seen' ELSE 'new' END AS part, """
+    + " AND ".join(f'"{c}" BETWEEN (SELECT min("{c}") FROM hourly WHERE zone = \'view\') AND (SELECT max("{c}") FROM hourly WHERE zone = \'view\')'
+                   for c, kind in RULED.items() if kind == "bigint")
+    + " AND zone = 'view' AS fits FROM hourly) GROUP BY 1", "hourly"))
+def _(t: Tables) -> DataFrame:
+    state = rulestate.column_state(t.hourly.filter("zone = 'view'"), ["zone"])
+    rules, found = rulestate.rules_of(state), None
+    for part, batch in (("seen", t.hourly.filter("zone = 'view'")), ("new", t.hourly.filter("zone <> 'view'"))):
+        aside = scratch_path(t.spark, "aside")
+        accepted = quality.gate(batch, rules, aside)
+        kept = t.spark.read.schema(batch.schema).parquet(aside) if not accepted else batch.limit(0)
+        row = kept.agg(F.count(F.lit(1)).alias("set_aside")).select(F.lit(part).alias("part"), F.lit(accepted).alias("accepted"), "set_aside")
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 OLD = f"old AS (SELECT * FROM patchy WHERE datetime < {CUT}), new AS (SELECT * FROM patchy WHERE datetime >= {CUT})"
 
 

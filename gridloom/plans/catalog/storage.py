@@ -158,6 +158,15 @@ def _(t: Tables) -> DataFrame:
     return snapshots.manifest(t.spark, store).select(F.col("version").cast("bigint"), "name", "rows")
 
 
+@entry("k5_retention", sql("SELECT v AS version, 'hourly' AS name, count(*) AS rows FROM hourly, (SELECT unnest([2, 3]) AS v) GROUP BY 1", "hourly"))
+def _(t: Tables) -> DataFrame:
+    store = scratch_path(t.spark, "store")
+    for part in (t.hourly.filter("zone = 'view'"), t.hourly, t.hourly):
+        snapshots.publish(part, store, "hourly")
+    snapshots.retain(t.spark, store, 2)
+    return snapshots.manifest(t.spark, store).select("version", "name", "rows")
+
+
 RUNS = """scored AS (SELECT *, (value + guess) / 2.0::DOUBLE AS blend, CAST(min(value) OVER () AS DOUBLE) AS lo,
   CAST(max(value) OVER () AS DOUBLE) AS hi FROM predicted),
  errors AS (SELECT zone, CAST(day(datetime) AS BIGINT) AS version, (value - lo) / (hi - lo) AS y,

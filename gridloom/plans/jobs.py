@@ -19,6 +19,7 @@ from gridloom.operators import (
     quality,
     registry,
     report,
+    rulestate,
     scaling,
     splits,
 
@@ -108,31 +109,52 @@ class Increment:
     merged: DataFrame | None
 
 def daily_increment(
-    history: DataFrame,
+    history: DataFrame | None,
     new_raw: DataFrame,
     rules: Sequence[quality.ColumnRule] | None = None,
     store: str | None = None,
     quarantine: str | None = None,
     keys: Sequence[str] = ("zone", "datetime"),
     table: str | None = None,
+    state: str | None = None,
 ) -> Increment:
-    """Preprocess new rows, validate against the history's schema, merge or set aside, publish.
+    """Preprocess new rows, validate against what is known, merge or set aside, publish.
 
     ``store`` gets the merged table as a new version. ``table`` names a month-partitioned table
-    that holds the history: then only the months of the new rows are read and rewritten.
+    that holds the history: then only the months of the new rows are read and rewritten. ``state`` names
+    the saved column statistics of all accepted batches: the rules come from it and the accepted
+    batch is merged into it. With both, no step reads the history. Without ``rules`` and
+    without a state, the rules are inferred from ``history``, which must be given then.
     """
+    spark = new_raw.sparkSession
     processed = checkpointed(preprocess(new_raw))
-    rules = rules if rules is not None else quality.infer_rules(history)
-    if not quality.gate(processed, rules, quarantine):
+    known = rulestate.load_state(spark, state) if state and rules is None else None
+    if known is not None:
+        rules = rulestate.rules_of(known)
+    elif rules is None and history is not None:
+        rules = quality.infer_rules(history)
+    if rules is not None and not quality.gate(processed, rules, quarantine):
         return Increment(False, None, None)
+    if state:
+        rulestate.save_merged(processed, state)
     if table:
         ingest.merge_batch(processed, table, keys)
-        merged = history.sparkSession.read.parquet(table).drop("month")
+        merged = spark.read.parquet(table).drop("month")
     else:
         merged = combine.merge_history(history, processed, keys)
     version = snapshots.publish(merged, store, "preprocessed") if store else None
     return Increment(True, version, merged)
 
+def raw_increment(
+    history: DataFrame | None, new_raw: DataFrame, store: str, keep: int = 2, name: str = "raw"
+) -> tuple[int, list[int]]:
+    """The raw branch of a daily run: append, publish as a new version, drop versions beyond ``keep``.
+
+    Raw rows are kept as they came, repeated ones too. Returns the version and the dropped ones.
+    """
+    version = snapshots.publish(combine.append_new(history, new_raw), store, name)
+    return version, snapshots.retain(new_raw.sparkSession, store, keep)
+
 def data_bias(df: DataFrame, target: str = "value", group: str = "zone") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Coverage by group, its between-group difference, and the mitigated table."""
     rates = bias.coverage(df, target, group)

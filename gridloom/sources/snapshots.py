@@ -1,10 +1,14 @@
 """Versioned table snapshots: ``path/version=N`` folders and a manifest.
 
-A version exists once its manifest row is written; a crash before that leaves an unlisted folder.
+A writer claims its number by creating a file that must not exist yet, so two writers never share
+one. A version exists once its own folder of the manifest is there; a crash before that leaves an
+unlisted folder and a spent number. Nothing that is listed is ever written again: retention takes a
+version off the list by deleting its manifest folder, then deletes its rows.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,23 +16,45 @@ MANIFEST_SCHEMA = (
     "version int, name string, rows bigint, schema string, content_hash string, "
     "published timestamp"
 )
+#: A number taken by another writer is tried again with the next one, so often at most.
+CLAIMS = 1000
 
 
 def _manifest_path(path: str) -> str:
     return f"{path.rstrip('/')}/_manifest"
 
 
+def _opened(spark: SparkSession, path: str):
+    """The file system of a path, and the path on it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path is there, on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    system, target = _opened(spark, path)
+    return system.exists(target)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _opened(spark, path)
+    system.delete(target, True)
+
+
+def claim_version(spark: SparkSession, path: str) -> int:
+    """The next free number, taken by an exclusive create; numbers of dropped versions stay taken."""
+    system, claims = _opened(spark, f"{path.rstrip('/')}/_claims")
+    taken = [int(f.getPath().getName()) for f in system.listStatus(claims)] if system.exists(claims) else []
+    first = max([*taken, latest_version(spark, path) or 0]) + 1
+    for version in range(first, first + CLAIMS):
+        _, target = _opened(spark, f"{path.rstrip('/')}/_claims/{version}")
+        try:
+            system.create(target, False).close()
+            return version
+        except Py4JJavaError:
+            if not system.exists(target):
+                raise
+    raise RuntimeError(f"no free version number from {first} on at {path}")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -54,18 +80,17 @@ def content_hash(df: DataFrame) -> DataFrame:
 def publish(df: DataFrame, path: str, name: str) -> int:
     """Write the next version and list it. Returns the version number."""
     spark = df.sparkSession
-    version = (latest_version(spark, path) or 0) + 1
+    version = claim_version(spark, path)
     target = f"{path.rstrip('/')}/version={version}"
-    df.write.mode("overwrite").parquet(target)
+    df.write.parquet(target)
     facts = content_hash(spark.read.parquet(target))
     facts.select(
-        F.lit(version).alias("version"),
         F.lit(name).alias("name"),
         "rows",
         F.lit(df.schema.json()).alias("schema"),
         "content_hash",
         F.current_timestamp().alias("published"),
-    ).write.mode("append").json(_manifest_path(path))
+    ).write.json(f"{_manifest_path(path)}/version={version}")
     return version
 
 
@@ -79,13 +104,10 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
 
 
 def retain(spark: SparkSession, path: str, keep: int) -> list[int]:
-    """Drop all but the newest ``keep`` versions; the manifest is rewritten first."""
-    rows = manifest(spark, path).orderBy(F.desc("version")).collect()  # one row per version
-    kept, dropped = rows[:keep], rows[keep:]
-    if dropped:
-        spark.createDataFrame(kept, MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(
-            _manifest_path(path)
-        )
-        for row in dropped:
-            _delete(spark, f"{path.rstrip('/')}/version={row.version}")
-    return sorted(r.version for r in dropped)
+    """Drop all but the newest ``keep`` versions, each from the manifest first."""
+    listed = manifest(spark, path).select("version").orderBy(F.desc("version")).collect()  # one row per version
+    dropped = sorted(row.version for row in listed[max(keep, 0):])
+    for version in dropped:
+        _delete(spark, f"{_manifest_path(path)}/version={version}")
+        _delete(spark, f"{path.rstrip('/')}/version={version}")
+    return dropped

@@ -184,3 +184,16 @@ def test_top_k_across_query_blocks_equals_one_pass(spark, monkeypatch):
     for q, ids in best.items():
         mine = sorted((r["rank"], round(float(unit[q] @ unit[r.match]), 9)) for r in found if r["query"] == q)
         assert [s for _, s in mine] == [scores[q][i] for i in ids]
+
+
+def test_two_writers_never_share_a_number(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "store")
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(lambda n: snapshots.publish(spark.range(n + 1), path, "x"), range(6)))
+    assert sorted(numbers) == [1, 2, 3, 4, 5, 6]
+    assert {r.version: r.rows for r in snapshots.manifest(spark, path).collect()} == {v: n + 1 for n, v in enumerate(numbers)}
+    assert snapshots.retain(spark, path, 0) == [1, 2, 3, 4, 5, 6]
+    assert snapshots.manifest(spark, path).count() == 0
+    assert snapshots.publish(spark.range(1), path, "x") == 7
