@@ -3,28 +3,32 @@
 from __future__ import annotations
 
 import itertools
+import json
 import random
-import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom import schemas
 from gridloom.functions.calendar import epoch_seconds
-from gridloom.operators import scaling, windows
+from gridloom.operators import gram, scaling, windows
 from gridloom.operators.bias import balanced_weights, metric_frame
 from gridloom.operators.cleaning import clean
 from gridloom.operators.ordered import cname, hash_block, seeded_order
 from gridloom.operators.stats import regression_metrics
 
-PREDICTION = "prediction"
+PREDICTION = gram.PREDICTION
+MODEL_NOTE = "name string, stamp string, kind string, path string"
 
 # The search space of the boosted trees that Spark has a counterpart for.
 # The two weight penalties of the original grid have none and are left out.
@@ -36,32 +40,124 @@ TREE_GRID = {
 }
 
 
+#: Labels of a text feature come to the driver; a column with more is no label.
+LABEL_LIMIT = 10_000
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
-def linear_regression(features: Sequence[str], label: str = schemas.MODEL_LABEL, weight: str | None = None) -> Pipeline:
+def text_features(df: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features that hold text and need codes."""
+    return [f for f in features if isinstance(df.schema[f].dataType, T.StringType)]
+
+
+def _prepared(features: Sequence[str], text: Sequence[str] = ()) -> list:
+    """Stages that code the text features and put all features into one vector.
+
+    The coder is fitted on the training rows and saved with the model: codes go by the text order of the labels,
+    and a label that was not there, or null, gets the code after the last.
+    """
+    if not text:
+        return [_assembler(features)]
+    coder = StringIndexer(
+        inputCols=list(text), outputCols=[f"_code_{t}" for t in text], handleInvalid="keep", stringOrderType="alphabetAsc"
+    )
+    return [coder, _assembler([f"_code_{f}" if f in text else f for f in features])]
+
+
+def linear_regression(
+    features: Sequence[str], label: str = schemas.MODEL_LABEL, weight: str | None = None, text: Sequence[str] = ()
+) -> Pipeline:
     fit = LinearRegression(featuresCol="features", labelCol=label, solver="auto", maxIter=1000)
     if weight:
         fit.setWeightCol(weight)
-    return Pipeline(stages=[_assembler(features), fit])
+    return Pipeline(stages=[*_prepared(features, text), fit])
 
 
-def lasso(features: Sequence[str], label: str = schemas.MODEL_LABEL, alpha: float = 0.1) -> Pipeline:
+def lasso(
+    features: Sequence[str], label: str = schemas.MODEL_LABEL, alpha: float = 0.1, text: Sequence[str] = ()
+) -> Pipeline:
     fit = LinearRegression(
         featuresCol="features", labelCol=label, regParam=alpha, elasticNetParam=1.0,
         standardization=False,
     )
-    return Pipeline(stages=[_assembler(features), fit])
+    return Pipeline(stages=[*_prepared(features, text), fit])
 
 
 def boosted_trees(
-    features: Sequence[str], label: str = schemas.MODEL_LABEL, weight: str | None = None, **params
+    features: Sequence[str], label: str = schemas.MODEL_LABEL, weight: str | None = None, text: Sequence[str] = (),
+    **params,
 ) -> Pipeline:
     fit = GBTRegressor(featuresCol="features", labelCol=label, seed=42, **params)
     if weight:
         fit.setWeightCol(weight)
-    return Pipeline(stages=[_assembler(features), fit])
+    return Pipeline(stages=[*_prepared(features, text), fit])
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """A line with the codes of its text features, as fitted on the training rows.
+
+    Codes are those of the pipelines: text order, a label that was not there or null gets the code after
+    the last. The model is a small JSON text.
+    """
+
+    labels: Mapping[str, tuple[str, ...]]
+    fit: gram.LinearFit
+
+    def encoded(self, df: DataFrame) -> DataFrame:
+        """The text features as numbers, in place."""
+        return df.withColumns({
+            name: F.coalesce(
+                F.nullif(F.array_position(F.lit(list(known)).cast("array<string>"), cname(name)), F.lit(0)) - 1, F.lit(len(known))
+            ).cast("double")
+            for name, known in self.labels.items()
+        })
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        kept = [cname(c) for c in df.columns]
+        scored = self.fit.transform(self.encoded(df.withColumns({f"_kept_{t}": cname(t) for t in self.labels})))
+        for t in self.labels:
+            scored = scored.drop(t).withColumnRenamed(f"_kept_{t}", t)
+        return scored.select(*kept, PREDICTION)
+
+    def save(self, spark, path: str) -> None:
+        text = json.dumps({"labels": self.labels, "fit": self.fit.to_json()})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @staticmethod
+    def load(spark, path: str) -> LinearModel:
+        parts = json.loads(spark.read.text(path).first().value)
+        return LinearModel({k: tuple(v) for k, v in parts["labels"].items()}, gram.LinearFit.from_json(parts["fit"]))
+
+
+def label_codes(df: DataFrame, columns: Sequence[str]) -> LinearModel:
+    """The codes of text columns, as a model that is not fitted yet."""
+    held = {}
+    for c in columns:
+        rows = df.select(cname(c).alias("label")).where(cname(c).isNotNull()).distinct().limit(LABEL_LIMIT + 1).collect()
+        if len(rows) > LABEL_LIMIT:
+            raise ValueError(f"{c} has more than {LABEL_LIMIT} labels")
+        held[c] = tuple(sorted((r.label for r in rows), key=lambda x: x.encode()))
+    return LinearModel(held, gram.LinearFit((), (), 0.0))
+
+
+def train_linear(
+    df: DataFrame, features: Sequence[str], label: str = schemas.MODEL_LABEL, alpha: float = 0.0,
+    weight: str | None = None, balanced: str | None = None,
+) -> LinearModel:
+    """Least squares (or a lasso with ``alpha``) from one scan; ``balanced`` names a column whose groups weigh the same."""
+    coder = label_codes(df, text_features(df, features))
+    ready = df.withColumn("_group", cname(balanced)) if balanced else df
+    by = ["_group"] if balanced else []
+    grams = gram.matrices(gram.gram_sums(coder.encoded(ready), features, label, by, weight), by)
+    if not any(g[0, 0] for g in grams.values()):
+        raise ValueError("no complete rows to fit on")
+    whole = gram.balanced(grams) if balanced else grams[()]
+    fit = gram.solve_lasso(whole, features, alpha) if alpha else gram.solve(whole, features)
+    return LinearModel(coder.labels, fit)
 
 
 def sample_grid(grid: dict[str, list], picks: int, seed: int = 42) -> list[dict]:
@@ -107,25 +203,35 @@ def cross_validate(df: DataFrame, estimator: Pipeline, fold: str, folds: int, la
     return results
 
 
-def estimator_for(kind: str, features: Sequence[str], weight: str | None = None, **params) -> Pipeline:
-    """``lr``, ``lasso`` or ``xgboost`` (boosted trees)."""
+def estimator_for(
+    kind: str, features: Sequence[str], weight: str | None = None, text: Sequence[str] = (), **params
+) -> Pipeline:
+    """``lr``, ``lasso`` or ``xgboost`` (Spark's boosted trees); ``text`` names the features that need codes."""
     if kind == "lr":
-        return linear_regression(features, weight=weight)
+        return linear_regression(features, weight=weight, text=text)
     if kind == "lasso":
-        return lasso(features, **params)
+        return lasso(features, text=text, **params)
     if kind == "xgboost":
-        return boosted_trees(features, weight=weight, **params)
+        return boosted_trees(features, weight=weight, text=text, **params)
     raise ValueError(f"unknown model type: {kind}")
 
 
-def train(df: DataFrame, kind: str, features: Sequence[str], since: str | None = None, **params) -> PipelineModel:
-    """Fit a model type, on all rows or on rows from a date on."""
+def train(
+    df: DataFrame, kind: str, features: Sequence[str], since: str | None = None, **params
+) -> PipelineModel | LinearModel:
+    """Fit a model type, on all rows or on rows from a date on.
+
+    Besides the kinds of ``estimator_for``: ``linear`` and ``linear_lasso`` are closed forms from sums of products,
+    in which dependent columns are no trouble. Text features are coded by a stage of the model.
+    """
     if since is not None:
         df = df.filter(cname("datetime") >= F.lit(since).cast(df.schema["datetime"].dataType))
-    return estimator_for(kind, features, **params).fit(df)
+    if kind in ("linear", "linear_lasso"):
+        return train_linear(df, features, alpha=params.pop("alpha", 0.1) if kind == "linear_lasso" else 0.0, **params)
+    return estimator_for(kind, features, text=text_features(df, features), **params).fit(df)
 
 
-def evaluate(model: PipelineModel, df: DataFrame, label: str = schemas.MODEL_LABEL) -> DataFrame:
+def evaluate(model: PipelineModel | LinearModel, df: DataFrame, label: str = schemas.MODEL_LABEL) -> DataFrame:
     return regression_metrics(model.transform(df), label, PREDICTION)
 
 
@@ -200,10 +306,17 @@ def importance_input(df: DataFrame, text: Sequence[str] = ("subba-name", "zone")
 
 def mitigate(
     training: DataFrame, test: DataFrame, group: str, kind: str, features: Sequence[str], **params
-) -> tuple[PipelineModel, DataFrame]:
-    """Refit with balanced group weights; returns the model and its metric frame on test rows."""
-    weighted = balanced_weights(training, group, "weight")
-    model = estimator_for(kind, features, weight="weight", **params).fit(weighted)
+) -> tuple[PipelineModel | LinearModel, DataFrame]:
+    """Refit with balanced group weights; returns the model and its metric frame on test rows.
+
+    A linear kind needs no weight per row: the sums of the groups are weighed.
+    """
+    if kind == "linear":
+        model = train_linear(training, features, balanced=group, **params)
+    else:
+        weighted = balanced_weights(training, group, "weight")
+        text = text_features(training, features)
+        model = estimator_for(kind, features, weight="weight", text=text, **params).fit(weighted)
     frame = metric_frame(model.transform(test), schemas.MODEL_LABEL, PREDICTION, [group])
     return model, frame
 
@@ -229,22 +342,33 @@ def score_newest(
     )
 
 
-def save_model(model: PipelineModel, folder: str, name: str, stamp: str) -> str:
-    """Save under ``<folder>/<safe name>_<stamp>``."""
+def _model_path(folder: str, name: str, stamp: str) -> str:
     safe = "".join(c if c.isascii() and c.isalnum() else "_" for c in name)
-    path = f"{folder.rstrip('/')}/{safe}_{stamp}"
-    model.write().overwrite().save(path)
+    return f"{folder.rstrip('/')}/{safe}_{stamp}"
+
+
+def save_model(model: PipelineModel | LinearModel, folder: str, name: str, stamp: str) -> str:
+    """Save under ``<folder>/<safe name>_<stamp>``; the name as it is, stamp and kind go into a file beside the model."""
+    spark, path = SparkSession.active(), _model_path(folder, name, stamp)
+    linear = isinstance(model, LinearModel)
+    if linear:
+        model.save(spark, f"{path}/linear")
+    else:
+        model.write().overwrite().save(path)
+    told = spark.createDataFrame([(name, stamp, "linear" if linear else "pipeline", path)], MODEL_NOTE)
+    told.coalesce(1).write.mode("overwrite").json(f"{path}/_note")
     return path
 
 
-def load_latest(spark, folder: str, name: str) -> PipelineModel:
-    """Load the newest saved model of exactly this name (largest stamp; stamps begin with a digit)."""
-    safe = "".join(c if c.isascii() and c.isalnum() else "_" for c in name)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    paths = [s.getPath() for s in fs.listStatus(root)]
-    found = [(m[1], p.toString()) for p in paths if (m := re.fullmatch(rf"{safe}_(\d[^/]*)", p.getName()))]
-    if not found:
+def load_latest(spark, folder: str, name: str) -> PipelineModel | LinearModel:
+    """Load the newest saved model of exactly this name (largest stamp)."""
+    try:
+        notes = spark.read.schema(MODEL_NOTE).json(f"{folder.rstrip('/')}/*/_note")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no saved model in {folder}") from error
+    newest = notes.filter(F.col("name") == name).agg(F.max_by(F.struct("kind", "path"), "stamp").alias("x")).first().x
+    if newest is None:
         raise FileNotFoundError(f"no saved model {name} in {folder}")
-    return PipelineModel.load(max(found)[1])
+    return LinearModel.load(spark, f"{newest.path}/linear") if newest.kind == "linear" else PipelineModel.load(newest.path)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators import gram
 from gridloom.operators.cleaning import numeric_columns
-from gridloom.operators.ordered import cname, running_totals
+from gridloom.operators.ordered import cname
 
 
 def group_mean(df: DataFrame, by: str | Column, metric: str, name: str = "mean") -> DataFrame:
@@ -28,34 +31,79 @@ def null_counts(df: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(df.columns))])))
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float]) -> DataFrame:
+#: Bins per wanted position and pass, and values at or below which a bin is not cut further but read out.
+BINS, FEW = 512, 4096
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], bins: int = BINS, few: int = FEW) -> DataFrame:
     """(feature, n, q_0, q_1, …): exact, linearly interpolated quantiles of many columns.
 
-    Distinct values are counted first; running counts over range slices then locate the
-    wanted positions, so no single task or buffer holds a column.
+    Selection by counting: every position lies between two bounds; one pass counts the rows of equal bins
+    between them, for all columns and positions at once, and the bin that holds the position gives the next
+    bounds. When few distinct values are left between the bounds, or none between neighbouring numbers,
+    they are counted and read out. Nothing is sorted and no value is moved: what is shuffled are the counts
+    of ``bins`` bins per position, and then the counts of at most ``few`` rows' values. A position lost in
+    a narrow crowd of very many distinct values takes more passes. Nulls and NaN are not values.
     """
-    values = df.select(*[cname(c).cast("double").alias(c) for c in columns])
-    long = values.unpivot([], [cname(c) for c in columns], "feature", "value").filter(
-        "value IS NOT NULL"
-    )
-    counted = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = running_totals(counted, ["feature"], "value", ["n"])
-    sizes = running.groupBy("feature").agg(F.sum("n").alias("size"))
-    placed = running.join(F.broadcast(sizes), "feature")  # one row per column
-    picks = []
-    for i, q in enumerate(fractions):
-        at = (F.col("size") - 1) * F.lit(float(q))
-        for side, place in (("low", F.floor(at)), ("high", F.ceil(at))):
-            picks.append(
-                F.min(F.when(F.col("running_n") > place, F.col("value"))).alias(f"_{side}_{i}")
-            )
-    found = placed.groupBy("feature").agg(F.max("size").alias("n"), *picks)
-    blended = []
-    for i, q in enumerate(fractions):
-        at = (F.col("n") - 1) * F.lit(float(q))
-        low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
-        blended.append((low + (high - low) * (at - F.floor(at))).alias(f"q_{i}"))
-    return found.select("feature", "n", *blended)
+    spark = df.sparkSession
+    values = df.select(*[F.nanvl(cname(c).cast("double"), F.lit(None)).alias(f"_{i}") for i, c in enumerate(columns)])
+    ends = values.agg(*[F.struct(F.count(f"_{i}"), F.min(f"_{i}"), F.max(f"_{i}")).alias(f"_{i}") for i in range(len(columns))]).first()
+    # A wanted place (0-based): its column, the bounds it lies in and the rows below them. All of this is a few numbers.
+    open_places, known = {}, {}
+    for i in range(len(columns)):
+        n, low, high = ends[i]
+        for q in fractions:
+            at = (n - 1) * float(q)
+            for place in {math.floor(at), math.ceil(at)} if n else ():
+                open_places[i, place] = (low, high, 0, n)
+    while open_places:
+        by_span: dict[tuple, list[int]] = {}
+        for (i, place), (low, high, below, inside) in open_places.items():
+            if low == high:
+                known[i, place] = low
+            else:
+                by_span.setdefault((i, low, high, below, inside), []).append(place)
+        spans, cells, open_places = list(by_span), [], {}
+        for s, (i, low, high, below, inside) in enumerate(spans):
+            value, edges = F.col(f"_{i}"), np.linspace(low, high, bins + 1) if math.isfinite(high - low) else None
+            if edges is None:  # infinities, or bounds too far apart for a difference: by sign first
+                item = F.when(value.isin(float("-inf"), float("inf")), F.signum(value) * 2).otherwise(F.signum(value))
+            elif inside <= few or len(np.unique(edges)) < bins + 1:
+                item = value  # the values themselves: few rows, or numbers with hardly another between them
+            else:
+                width = (high - low) / bins
+                item = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("double")
+            cells.append(F.when(value.between(F.lit(low), F.lit(high)), F.struct(F.lit(s).alias("span"), item.alias("item"), value.alias("value"))))
+        if not spans:
+            break
+        hits = values.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("x"))
+        counted = hits.groupBy("x.span", "x.item").agg(F.count(F.lit(1)).alias("n"), F.min("x.value").alias("low"), F.max("x.value").alias("high"))
+        found: dict[int, list] = {}
+        for r in counted.orderBy("span", "item").collect():
+            found.setdefault(r.span, []).append(r)
+        for s, (i, _, _, below, _) in enumerate(spans):
+            for place in by_span[spans[s]]:
+                before = below
+                for r in found[s]:
+                    if place < before + r.n:
+                        # The bin's own least and greatest value are the next bounds: they shrink in every pass.
+                        open_places[i, place] = (r.low, r.high, before, r.n)
+                        break
+                    before += r.n
+    rows = []
+    for i, c in enumerate(columns):
+        n, blended = ends[i][0], []
+        for q in fractions:
+            at = (n - 1) * float(q)
+            if not n:
+                blended.append(None)
+                continue
+            low, high = known[i, math.floor(at)], known[i, math.ceil(at)]
+            blended.append(low if low == high else low + (high - low) * (at - math.floor(at)))
+        if n:
+            rows.append((c, n, *blended))
+    layout = ", ".join(["feature string", "n bigint", *[f"q_{i} double" for i in range(len(fractions))]])
+    return spark.createDataFrame(rows, layout)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -102,26 +150,22 @@ def median_cut(df: DataFrame, column: str) -> Column:
     return quantiles(df, [column], [0.5]).select("q_0").scalar()
 
 
-def _pair_row(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[tuple[str, str], Column]]:
-    """One wide row with the correlation of every pair below the diagonal, and its columns."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    wide = df.agg(
-        *[F.corr(cname(a).cast("double"), cname(b).cast("double")).alias(f"_{i}")
-          for i, (a, b) in enumerate(pairs)]
-    )
-    found = {pair: F.col(f"_{i}") for i, pair in enumerate(pairs)}
-    return wide, found
+CORRELATION = "feature_1 string, feature_2 string, correlation double"
 
 
 def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(feature_1, feature_2, correlation) for every ordered pair, from one pass."""
-    wide, found = _pair_row(df, list(columns or numeric_columns(df)))
+    """(feature_1, feature_2, correlation) for every ordered pair, each over the rows where both are known.
+
+    The sums of all pairs come from one array aggregate (see ``gram``), so the plan does not grow with the
+    number of pairs; the matrix is one small row. A constant column has null correlations.
+    """
+    names = list(columns or numeric_columns(df))
+    found = gram.correlation_matrix(df, names)
     cells = [
-        F.struct(F.lit(x).alias("feature_1"), F.lit(y).alias("feature_2"), c.alias("correlation"))
-        for (a, b), c in found.items()
-        for x, y in ((a, b), (b, a))
+        (a, b, None if np.isnan(found[i, j]) else float(found[i, j]))
+        for i, a in enumerate(names) for j, b in enumerate(names) if i != j
     ]
-    return wide.select(F.inline(F.array(*cells)))
+    return df.sparkSession.createDataFrame(cells, CORRELATION)
 
 
 def strong_pairs(
@@ -129,27 +173,21 @@ def strong_pairs(
 ) -> DataFrame:
     """Pairs correlated beyond the threshold, and the member that is closer to the target.
 
-    Each pair is named once, the later column first. Everything comes from one wide row.
+    Each pair is named once, the later column first.
     """
-    wide, found = _pair_row(df, columns)
-
-    def to_target(feature: str) -> Column:
-        if feature == target:
-            return F.lit(1.0)
-        return found[(feature, target)] if (feature, target) in found else found[(target, feature)]
-
+    names = list(columns)
+    wanted = names if target in names else [*names, target]
+    found = gram.correlation_matrix(df, wanted)
+    np.fill_diagonal(found, 1.0)
+    to_target = found[:, wanted.index(target)]
     cells = []
-    for (a, b), c in found.items():
-        # Rounded, so that two copies of one column tie whatever order the sums were taken in.
-        closer = F.round(F.abs(to_target(a)), 9) > F.round(F.abs(to_target(b)), 9)
-        cells.append(
-            F.struct(
-                F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), c.alias("correlation"),
-                to_target(a).alias("target_1"), to_target(b).alias("target_2"),
-                F.when(closer, F.lit(a)).otherwise(F.lit(b)).alias("keep"),
-            )
-        )
-    return wide.select(F.inline(F.array(*cells))).filter(F.abs("correlation") > threshold)
+    for i, a in enumerate(names):
+        for j, b in enumerate(names[:i]):
+            if abs(found[i, j]) > threshold:  # not for an unknown correlation
+                # Rounded, so that two copies of one column tie whatever order the sums were taken in.
+                closer = round(abs(to_target[i]), 9) > round(abs(to_target[j]), 9)
+                cells.append((a, b, *(None if np.isnan(x) else float(x) for x in (found[i, j], to_target[i], to_target[j])), a if closer else b))
+    return df.sparkSession.createDataFrame(cells, f"{CORRELATION}, target_1 double, target_2 double, keep string")
 
 
 def regression_metrics(df: DataFrame, truth: str, predicted: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom import schemas
-from gridloom.operators import bias, models, quality, registry, regions, report, scaling, splits
+from gridloom.operators import bias, gram, models, quality, registry, regions, report, scaling, splits
 from gridloom.operators.ordered import cname, over_blocks
 from gridloom.operators.stats import regression_metrics
 from gridloom.plans import jobs
@@ -25,13 +25,64 @@ from gridloom.session import checkpointed, scratch_path
 from gridloom.sources import snapshots
 from gridloom.sources.dimensions import MARKET_REGIONS
 
-FEATURES = ["tempF", "windspeedMiles", "humidity", "pressure", "visibility"]
+FEATURES = list(schemas.MODEL_FEATURES)
 
 
 def learning_table(t: Tables) -> DataFrame:
-    """The keyed hourly table with the model features, globally scaled."""
-    slim = t.keyed.select("row_id", "zone", cname("subba-name"), "datetime", *FEATURES, "value")
-    return scaling.scale_min_max(slim, (), [*FEATURES, "value"])
+    """The preprocessed table with a row key: all model features, globally scaled."""
+    featured = checkpointed(jobs.feature_table(t.keyed))
+    slim = featured.select("row_id", "zone", cname("subba-name"), "datetime", *FEATURES, "value")
+    return scaling.scale_min_max(slim, (), [c for c in [*FEATURES, "value"] if not c.startswith("month")])
+
+
+DIGITS = 9
+
+
+def scaled(over: str):
+    """SQL of a scaled final column."""
+
+    def cell(column: str) -> str:
+        if column.startswith("month"):
+            return f"({column} + 1) / 2"
+        value = f'CAST("{column}" AS DOUBLE)'
+        return f"({value} - min({value}) OVER ({over})) / nullif(max({value}) OVER ({over}) - min({value}) OVER ({over}), 0)"
+
+    return cell
+
+
+#: Twin of ``learning_table``, with the code of the area and the splits by zone (``part``) and of the whole table (``whole``).
+LEARNING = FEATURED.replace("FROM raw)", "FROM keyed)") + ", learning AS (SELECT row_id, zone, datetime, " + ", ".join(
+    f'{scaled("")(c)} AS "{c}"' for c in [*FEATURES, "value"]) + f""", CAST(dense_rank() OVER (ORDER BY "subba-name") - 1 AS DOUBLE) AS "subba-name",
+ CASE WHEN row_number() OVER z <= (count(*) OVER g * 200) // 1000 THEN 'test'
+  WHEN row_number() OVER z <= (count(*) OVER g * 200) // 1000 + (count(*) OVER g * 100) // 1000 THEN 'validation' ELSE 'train' END AS part,
+ CASE WHEN row_number() OVER (ORDER BY {seeded_q('row_id')}, row_id) <= (count(*) OVER () * 200) // 1000 THEN 'test' ELSE 'train' END AS whole,
+ CAST({seeded_q('row_id')} // ({1 << 60} // 5 + 1) AS INTEGER) AS fold
+ FROM featured WINDOW z AS (PARTITION BY zone ORDER BY {seeded_q('row_id')}, row_id), g AS (PARTITION BY zone))"""
+
+
+def line_sql(source: str, features: list[str], name: str = "line") -> str:
+    """CTEs of least squares by elimination over ``source`` (columns fit, w, features, value): ``name`` has fit and b."""
+    p = len(features) + 2
+    cells = ", ".join(f'CAST("{c}" AS DOUBLE)' for c in [*features, "value"])
+    return f"""{name}_z AS (SELECT fit, w, [CAST(1 AS DOUBLE), {cells}] AS z FROM {source}),
+ {name}_s AS (SELECT fit, i, j, sum(w * z[i] * z[j]) AS s FROM {name}_z, (SELECT unnest(range(1, {p + 1})) AS i), (SELECT unnest(range(1, {p + 1})) AS j) GROUP BY ALL),
+ {name}_r AS (SELECT fit, 0 AS k, list(s ORDER BY i, j) AS m, list(s ORDER BY i, j) AS base FROM {name}_s GROUP BY fit
+  UNION ALL SELECT fit, k + 1, CASE WHEN m[k * {p} + k + 1] > 1e-9 * base[k * {p} + k + 1] THEN list_transform(range(0, {p * p}),
+   lambda q: CASE WHEN q // {p} = k THEN m[q + 1] / m[k * {p} + k + 1]
+    ELSE m[q + 1] - m[(q // {p}) * {p} + k + 1] * (m[k * {p} + q % {p} + 1] / m[k * {p} + k + 1]) END) ELSE m END, base
+  FROM {name}_r WHERE k < {p - 1}),
+ {name} AS (SELECT fit, list_transform(range(0, {p - 1}), lambda i: CASE WHEN m[i * {p} + i + 1] > 0.5 THEN m[i * {p} + {p}] ELSE 0 END) AS b
+  FROM {name}_r WHERE k = {p - 1})"""
+
+
+def guess_sql(features: list[str]) -> str:
+    """A row's prediction by the coefficients ``b``."""
+    return "list_inner_product(b, [CAST(1 AS DOUBLE), " + ", ".join(f'CAST("{c}" AS DOUBLE)' for c in features) + "])"
+
+
+METRICS_Q = f"""{rq('avg((value - guess) * (value - guess))')} AS mse, {rq('avg(abs(value - guess))')} AS mae,
+ {rq('1 - avg((value - guess) * (value - guess)) / var_pop(value)')} AS r2, count(*) AS rows"""
+METRICS = ["mse", "mae", "r2"]
 
 
 # ---- fits: rows only --------------------------------------------------------------------
@@ -46,43 +97,61 @@ def _(t: Tables) -> DataFrame:
     return line.select(r("slope", 3).alias("slope"), r("intercept", 2).alias("intercept"))
 
 
-@entry("m1_linear_regression")
+@entry("m1_linear_regression", sql(
+    f"SELECT {METRICS_Q} FROM (SELECT value, {guess_sql(FEATURES)} AS guess FROM learning, line)", "keyed", recursive=True,
+    more=f"{LEARNING}, fitting AS (SELECT 0 AS fit, 1 AS w, * FROM learning), {line_sql('fitting', FEATURES)}"))
+def _(t: Tables) -> DataFrame:
+    table = checkpointed(learning_table(t))
+    return rounded(models.evaluate(models.train(table, "linear", FEATURES), table), METRICS)
+
+
+@entry("m1_cross_validated_line", sql(
+    f"SELECT fold, {METRICS_Q} FROM (SELECT fold, value, {guess_sql(FEATURES)} AS guess FROM learning JOIN line ON fit = fold) GROUP BY 1",
+    "keyed", recursive=True,
+    more=f"""{LEARNING}, fitting AS (SELECT f AS fit, 1 AS w, l.* FROM learning l JOIN (SELECT unnest(range(5)) AS f) ON f <> fold),
+    {line_sql('fitting', FEATURES)}"""))
 def _(t: Tables) -> DataFrame:
-    table = learning_table(t)
-    return models.evaluate(models.train(table, "lr", FEATURES), table)
+    folded = checkpointed(splits.hash_folds(learning_table(t), 5, "row_id"))
+    return rounded(gram.cross_validate(folded, FEATURES, "fold"), METRICS).drop("alpha")
 
 
 @entry("m2_lasso")
 def _(t: Tables) -> DataFrame:
-    table = learning_table(t)
+    table = checkpointed(learning_table(t))
     return models.evaluate(models.train(table, "lasso", FEATURES, alpha=0.01), table)
 
 
+@entry("m2_lasso_path")
+def _(t: Tables) -> DataFrame:
+    folded = checkpointed(splits.hash_folds(learning_table(t), 5, "row_id"))
+    return rounded(gram.cross_validate(folded, FEATURES, "fold", alphas=(0.001, 0.003, 0.01, 0.03, 0.1)), METRICS)
+
+
 SMALL_GRID = {"stepSize": [0.05, 0.1], "maxIter": [3, 5], "maxDepth": [3], "minInstancesPerNode": [1, 3]}
 
 
 @entry("m3_tree_search")
 def _(t: Tables) -> DataFrame:
-    _, tried = models.search_boosted_trees(learning_table(t).cache(), FEATURES, grid=SMALL_GRID, picks=2, folds=2)
+    _, tried = models.search_boosted_trees(checkpointed(learning_table(t)), FEATURES, grid=SMALL_GRID, picks=2)
     rows = [(str(sorted(s.items())), float(mse)) for s, mse in tried]
     return t.spark.createDataFrame(rows, "setting string, mse double")
 
 
 @entry("m4_cross_validated_trees")
 def _(t: Tables) -> DataFrame:
-    folded = splits.hash_folds(learning_table(t), 3, "row_id").cache()
-    return models.cross_validate(folded, models.boosted_trees(FEATURES, maxIter=3, maxDepth=3), "fold", 3)
+    folded = checkpointed(splits.hash_folds(learning_table(t), 5, "row_id"))
+    return models.cross_validate(folded, models.boosted_trees(FEATURES, maxIter=3, maxDepth=3), "fold", 5)
 
 
 @entry("m5_feature_elimination")
 def _(t: Tables) -> DataFrame:
-    kept = models.eliminate_features(learning_table(t).cache(), FEATURES, keep=3, maxIter=2, maxDepth=3)
+    kept = models.eliminate_features(checkpointed(learning_table(t)), FEATURES, keep=20, maxIter=2, maxDepth=3)
     return t.spark.createDataFrame([(f,) for f in kept], "feature string")
 
 
 @entry("m6_permutation_importance")
 def _(t: Tables) -> DataFrame:
-    return jobs.feature_importance(learning_table(t).cache(), "row_id", FEATURES, maxIter=3, maxDepth=3)
+    return jobs.feature_importance(checkpointed(learning_table(t)), "row_id", FEATURES, maxIter=3, maxDepth=3)
 
 
 @entry("m7_importance_input", sql(
@@ -93,17 +162,29 @@ def _(t: Tables) -> DataFrame:
     return models.importance_input(slim)
 
 
+CODED = list(schemas.TRAINING_FEATURES)
+SINCE = "2024-01-10 00:00:00"
+
+
 @entry("m8_train_since_date")
 def _(t: Tables) -> DataFrame:
-    table = learning_table(t)
+    table = checkpointed(learning_table(t))
     found = None
     for kind, params in (("lr", {}), ("xgboost", {"maxIter": 2, "maxDepth": 3})):
-        model = models.train(table, kind, FEATURES, since="2024-01-10 00:00:00", **params)
+        model = models.train(table, kind, CODED, since=SINCE, **params)
         scored = models.evaluate(model, table).withColumn("kind", F.lit(kind))
         found = scored if found is None else found.unionByName(scored)
     return found
 
 
+@entry("m8_linear_since_date", sql(
+    f"SELECT {METRICS_Q} FROM (SELECT value, {guess_sql(CODED)} AS guess FROM learning, line)", "keyed", recursive=True,
+    more=f"{LEARNING}, fitting AS (SELECT 0 AS fit, 1 AS w, * FROM learning WHERE datetime >= TIMESTAMP '{SINCE}'), {line_sql('fitting', CODED)}"))
+def _(t: Tables) -> DataFrame:
+    table = checkpointed(learning_table(t))
+    return rounded(models.evaluate(models.train(table, "linear", CODED, since=SINCE), table), METRICS)
+
+
 RANKED = f"""ranked AS (SELECT k.row_id, k.zone, k.value, p.guess, row_number() OVER (PARTITION BY k.zone ORDER BY {seeded_q('k.row_id')}, k.row_id) AS rn,
  count(*) OVER (PARTITION BY k.zone) AS n FROM keyed k JOIN predicted p ON p.zone = k.zone AND p.datetime = k.datetime),
  tested AS (SELECT * FROM ranked WHERE rn <= (n * 200) // 1000)"""
@@ -131,19 +212,20 @@ def column_bounds(df: DataFrame) -> dict[str, tuple[float, float]]:
     return {x["column"]: (x["min"], x["max"]) for x in scaling.min_max_map(df).collect()}
 
 
-SERVED = ["tempF_rolling_mean", "humidity_rolling_mean", "windspeedMiles", "tempF_lag_2", "month_sin", "month_cos"]
-
-
 def served_model(t: Tables):
-    """A line fitted on the globally scaled features, and the bounds they were scaled with."""
+    """A line on all model features, globally scaled, and the bounds they were scaled with."""
     featured = checkpointed(jobs.feature_table(t.raw))
     bounds = column_bounds(featured)
-    return models.train(scaling.scale_with_map(featured, bounds), "lr", SERVED), bounds
+    return models.train(scaling.scale_with_map(featured, bounds), "linear", FEATURES), bounds
 
 
-@entry("m10_score_newest_hours")
+@entry("m10_score_newest_hours", sql(
+    f"""SELECT zone, {stamp_q("datetime")}, {rq('guess * (hi - lo) + lo', 3)} AS predicted FROM (
+    SELECT *, {guess_sql(FEATURES)} AS guess, row_number() OVER (PARTITION BY zone ORDER BY datetime DESC) AS back FROM learning, line,
+     (SELECT CAST(min(value) AS DOUBLE) AS lo, CAST(max(value) AS DOUBLE) AS hi FROM featured)) WHERE back = 1""", "keyed", recursive=True,
+    more=f"{LEARNING}, fitting AS (SELECT 0 AS fit, 1 AS w, * FROM learning), {line_sql('fitting', FEATURES)}"))
 def _(t: Tables) -> DataFrame:
-    return models.score_newest(t.raw, *served_model(t))
+    return timed(rounded(models.score_newest(t.raw, *served_model(t)), ["predicted"], 3))
 
 
 @entry("m11_biased_groups", sql(BIASED.format("1.5"), "predicted", more=FRAME))
@@ -151,11 +233,24 @@ def _(t: Tables) -> DataFrame:
     return biased(t, 1.5)
 
 
-@entry("m12_reweighted_fit")
+BALANCED_FIT = """fitting AS (SELECT 'balanced' AS fit, count(*) OVER () / CAST((SELECT count(DISTINCT zone) FROM learning) * count(*) OVER (PARTITION BY zone) AS DOUBLE) AS w, *
+ FROM learning WHERE part = 'train')"""
+
+
+def frame_sql(scored: str, extra: str = "") -> str:
+    """The metric frame of ``scored`` (zone, value, guess) by zone."""
+    return f"""SELECT {extra} CASE WHEN grouping(zone) = 1 THEN 'overall' ELSE 'group' END AS scope, zone,
+ {rq('avg((value - guess) * (value - guess))')} AS mse, {rq('avg(abs(value - guess))')} AS mae, count(*) AS rows FROM {scored} GROUP BY GROUPING SETS ((zone), ())"""
+
+
+@entry("m12_reweighted_fit", sql(
+    frame_sql("scored"), "keyed", recursive=True,
+    more=f"""{LEARNING}, {BALANCED_FIT}, {line_sql('fitting', FEATURES)},
+    scored AS (SELECT zone, value, {guess_sql(FEATURES)} AS guess FROM learning, line WHERE part = 'test')"""))
 def _(t: Tables) -> DataFrame:
-    split = splits.stratified_split(learning_table(t), ["zone"], "row_id").cache()
-    _, after = models.mitigate(split.filter("split = 'train'"), split.filter("split = 'test'"), "zone", "lr", FEATURES)
-    return after
+    split = checkpointed(splits.stratified_split(learning_table(t), ["zone"], "row_id"))
+    _, after = models.mitigate(split.filter("split = 'train'"), split.filter("split = 'test'"), "zone", "linear", FEATURES)
+    return rounded(after, ["mse", "mae"])
 
 
 BEFORE_AFTER = """pairs AS (SELECT zone, avg(abs(value - guess)) AS before, avg(abs(value - (value + guess) / 2.0::DOUBLE)) AS after
@@ -221,16 +316,22 @@ def _(t: Tables) -> DataFrame:
     return frame(t).filter("scope = 'group'").orderBy("zone").select("zone", r("mae", 4).alias("mae"))
 
 
-@entry("m20_saved_model_metrics")
+@entry("m20_saved_model_metrics", sql(
+    f"""SELECT CASE WHEN grouping(zone) = 1 THEN 'overall' ELSE 'group' END AS scope, zone, damp,
+    {rq('avg((value - guess) * (value - guess))')} AS mse, {rq('avg(abs(value - guess))')} AS mae, count(*) AS rows
+    FROM scored GROUP BY GROUPING SETS ((zone, damp), ())""", "keyed", recursive=True,
+    more=f"""{LEARNING}, fitting AS (SELECT 0 AS fit, 1 AS w, * FROM learning WHERE whole = 'train'), {line_sql('fitting', CODED)},
+    scored AS (SELECT zone, CASE WHEN humidity_rolling_mean > 0.5 THEN 'high' ELSE 'low' END AS damp, value, {guess_sql(CODED)} AS guess
+     FROM learning, line WHERE whole = 'test')"""))
 def _(t: Tables) -> DataFrame:
     folder = scratch_path(t.spark, "models")
-    split = splits.random_split(learning_table(t), "row_id").cache()
-    fitted = models.train(split.filter("split = 'train'"), "lr", FEATURES)
-    models.save_model(fitted, folder, "lr", "20240201_000000")
-    loaded = models.load_latest(t.spark, folder, "lr")
+    split = checkpointed(splits.random_split(learning_table(t), "row_id"))
+    fitted = models.train(split.filter("split = 'train'"), "linear", CODED)
+    models.save_model(fitted, folder, "load model", "20240201_000000")
+    loaded = models.load_latest(t.spark, folder, "load model")
     scored = loaded.transform(split.filter("split = 'test'"))
-    damp = scored.withColumn("damp", bias.high_low(F.col("humidity"), F.lit(0.5)))
-    return bias.metric_frame(damp, "value", models.PREDICTION, ["zone", "damp"])
+    damp = scored.withColumn("damp", bias.high_low(F.col("humidity_rolling_mean"), F.lit(0.5)))
+    return rounded(bias.metric_frame(damp, "value", models.PREDICTION, ["zone", "damp"]), ["mse", "mae"])
 
 
 # ---- registry lookups -------------------------------------------------------------------
@@ -263,21 +364,6 @@ def _(t: Tables) -> DataFrame:
 
 # ---- end to end -------------------------------------------------------------------------
 
-DIGITS = 9
-
-
-def scaled(over: str):
-    """SQL of a scaled final column."""
-
-    def cell(column: str) -> str:
-        if column.startswith("month"):
-            return f"({column} + 1) / 2"
-        value = f'CAST("{column}" AS DOUBLE)'
-        return f"({value} - min({value}) OVER ({over})) / nullif(max({value}) OVER ({over}) - min({value}) OVER ({over}), 0)"
-
-    return cell
-
-
 def final_sql(over: str) -> str:
     cells = []
     for c in schemas.FINAL_COLUMNS:
@@ -392,27 +478,90 @@ def _(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count("value").alias("known"), F.min("value").alias("low"), F.max("value").alias("high"))
 
 
-@entry("e6_train_and_evaluate")
+@entry("e6_train_and_evaluate", sql(
+    f"""SELECT *, mse <= 1000 AND mae <= 1000 AND r2 >= 0.7 AS passes, r2 > 0.3 AND mse < 0.01 AS registrable, 'linear_run' AS run_id FROM (
+    SELECT part, {METRICS_Q} FROM (SELECT part, value, {guess_sql(CODED)} AS guess FROM learning, line WHERE part <> 'train') GROUP BY 1)""",
+    "keyed", recursive=True,
+    more=f"{LEARNING}, fitting AS (SELECT 0 AS fit, 1 AS w, * FROM learning WHERE part = 'train'), {line_sql('fitting', CODED)}"))
+def _(t: Tables) -> DataFrame:
+    runs_path = scratch_path(t.spark, "runs")
+    _, metrics = jobs.train_and_evaluate(learning_table(t), "linear", "row_id", CODED, runs=runs_path)
+    logged = t.spark.read.parquet(runs_path).select("run_id")
+    return rounded(metrics, METRICS).withColumn("run_id", logged.scalar())
+
+
+@entry("e7_model_bias", sql(
+    f"""{frame_sql("(SELECT * FROM scored WHERE fit = 'plain')", "'before' AS run,")} UNION ALL {frame_sql("(SELECT * FROM scored WHERE fit = 'balanced')", "'after' AS run,")}""",
+    "keyed", recursive=True,
+    more=f"""{LEARNING}, {BALANCED_FIT}, both_fits AS (SELECT * FROM fitting UNION ALL SELECT 'plain', 1, * FROM learning WHERE part = 'train'),
+    {line_sql('both_fits', FEATURES)}, scored AS (SELECT fit, zone, value, {guess_sql(FEATURES)} AS guess FROM learning, line WHERE part = 'test')"""))
 def _(t: Tables) -> DataFrame:
-    _, metrics = jobs.train_and_evaluate(learning_table(t), "lr", "row_id", FEATURES)
-    return metrics
+    run = jobs.model_bias(learning_table(t), "linear", "row_id", FEATURES)
+    both = run.before.withColumn("run", F.lit("before")).unionByName(run.after.withColumn("run", F.lit("after")))
+    return rounded(both, ["mse", "mae"])
 
 
-@entry("e7_model_bias")
+DEPLOYED = {1: "2024-01-01 00:00:00", 2: "2024-01-08 00:00:00"}  # version: its model is fitted on a week from here
+GATE_R2 = 0.999
+
+
+def monitored(t: Tables) -> jobs.Monitoring:
+    """Two saved versions of a model, the second in production, monitored on the whole table."""
+    table, folder = checkpointed(learning_table(t)), scratch_path(t.spark, "models")
+    at = F.col("datetime")
+    for number, start in DEPLOYED.items():
+        week = table.filter((at >= F.lit(start).cast("timestamp_ntz")) & (at < F.lit(start).cast("timestamp_ntz") + F.expr("INTERVAL 7 DAYS")))
+        models.train(week, "linear", FEATURES).save(t.spark, f"{folder}/load_{number}")
+    listed = t.spark.createDataFrame(
+        [("load", 1, registry.ARCHIVED, "load_1"), ("load", 2, registry.PRODUCTION, "load_2")], registry.VERSION_SCHEMA)
+    return jobs.monitor_deployed(
+        table, listed, folder, "load", "row_id", FEATURES, min_r2=GATE_R2, drift_columns=["windspeedMiles", "value"])
+
+
+@entry("e8_monitor", sql(
+    f"""SELECT 'metrics' AS finding, 'production' AS item, mse, mae, r2, rows FROM m WHERE fit = 'deployed'
+    UNION ALL SELECT 'retrained', 'load_3', mse, mae, r2, rows FROM m WHERE fit = 'fresh' AND (SELECT NOT coalesce(r2 >= {GATE_R2}, FALSE) FROM m WHERE fit = 'deployed')
+    UNION ALL SELECT 'model_bias', coalesce(zone, 'overall'), mse, mae, NULL, rows FROM ({frame_sql("(SELECT * FROM scored WHERE fit = 'deployed')")})
+    UNION ALL SELECT 'version', stage, NULL, NULL, NULL, CAST(version AS BIGINT) FROM (
+      SELECT unnest([1, 2, 3]) AS version, unnest(['Production', 'Archived', 'None']) AS stage, TRUE AS failed
+      UNION ALL SELECT unnest([1, 2]), unnest(['Archived', 'Production']), FALSE)
+      WHERE failed = (SELECT NOT coalesce(r2 >= {GATE_R2}, FALSE) FROM m WHERE fit = 'deployed')
+    """,
+    "keyed", recursive=True,
+    more=f"""{LEARNING}, fitting AS (SELECT 'deployed' AS fit, 1 AS w, * FROM learning WHERE datetime >= TIMESTAMP '{DEPLOYED[2]}' AND datetime < TIMESTAMP '{DEPLOYED[2]}' + INTERVAL 7 DAY
+     UNION ALL SELECT 'fresh', 1, * FROM learning WHERE whole <> 'test'), {line_sql('fitting', FEATURES)},
+    scored AS (SELECT fit, zone, value, {guess_sql(FEATURES)} AS guess FROM learning, line WHERE whole = 'test'),
+    m AS (SELECT fit, {METRICS_Q} FROM scored GROUP BY 1)"""))
 def _(t: Tables) -> DataFrame:
-    run = jobs.model_bias(learning_table(t), "lr", "row_id", FEATURES)
-    return run.before.withColumn("run", F.lit("before")).unionByName(run.after.withColumn("run", F.lit("after")))
+    done = monitored(t)
+    number = F.lit(None).cast("double")
 
+    def cells(name: str, item, mse=number, mae=number, r2=number, rows=F.col("rows")) -> DataFrame:
+        return done.findings[name].select(
+            F.lit(name).alias("finding"), item.alias("item"), mse.alias("mse"), mae.alias("mae"), r2.alias("r2"), rows.alias("rows"))
 
-@entry("e8_monitor")
+    found = cells("metrics", F.lit("production"), F.col("mse"), F.col("mae"), F.col("r2"))
+    found = found.unionByName(cells("model_bias", F.coalesce("zone", F.lit("overall")), F.col("mse"), F.col("mae")))
+    if "retrained" in done.findings:
+        found = found.unionByName(cells("retrained", F.lit("load_3"), F.col("mse"), F.col("mae"), F.col("r2")))
+    listed = done.versions.select(
+        F.lit("version").alias("finding"), F.col("stage").alias("item"), number.alias("mse"), number.alias("mae"), number.alias("r2"),
+        F.col("version").alias("rows"))
+    return rounded(found.unionByName(listed), METRICS)
+
+
+@entry("e8_monitor_findings")
 def _(t: Tables) -> DataFrame:
-    passed, after, _ = jobs.monitor(learning_table(t), versions(t), "lr", "row_id", FEATURES)
-    return after.withColumn("passed", F.lit(passed))
+    found = monitored(t).findings
+    drift = found["report"].select(F.lit("drift").alias("finding"), F.to_json(F.struct("*")).alias("row"))
+    for name in ("ks", "psi", "coverage"):
+        drift = drift.unionByName(found[name].select(F.lit(name).alias("finding"), F.to_json(F.struct("*")).alias("row")))
+    return drift
 
 
 @entry("e9_feature_importance")
 def _(t: Tables) -> DataFrame:
-    prepared = models.importance_input(learning_table(t)).cache()
+    prepared = checkpointed(models.importance_input(learning_table(t)))
     return jobs.feature_importance(prepared, "row_id", [*FEATURES, "subba-name"], maxIter=3, maxDepth=3)
 
 
@@ -479,6 +628,15 @@ def _(t: Tables) -> DataFrame:
 
 @entry("e11_weekly_chain")
 def _(t: Tables) -> DataFrame:
-    done = jobs.weekly_chain(learning_table(t), "lr", "row_id", FEATURES)
+    done = jobs.weekly_chain(learning_table(t), "linear", "row_id", FEATURES)
     _, metrics = done["training"]
-    return metrics.select("mse", "mae", "r2", "passes").withColumn("serve", F.lit(done["model_bias"].serve))
+    run = done["model_bias"]
+    parts = {
+        "drift": done["drift"]["report"], "importance": done["importance"], "training": metrics,
+        "before": run.before, "affected": run.affected, "after": run.after.withColumn("serve", F.lit(run.serve)),
+    }
+    found = None
+    for name, rows in parts.items():
+        told = rows.select(F.lit(name).alias("finding"), F.to_json(F.struct("*")).alias("row"))
+        found = told if found is None else found.unionByName(told)
+    return found

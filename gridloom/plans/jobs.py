@@ -186,17 +186,38 @@ def drift_job(
     }
 
 
+def evaluation_run(metrics: DataFrame, run_id: str) -> DataFrame:
+    """One row of metrics as a row of the run table."""
+    named = F.create_map(F.lit("MSE"), F.col("mse"), F.lit("MAE"), F.col("mae"), F.lit("R2"), F.col("r2"))
+    return metrics.select(
+        F.lit(run_id).alias("run_id"), F.lit(run_id).alias("run_name"), named.alias("metrics"),
+        F.current_timestamp().alias("start_ts"),
+    )
+
+
 def train_and_evaluate(
     table: DataFrame, kind: str, key: str, features: Sequence[str], strata: Sequence[str] = ("subba-name",),
-    **params,
-) -> tuple[PipelineModel, DataFrame]:
-    """Stratified split, fit on train, metrics on test with the gate's verdict."""
+    runs: str | None = None, run_id: str | None = None, **params,
+) -> tuple[PipelineModel | models.LinearModel, DataFrame]:
+    """Stratified split, fit on train (with the codes of text features), metrics and both gates.
+
+    One row for the test and one for the validation rows, both scored through the stages fitted on train. ``passes``
+    is the evaluation gate, ``registrable`` the gate of the model registry. With ``runs`` the test metrics
+    become a row of the run table there.
+    """
     split = checkpointed(splits.stratified_split(table, strata, key))
     model = models.train(split.filter("split = 'train'"), kind, features, **params)
-    found = models.evaluate(model, split.filter("split = 'test'"))
-    return model, found.withColumn(
-        "passes", registry.passes_gate(F.col("mse"), F.col("mae"), F.col("r2"))
-    )
+    parts = [
+        models.evaluate(model, split.filter(F.col("split") == part)).withColumn("part", F.lit(part))
+        for part in ("test", "validation")
+    ]
+    found = checkpointed(parts[0].unionByName(parts[1]))
+    if runs:
+        registry.log_runs(evaluation_run(found.filter("part = 'test'"), run_id or f"{kind}_run"), runs)
+    return model, found.withColumns({
+        "passes": registry.passes_gate(F.col("mse"), F.col("mae"), F.col("r2")),
+        "registrable": F.coalesce((F.col("r2") > 0.3) & (F.col("mse") < 0.01), F.lit(False)),
+    })
 
 @dataclass
 class BiasRun:
@@ -206,7 +227,7 @@ class BiasRun:
     affected: DataFrame
     after: DataFrame
     serve: bool
-    model: PipelineModel
+    model: PipelineModel | models.LinearModel
 
 def model_bias(
     table: DataFrame, kind: str, key: str, features: Sequence[str], group: str = "zone", **params
@@ -229,10 +250,58 @@ def monitor(
     findings = drift_job(table, order=order)
     findings["coverage"] = bias.coverage(table, schemas.MODEL_LABEL, "zone")
     _, metrics = train_and_evaluate(table, kind, key, features, ["zone"], **params)
-    passed = bool(metrics.first()["passes"])
+    passed = bool(metrics.filter("part = 'test'").first()["passes"])
     findings["metrics"] = metrics
     return passed, versions if passed else registry.roll_back(versions), findings
 
+@dataclass
+class Monitoring:
+    """Outcome of a monitoring run on the model in production."""
+
+    passed: bool
+    versions: DataFrame
+    findings: dict[str, DataFrame]
+
+
+def monitor_deployed(
+    table: DataFrame, versions: DataFrame, folder: str, name: str, key: str, features: Sequence[str],
+    group: str = "zone", order: str = "datetime", runs: str | None = None, test: float = 0.2,
+    min_r2: float = 0.7, drift_columns: Sequence[str] | None = None,
+) -> Monitoring:
+    """Score the version in production on held-out rows; a failed gate rolls back and retrains.
+
+    The model is the one saved under ``folder/<run_id>`` of the version in production. The findings are drift and
+    coverage of the table, the model's errors by group and its metrics. When the gate fails, production goes to
+    the version before, a new model is fitted on the other rows, saved under its run, recorded in
+    ``runs`` and listed as the newest version, without a stage: promotion is a step of its own.
+    """
+    spark = table.sparkSession
+    deployed = registry.current_production(versions).filter(F.col("name") == name).first()
+    if deployed is None:
+        raise ValueError(f"no version of {name} is in production")
+    model = models.LinearModel.load(spark, f"{folder.rstrip('/')}/{deployed.run_id}")
+    split = checkpointed(splits.random_split(table, key, test))
+    held = split.filter("split = 'test'")
+    metrics = checkpointed(models.evaluate(model, held).withColumn(
+        "passes", registry.passes_gate(F.col("mse"), F.col("mae"), F.col("r2"), min_r2=min_r2)))
+    findings = drift_job(table, columns=drift_columns, order=order)
+    findings["coverage"] = bias.coverage(table, schemas.MODEL_LABEL, group)
+    findings["model_bias"] = bias.metric_frame(model.transform(held), schemas.MODEL_LABEL, models.PREDICTION, [group])
+    findings["metrics"] = metrics
+    passed = bool(metrics.first()["passes"])
+    if passed:
+        return Monitoring(True, versions, findings)
+    newest = versions.filter(F.col("name") == name).agg(F.max("version")).first()[0] + 1
+    run_id = f"{name}_{newest}"
+    fresh = models.train(split.filter("split <> 'test'"), "linear", features)
+    fresh.save(spark, f"{folder.rstrip('/')}/{run_id}")
+    findings["retrained"] = models.evaluate(fresh, held)
+    if runs:
+        registry.log_runs(evaluation_run(findings["retrained"], run_id), runs)
+    added = spark.createDataFrame([(name, newest, registry.NO_STAGE, run_id)], registry.VERSION_SCHEMA)
+    after = registry.roll_back(versions).select("name", "version", "stage", "run_id").unionByName(added)
+    return Monitoring(False, after, findings)
+
 def feature_importance(
     table: DataFrame, key: str, features: Sequence[str], **params
 ) -> DataFrame:

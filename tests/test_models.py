@@ -214,3 +214,70 @@ def test_price_history_is_the_last_year(spark):
     found = report.price_history(df.withColumn("date", F.to_date("date")))
     assert sorted(r.Date for r in found.collect()) == days[1:]
     assert found.columns == ["ticker", "Date", "Close", "Volume"]
+
+
+# ---- closed-form models -----------------------------------------------------------------
+
+def test_text_features_are_coded_by_a_stage_of_the_model(spark, table, tmp_path):
+    features = [*FEATURES, "zone"]
+    for kind, params in (("linear", {}), ("lr", {}), ("xgboost", {"maxIter": 2, "maxDepth": 2})):
+        model = models.train(table, kind, features, **params)
+        new = table.limit(2).withColumn("zone", F.lit("never seen")).unionByName(table.limit(1).withColumn("zone", F.lit(None).cast("string")))
+        scored = model.transform(new)
+        assert scored.select("zone", "prediction").where("prediction IS NOT NULL").count() == 3
+        if kind == "linear":
+            assert model.labels == {"zone": ("big", "small")} and scored.columns == [*new.columns, "prediction"]
+            assert [r.zone for r in model.encoded(new).select("zone").collect()] == [2.0, 2.0, 2.0]
+            assert models.evaluate(model, table).first().r2 == pytest.approx(1)
+    models.save_model(model, str(tmp_path), "trees", "2")
+    again = models.load_latest(spark, str(tmp_path), "trees").transform(new).select("prediction").collect()
+    assert again == scored.select("prediction").collect()
+
+
+def test_linear_model_is_saved_and_found_by_its_whole_name(spark, table, tmp_path):
+    folder = str(tmp_path)
+    names = [("lr", "1"), ("lr", "20"), ("lr_2", "30"), ("lr 2", "40")]
+    for i, (name, stamp) in enumerate(names):
+        models.save_model(models.LinearModel({"z": ("é",)}, models.gram.LinearFit(("a.b",), (float(i),), 0.5)), folder, name, stamp)
+    found = models.load_latest(spark, folder, "lr")
+    assert found.fit.coefficients == (1.0,) and found.labels == {"z": ("é",)}
+    assert models.load_latest(spark, folder, "lr_2").fit.coefficients == (2.0,)
+    with pytest.raises(FileNotFoundError):
+        models.load_latest(spark, folder, "l")
+    with pytest.raises(FileNotFoundError):
+        models.load_latest(spark, f"{folder}/none", "lr")
+
+
+def test_balanced_closed_form_equals_weights_per_row(table):
+    plain = models.train(table, "linear", FEATURES)
+    balanced, _ = models.mitigate(table, table, "zone", "linear", FEATURES)
+    weighted = bias.balanced_weights(table, "zone", "w")
+    assert balanced.fit.coefficients == pytest.approx(models.train_linear(weighted, FEATURES, weight="w").fit.coefficients)
+    assert plain.fit.intercept != pytest.approx(balanced.fit.intercept, abs=1e-3)
+
+
+def test_closed_forms_equal_the_iterative_fits(table):
+    for kinds, params in ((("linear", "lr"), {}), (("linear_lasso", "lasso"), {"alpha": 0.02})):
+        a, b = (models.train(table, k, FEATURES, **params) for k in kinds)
+        fit = b.stages[-1]
+        assert a.fit.coefficients == pytest.approx(list(fit.coefficients), abs=1e-4)
+        assert a.fit.intercept == pytest.approx(fit.intercept, abs=1e-4)
+
+
+def test_monitoring_scores_the_deployed_model(spark, table, tmp_path):
+    folder, runs = str(tmp_path / "models"), str(tmp_path / "runs")
+    good = models.train(table, "linear", FEATURES)
+    bad = models.LinearModel({}, models.gram.LinearFit(tuple(FEATURES), (0.0, 0.0, 0.0), 99.0))
+    good.save(spark, f"{folder}/m_1")
+    bad.save(spark, f"{folder}/m_2")
+    listed = spark.createDataFrame(
+        [("m", 1, "Archived", "m_1"), ("m", 2, "Production", "m_2"), ("other", 7, "Production", "x")], registry.VERSION_SCHEMA)
+    failed = jobs.monitor_deployed(table, listed, folder, "m", "row_id", FEATURES, runs=runs)
+    assert not failed.passed and failed.findings["metrics"].first().mae > 90
+    got = {(r.name, r.version): (r.stage, r.run_id) for r in failed.versions.collect()}
+    assert got == {("m", 1): ("Production", "m_1"), ("m", 2): ("Archived", "m_2"), ("m", 3): ("None", "m_3"), ("other", 7): ("Production", "x")}
+    assert models.evaluate(models.LinearModel.load(spark, f"{folder}/m_3"), table).first().r2 > 0.9
+    assert [r.run_id for r in spark.read.parquet(runs).collect()] == ["m_3"]
+    passed = jobs.monitor_deployed(table, failed.versions, folder, "m", "row_id", FEATURES)
+    assert passed.passed and passed.versions is failed.versions
+    assert {"report", "ks", "psi", "coverage", "model_bias", "metrics"} <= set(passed.findings)
