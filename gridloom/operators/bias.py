@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.combine import append_new, reindex
 from gridloom.operators.cleaning import in_groups, not_in_groups
-from gridloom.operators.ordered import cname, join_on_keys
+from gridloom.operators.ordered import attach, cname
 from gridloom.operators.windows import fill_gaps
 
 
@@ -146,7 +146,7 @@ def balanced_weights(df: DataFrame, group: str, name: str = "weight") -> DataFra
     weights = sizes.select(
         cname(group), (whole["n"] / (whole["k"] * F.col("_n"))).alias(name)
     )
-    return join_on_keys(df, weights, [group], "left", null_safe=True)
+    return attach(df, weights, [group], "left", null_safe=True)
 
 
 def under_covered(df: DataFrame, target: str, group: str, threshold: float = 0.05) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom import schemas
-from gridloom.operators.ordered import cname, join_on_keys
+from gridloom.operators.ordered import attach, cname, join_on_keys
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -55,12 +55,12 @@ def model_columns(
 
 def not_in_groups(df: DataFrame, groups: DataFrame, column: str) -> DataFrame:
     """Rows whose group is not listed; rows without a group are kept."""
-    return df.join(groups.select(cname(column)), column, "left_anti")
+    return attach(df, groups.select(cname(column)).distinct(), [column], "left_anti")
 
 
 def in_groups(df: DataFrame, groups: DataFrame, column: str) -> DataFrame:
     """Rows whose group is listed."""
-    return df.join(groups.select(cname(column)), column, "left_semi")
+    return attach(df, groups.select(cname(column)).distinct(), [column], "left_semi")
 
 
 def fill_zero(df: DataFrame) -> DataFrame:

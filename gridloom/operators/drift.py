@@ -51,9 +51,30 @@ def long_samples(baseline: DataFrame, new: DataFrame, columns: Sequence[str]) ->
     return one_side(baseline, 0).unionByName(one_side(new, 1))
 
 
+def side_of(order: str, start: Column) -> Column:
+    """0 before ``start``, 1 from it on, null without a time: the two samples as a column of one table."""
+    return F.when(cname(order) < start, 0).when(cname(order) >= start, 1)
+
+
+def long_rows(df: DataFrame, side: Column, columns: Sequence[str]) -> DataFrame:
+    """(feature, value, side) without nulls, of two samples that lie in one table: one scan."""
+    values = df.select(side.alias("side"), *[cname(c).cast("double").alias(c) for c in columns]).filter("side IS NOT NULL")
+    long = values.unpivot(["side"], [cname(c) for c in columns], "feature", "value")
+    return long.filter("value IS NOT NULL").select("feature", "value", "side")
+
+
+def counts_by_side(df: DataFrame, side: Column, columns: Sequence[str]) -> DataFrame:
+    """``sample_counts`` of two samples that lie in one table."""
+    return _counted(long_rows(df, side, columns))
+
+
 def sample_counts(baseline: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, n_baseline, n_new): all the numeric tests below start from these counts."""
-    return long_samples(baseline, new, columns).groupBy("feature", "value").agg(
+    return _counted(long_samples(baseline, new, columns))
+
+
+def _counted(long: DataFrame) -> DataFrame:
+    return long.groupBy("feature", "value").agg(
         F.count_if(F.col("side") == 0).alias("n_baseline"),
         F.count_if(F.col("side") == 1).alias("n_new"),
     )
@@ -173,6 +194,36 @@ def histogram(counts: DataFrame, bins: int = 10, edges: str = "own") -> DataFram
     )
 
 
+def binned(df: DataFrame, side: Column, columns: Sequence[str], bins: int = 10, edges: str = "own") -> DataFrame:
+    """``histogram`` of two samples that lie in one table, in two aggregations.
+
+    The first finds the extremes of all columns in one row, the second counts (column, side, bin), with the bin by
+    arithmetic: no distinct value is shuffled, whatever the number of rows.
+    """
+    ready = df.select(side.alias("side"), *[cname(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    ready = ready.filter("side IS NOT NULL")
+    part = {s: F.col("side") == s for s in (0, 1)}
+    ends = ready.agg(*[
+        f(F.when(part[s], F.col(f"_{i}"))).alias(f"{n}_{i}_{s}")
+        for i in range(len(columns)) for s in (0, 1) for n, f in (("low", F.min), ("high", F.max))
+    ]).first()  # four numbers per column
+
+    def place(i: int, s: int) -> Column:
+        low, high = (ends[f"{n}_{i}_{s if edges == 'own' else 0}"] for n in ("low", "high"))
+        if low is None:
+            return F.lit(None).cast("int")
+        low, high = (low - 0.5, high + 0.5) if low == high else (low, high)
+        position = F.floor((F.col(f"_{i}") - F.lit(low)) * bins / (F.lit(high) - F.lit(low)))
+        return F.least(F.lit(bins - 1), F.greatest(F.lit(0), position)).cast("int")
+
+    cells = [
+        F.struct(F.lit(c).alias("feature"), F.when(F.col(f"_{i}").isNotNull(), F.when(part[0], place(i, 0)).otherwise(place(i, 1))).alias("bin"))
+        for i, c in enumerate(columns)
+    ]
+    long = ready.select("side", F.inline(F.array(*cells))).filter("bin IS NOT NULL")
+    return long.groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 def psi(
     counts: DataFrame,
     bins: int = 10,
@@ -181,7 +232,21 @@ def psi(
     edges: str = "own",
 ) -> DataFrame:
     """Population stability index per feature; features empty on one side are left out."""
-    counted = histogram(counts, bins, edges)
+    return psi_from(histogram(counts, bins, edges), bins, threshold, epsilon)
+
+
+def psi_by_side(
+    df: DataFrame, side: Column, columns: Sequence[str], bins: int = 10, threshold: float = 0.2,
+    epsilon: float = PSI_EPSILON, edges: str = "own",
+) -> DataFrame:
+    """``psi`` of two samples that lie in one table, from two aggregations (see ``binned``)."""
+    return psi_from(binned(df, side, columns, bins, edges), bins, threshold, epsilon)
+
+
+def psi_from(
+    counted: DataFrame, bins: int = 10, threshold: float = 0.2, epsilon: float = PSI_EPSILON
+) -> DataFrame:
+    """``psi`` from counts per (feature, side, bin)."""
     # At most features × 2 × bins rows from here on.
     wide = counted.groupBy("feature").agg(
         *[
@@ -226,6 +291,15 @@ def category_counts(baseline: DataFrame, new: DataFrame, columns: Sequence[str])
     )
 
 
+def category_counts_by_side(df: DataFrame, side: Column, columns: Sequence[str]) -> DataFrame:
+    """``category_counts`` of two samples that lie in one table."""
+    texts = df.select(side.alias("side"), *[cname(c).cast("string").alias(c) for c in columns]).filter("side IS NOT NULL")
+    long = texts.unpivot(["side"], [cname(c) for c in columns], "feature", "category").filter("category IS NOT NULL")
+    return long.groupBy("feature", "category").agg(
+        F.count_if(F.col("side") == 0).alias("n_baseline"), F.count_if(F.col("side") == 1).alias("n_new")
+    )
+
+
 def chi2_tail(statistic: float, freedom: int) -> float:
     """Upper tail of the chi-square distribution for whole degrees of freedom."""
     if freedom < 1 or statistic <= 0:
@@ -329,6 +403,17 @@ def drift_report(
     )
 
 
+def drift_report_by_side(
+    df: DataFrame, side: Column, numeric: Sequence[str], text: Sequence[str] = (), judge: str = "distance",
+    p_threshold: float = 0.05, distance_threshold: float = 0.1,
+) -> DataFrame:
+    """``drift_report`` of two samples that lie in one table: one scan per kind of column."""
+    categories = category_drift(category_counts_by_side(df, side, text)) if text else None
+    return report_from(
+        distances(counts_by_side(df, side, numeric)), categories, judge, p_threshold, distance_threshold
+    )
+
+
 def dataset_drift(report: DataFrame, share: float = 0.5) -> DataFrame:
     """Share of drifted columns; the dataset drifts from ``share`` on."""
     return report.agg(

@@ -66,9 +66,42 @@ def join_on_keys(
         renamed = renamed.withColumnRenamed(key, f"_right_{key}")
     matched = [cname(k).eqNullSafe(cname(f"_right_{k}")) for k in keys]
     joined = left.join(renamed, matched, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+#: A side of a join up to this size, measured on its rows, is sent to every task.
+SENT_BYTES = 64 << 20
+#: A larger one is repeated so often, and the other side dealt to so many parts per key.
+SALTS = 16
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows as text, and 16 bytes per cell: one pass over a small table."""
+    size = F.octet_length(F.to_json(F.struct(*map(cname, df.columns)))) + F.lit(16 * len(df.columns))
+    return df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
+
+
+def attach(
+    df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", null_safe: bool = False,
+    limit: int = SENT_BYTES,
+) -> DataFrame:
+    """Join a table with one row per group to a table that may be huge, without moving the huge one.
+
+    ``small`` is made once, cut off from its lineage and measured. Up to ``limit`` bytes it is broadcast. A
+    larger one is joined on (keys, salt): its rows are repeated ``SALTS`` times and the rows of a group are
+    dealt evenly to them, so one group of very many rows is spread. ``how`` is any join that keeps
+    rows of ``df`` only: inner, left, left_semi or left_anti; ``null_safe`` lets null keys match.
+    """
+    stored = checkpointed(small)
+    if measured_bytes(stored) <= limit:
+        return join_on_keys(df, F.broadcast(stored), keys, how, null_safe)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*map(cname, df.columns)), F.lit(SALTS)).cast("int"))
+    repeated = stored.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return join_on_keys(salted, repeated, [*keys, "_salt"], how, null_safe).drop("_salt")
+
+
 def over_blocks(
     df: DataFrame,
     keys: Sequence[str],
@@ -215,7 +248,8 @@ def cut_points(
     block locate the one block that holds each position, and only rows of those blocks are
     sorted; all other rows are merely counted.
     """
-    slim = df.select(*map(cname, keys), block.alias("_block"), order.alias("_order"))
+    # Keys and order values alone are kept, so the wide rows are read once here.
+    slim = checkpointed(df.select(*map(cname, keys), block.alias("_block"), order.alias("_order")))
     sizes = slim.groupBy(*map(cname, keys), F.col("_block")).agg(F.count(F.lit(1)).alias("_n"))
     group = Window.partitionBy(*map(cname, keys))
     upto = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -234,7 +268,7 @@ def cut_points(
     holding = spans.filter(F.size("_wanted") > 0).drop("_upto")
     inside = Window.partitionBy(*map(cname, keys), F.col("_block")).orderBy("_order")
     found = (
-        join_on_keys(slim, holding, [*keys, "_block"], "inner", null_safe=True)
+        attach(slim, holding, [*keys, "_block"], "inner", null_safe=True)
         .withColumn("_at", F.col("_before") + F.row_number().over(inside))
         .filter(F.array_contains("_wanted", F.col("_at")))
     )
@@ -253,7 +287,7 @@ def below_cuts(
     """Add how many cuts of its group each row lies beyond (0 = at or before the first)."""
     marked = df.withColumn("_order", order)
     if keys:
-        joined = join_on_keys(marked, cuts, keys, "left", null_safe=True)
+        joined = attach(marked, cuts, keys, "left", null_safe=True)
         limits = [F.col(f"cut_{i}") for i in range(count)]
     else:
         one = cuts.select(F.struct("*")).scalar()

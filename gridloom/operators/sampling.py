@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridloom.operators.combine import reindex
 from gridloom.operators.ordered import (
     HASH_BLOCKS,
+    attach,
     below_cuts,
     cname,
     cut_points,
@@ -74,7 +75,7 @@ def over_sample(
     sizes = group_sizes(df, group)
     largest = sizes.agg(F.max("n")).scalar()
     smaller = sizes.filter(F.col("n") < largest)
-    placed = seeded_positions(df.join(smaller, group, "left_semi"), [group], key, seed, "_at", blocks)
+    placed = seeded_positions(attach(df, smaller.select(cname(group)), [group], "left_semi"), [group], key, seed, "_at", blocks)
     copies = sample_with_replacement(placed, smaller, group, "_at", largest - F.col("n"), seed)
     return df.withColumn("copied", F.lit(False)).unionByName(
         copies.select(*map(cname, df.columns)).withColumn("copied", F.lit(True))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom import schemas
 from gridloom.operators.cleaning import numeric_columns
-from gridloom.operators.ordered import cname, global_position, join_on_keys
+from gridloom.operators.ordered import attach, cname, global_position
 
 
 
@@ -48,8 +48,8 @@ def scale_min_max(
 ) -> DataFrame:
     """Scale numeric columns to [0, 1] over each group, or over the table if no key is given.
 
-    Bounds come from an aggregation (partial sums first) that is joined back, so a group is
-    never sorted or gathered.
+    Bounds come from an aggregation (partial sums first) that is measured and sent to the rows, so a
+    group is never sorted, gathered or moved.
     """
     columns = list(columns or numeric_columns(df, schemas.NOT_SCALED))
     extremes = [
@@ -59,7 +59,7 @@ def scale_min_max(
     ]
     if keys:
         bounds = df.groupBy(*map(cname, keys)).agg(*extremes)
-        joined = join_on_keys(df, bounds, keys, "left", null_safe=True)
+        joined = attach(df, bounds, keys, "left", null_safe=True)
         low = {c: cname(f"_min_{c}") for c in columns}
         high = {c: cname(f"_max_{c}") for c in columns}
     else:
@@ -126,7 +126,7 @@ def encode_labels(
 ) -> DataFrame:
     """Add the code of a label. Unseen labels raise (``error``) or get -1 (``mark``)."""
     code = code or f"{column}_code"
-    joined = join_on_keys(df, dictionary.withColumnRenamed(f"{column}_code", code), [column], "left", null_safe=True)
+    joined = attach(df, dictionary.withColumnRenamed(f"{column}_code", code), [column], "left", null_safe=True)
     if unseen == "error":
         told = F.raise_error(F.concat(F.lit("unseen label: "), cname(column).cast("string")))
         return joined.withColumn(
@@ -139,4 +139,4 @@ def encode_labels(
 def decode_labels(df: DataFrame, column: str, dictionary: DataFrame, code: str | None = None) -> DataFrame:
     """Label text for a code."""
     code = code or f"{column}_code"
-    return join_on_keys(df, dictionary.withColumnRenamed(f"{column}_code", code), [code], "left", null_safe=True)
+    return attach(df, dictionary.withColumnRenamed(f"{column}_code", code), [code], "left", null_safe=True)

@@ -6,94 +6,101 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.operators.ordered import cname, global_position
-
-QUERIES_PER_PASS = 256
-
-
-def _query_blocks(queries: DataFrame, key: str, vector: str) -> Iterator[list]:
-    """Queries in blocks of bounded size; a long list is read block by block."""
-    slim = queries.select(cname(key).alias("key"), cname(vector).alias("vector"))
-    first = slim.limit(QUERIES_PER_PASS + 1).collect()
-    if len(first) <= QUERIES_PER_PASS:
-        if first:
-            yield first
-        return
-    numbered = global_position(slim, ["key"], "_at")
-    total = numbered.agg(F.max("_at")).first()[0]
-    for start in range(0, total, QUERIES_PER_PASS):
-        block = numbered.filter(F.col("_at").between(start + 1, start + QUERIES_PER_PASS))
-        yield block.drop("_at").collect()
-
-
-def _score_block(vectors: DataFrame, block: list, key: str, vector: str, k: int) -> DataFrame:
-    query_keys = np.array([row.key for row in block], dtype=np.int64)
-    matrix = np.array([row.vector for row in block], dtype=np.float64)
-    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
-
-    def best_of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = np.empty((len(block), 0), dtype=np.int64)
-        scores = np.empty((len(block), 0))
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            rows = rows.reshape(batch.num_rows, -1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                near = matrix @ rows.T / np.linalg.norm(rows, axis=1)
-            here = np.broadcast_to(batch.column(0).to_numpy(), near.shape)
-            scores = np.concatenate([scores, np.nan_to_num(near, nan=-2.0)], axis=1)
-            ids = np.concatenate([ids, here], axis=1)
-            # Best score first, lowest id on ties; only k candidates per query stay in memory.
-            order = np.lexsort((ids, -scores), axis=1)[:, :k]
-            ids = np.take_along_axis(ids, order, axis=1)
-            scores = np.take_along_axis(scores, order, axis=1)
-        if ids.shape[1]:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(query_keys, ids.shape[1])),
-                    pa.array(ids.ravel()),
-                    pa.array(scores.ravel()),
-                ],
-                names=["query", "match", "similarity"],
-            )
+from gridloom.operators.ordered import cname
 
-    known = vectors.filter(cname(vector).isNotNull()).select(
-        cname(key).cast("bigint"), cname(vector).cast("array<float>")
-    )
-    return known.mapInArrow(best_of_partition, "query bigint, match bigint, similarity double")
+#: Vectors a task scores at a time, and queries they meet at a time: bounds of a task's memory.
+VECTORS_PER_SHARD = 16_384
+QUERIES_PER_BLOCK = 8_192
+_SLICE = 256
+_ROUNDING = 1e-9
+
+RESULT = "query bigint, match bigint, similarity double"
+
+
+def has_cosine(vector: Column) -> Column:
+    """Whether a vector has a direction: not null or empty, no null, NaN or infinite element, not all zero."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
+
+
+def _unit(column: pa.ChunkedArray, rows: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+    flat /= np.abs(flat).max(axis=1, keepdims=True)  # squares of very small or large elements stay in range
+    return flat / np.linalg.norm(flat, axis=1, keepdims=True)
+
+
+def _best(k: int):
+    """The k best vectors of one shard for every query of one block."""
+
+    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        asked, ids, scores = [], [], []
+        if vectors.num_rows and queries.num_rows:
+            names, keys = vectors["key"].to_numpy(), queries["key"].to_numpy()
+            matrix, wanted = _unit(vectors["v"], vectors.num_rows), _unit(queries["v"], queries.num_rows)
+            for at in range(0, len(keys), _SLICE):
+                near = wanted[at : at + _SLICE] @ matrix.T
+                for key, asking, row in zip(keys[at : at + _SLICE], wanted[at : at + _SLICE], near):
+                    # The k-th score by selection. All that may reach it are scored again by themselves, because the
+                    # last digits of a matrix product depend on its shape and equal vectors must tie.
+                    border = np.partition(row, len(row) - k)[len(row) - k] if k < len(row) else -np.inf
+                    held = np.flatnonzero(row >= border - _ROUNDING)
+                    exact = (matrix[held] * asking).sum(axis=1)
+                    order = np.lexsort((names[held], -exact))[:k]
+                    asked.append(np.full(len(order), key))
+                    ids.append(names[held][order])
+                    scores.append(exact[order])
+        columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((asked, np.int64), (ids, np.int64), (scores, np.float64))]
+        return pa.table([pa.array(c) for c in columns], names=["query", "match", "similarity"])
+
+    return run
 
 
 def top_k_similar(
     vectors: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id",
     vector: str = "embedding", query_key: str = "query", query_vector: str = "vector",
+    vectors_per_shard: int = VECTORS_PER_SHARD, queries_per_block: int = QUERIES_PER_BLOCK,
 ) -> DataFrame:
     """(query, match, similarity, rank): the k most similar vectors of each query.
 
-    Every task keeps its own best k per query, so the shuffle carries k rows per query and
-    task, never all pairs. Queries go out in blocks of bounded size, one scan per block.
+    Vectors are dealt to shards and queries to blocks, by a hash of their key; every block meets every shard in a
+    task of its own, which keeps the best k per query, so neither the driver nor a task ever holds more than
+    a shard and a block, and the result shuffles k rows per query and shard. Both tables are scanned once
+    (and their rows counted). What has no direction (see ``has_cosine``) or no key takes no part; a query is compared with
+    vectors of its own length only. Ties go to the smaller id.
     """
-    partial = None
-    for block in _query_blocks(queries, query_key, query_vector):
-        scored = _score_block(vectors, block, key, vector, k)
-        partial = scored if partial is None else partial.unionByName(scored)
-    if partial is None:
-        raise ValueError("no query vectors")
+
+    def slim(df: DataFrame, name: str, column: str) -> DataFrame:
+        ready = df.select(cname(name).cast("bigint").alias("key"), cname(column).cast("array<double>").alias("v"))
+        return ready.filter(F.col("key").isNotNull() & has_cosine(F.col("v"))).withColumn("dims", F.size("v"))
+
+    shards = -(-vectors.count() // vectors_per_shard) or 1
+    blocks = -(-queries.count() // queries_per_block) or 1
+
+    def dealt(count: int) -> Column:
+        return F.pmod(F.xxhash64("key"), F.lit(count)).cast("int")
+
+    def all_of(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    left = slim(vectors, key, vector).withColumn("shard", dealt(shards)).withColumn("block", all_of(blocks))
+    right = slim(queries, query_key, query_vector).withColumn("block", dealt(blocks)).withColumn("shard", all_of(shards))
+    by = ["shard", "block", "dims"]
+    partial = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(_best(k), RESULT)
     best = Window.partitionBy("query").orderBy(F.desc("similarity"), "match")
     return partial.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def mean_vectors(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
-    """(query, vector): the mean vector of each group, averaged element by element."""
-    elements = vectors.select(
-        cname(group).cast("bigint").alias("query"), F.posexplode(cname(vector)).alias("at", "x")
-    )
-    means = elements.groupBy("query", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return means.groupBy("query").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda e: e["x"]).alias(
-            "vector"
-        )
+    """(query, vector): the mean vector of each group; vectors of different lengths in one group are an error.
+
+    One aggregation in the JVM; tasks pass on one vector per group. Null vectors count for nothing.
+    """
+    known = vectors.filter(cname(vector).isNotNull()).select(
+        cname(group).cast("bigint").alias("query"), array_to_vector(cname(vector).cast("array<double>")).alias("v")
     )
+    return known.groupBy("query").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("vector"))

@@ -263,17 +263,17 @@ LONG = f"""long AS (SELECT feature, v + CASE WHEN feature = 'cents' AND side = 1
   CAST(ts >= {CUT} AS INTEGER) AS side FROM readings))"""
 
 
-def samples(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Readings before and after the middle of the month; the later cents are shifted."""
-    old, new = drift.split_at_time(t.readings, "ts", F.expr("timestamp_ntz'2024-01-16 00:00:00'"))
-    return old, new.withColumn("cents", F.col("cents") + 500)
+WATCHED = ["cents", "k", "user_id"]
 
 
-WATCHED = ["cents", "k", "user_id"]
+def samples(t: Tables) -> DataFrame:
+    """Readings with ``side`` 0 before and 1 after the middle of the month; the later cents are shifted."""
+    sided = t.readings.withColumn("side", drift.side_of("ts", F.expr("timestamp_ntz'2024-01-16 00:00:00'")))
+    return sided.withColumn("cents", F.col("cents") + F.when(F.col("side") == 1, 500).otherwise(0))
 
 
 def counts_of(t: Tables) -> DataFrame:
-    return drift.sample_counts(*samples(t), WATCHED)
+    return drift.counts_by_side(samples(t), F.col("side"), WATCHED)
 
 
 def histogram_sql(edges: str) -> str:
@@ -287,7 +287,7 @@ def histogram_sql(edges: str) -> str:
 
 @entry("a22_histogram", sql("SELECT feature, side, bin, n FROM binned", "readings", more=f"{LONG}, {histogram_sql('own')}"))
 def _(t: Tables) -> DataFrame:
-    return drift.histogram(counts_of(t))
+    return drift.binned(samples(t), F.col("side"), WATCHED)
 
 
 @entry("a23_largest_slice", "SELECT max(n) AS rows FROM (SELECT count(*) AS n FROM events GROUP BY user_id)")
@@ -445,12 +445,12 @@ def psi_sql(edges: str) -> str:
 
 @entry("q6_psi_own_edges", psi_sql("own"))
 def _(t: Tables) -> DataFrame:
-    return rounded(drift.psi(counts_of(t)), ["psi"])
+    return rounded(drift.psi_by_side(samples(t), F.col("side"), WATCHED), ["psi"])
 
 
 @entry("q6_psi_baseline_edges", psi_sql("baseline"))
 def _(t: Tables) -> DataFrame:
-    return rounded(drift.psi(counts_of(t), edges="baseline"), ["psi"])
+    return rounded(drift.psi_by_side(samples(t), F.col("side"), WATCHED, edges="baseline"), ["psi"])
 
 
 AREA = """area AS (SELECT feature, sum(abs(f0 - f1) * (next_v - v)) AS distance FROM shares GROUP BY 1),
@@ -467,10 +467,9 @@ KINDS = f"""kinds AS (SELECT feature, category, count(*) FILTER (side = 0) AS n0
   sum(CASE WHEN p > 0 THEN pow(n1 - p * s1, 2) / (p * s1) ELSE 'inf'::DOUBLE END) AS chi2, count(*) - 1 AS freedom FROM parts GROUP BY 1)"""
 
 
-def categories(t: Tables) -> tuple[DataFrame, DataFrame]:
+def categories(t: Tables) -> DataFrame:
     level = F.when(F.col("k") < 20, "low").when(F.col("k") < 70, "middle").otherwise("high")
-    old, new = samples(t)
-    return old.withColumn("level", level), new.withColumn("level", level)
+    return samples(t).withColumn("level", level)
 
 
 KIND_COLUMNS = ["event_type", "level"]
@@ -481,7 +480,7 @@ KIND_COLUMNS = ["event_type", "level"]
     UNION ALL SELECT feature, 'jensen_shannon', {rq('js_distance')}, js_distance > 0.1 FROM fitted""",
     "readings", more=f"{LONG}, {SHARES}, {AREA}, {KINDS}"))
 def _(t: Tables) -> DataFrame:
-    found = drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS)
+    found = drift.drift_report_by_side(categories(t), F.col("side"), WATCHED, KIND_COLUMNS)
     return rounded(found, ["drift_score"])
 
 
@@ -489,7 +488,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT feature, 'ks_p_value' AS test, {rq('p')} AS drift_score, p < 0.05 AS drift_detected FROM tested",
     "readings", more=f"{LONG}, {SHARES}, {KS}"))
 def _(t: Tables) -> DataFrame:
-    return rounded(drift.drift_report(*samples(t), WATCHED, judge="p_value"), ["drift_score"])
+    return rounded(drift.drift_report_by_side(samples(t), F.col("side"), WATCHED, judge="p_value"), ["drift_score"])
 
 
 @entry("q7_dataset_drift", sql(
@@ -497,7 +496,7 @@ def _(t: Tables) -> DataFrame:
     count(*) FILTER (hit) / count(*) >= 0.5 AS dataset_drift FROM (SELECT normalised > 0.1 AS hit FROM moved UNION ALL
     SELECT js_distance > 0.1 FROM fitted)""", "readings", more=f"{LONG}, {SHARES}, {AREA}, {KINDS}"))
 def _(t: Tables) -> DataFrame:
-    return drift.dataset_drift(drift.drift_report(*categories(t), WATCHED, KIND_COLUMNS))
+    return drift.dataset_drift(drift.drift_report_by_side(categories(t), F.col("side"), WATCHED, KIND_COLUMNS))
 
 
 @entry("q8_wasserstein", sql(
@@ -512,7 +511,7 @@ def _(t: Tables) -> DataFrame:
     f"SELECT feature, {rq('js_distance')} AS js_distance, {rq('chi2', 4)} AS chi2, CAST(freedom AS BIGINT) AS freedom FROM fitted",
     "readings", more=KINDS))
 def _(t: Tables) -> DataFrame:
-    found = drift.category_drift(drift.category_counts(*categories(t), KIND_COLUMNS))
+    found = drift.category_drift(drift.category_counts_by_side(categories(t), F.col("side"), KIND_COLUMNS))
     return found.select("feature", r("js_distance").alias("js_distance"), r("chi2", 4).alias("chi2"), F.col("freedom").cast("bigint"))
 
 
@@ -534,8 +533,7 @@ def _(t: Tables) -> DataFrame:
     f"""SELECT feature, {rq('d')} AS statistic, {rq('p')} AS p_value, {rq('normalised')} AS drift_score FROM tested JOIN moved USING (feature)""",
     "readings", more=f"{LONG}, {SHARES}, {KS}, {AREA}"))
 def _(t: Tables) -> DataFrame:
-    old, new = samples(t)
     found = jobs.drift_job(
-        old.unionByName(new).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts")
+        samples(t).select("ts", *WATCHED), F.expr("timestamp_ntz'2024-01-16 00:00:00'"), WATCHED, "ts")
     both = found["ks"].join(found["report"], "feature")
     return both.select("feature", *[r(c).alias(c) for c in ("statistic", "p_value", "drift_score")])

@@ -134,8 +134,8 @@ def _(t: Tables) -> DataFrame:
     SELECT 'value' AS feature, value AS v, CAST(ts >= TIMESTAMP '2024-01-16' AS INTEGER) AS side FROM readings UNION ALL
     SELECT 'k', k, CAST(ts >= TIMESTAMP '2024-01-16' AS INTEGER) FROM readings) GROUP BY 1, 2""", "readings"))
 def _(t: Tables) -> DataFrame:
-    old, new = drift.split_at_time(t.readings, "ts", F.expr("timestamp_ntz'2024-01-16 00:00:00'"))
-    long = drift.long_samples(old, new, ["value", "k"])
+    side = drift.side_of("ts", F.expr("timestamp_ntz'2024-01-16 00:00:00'"))
+    long = drift.long_rows(t.readings, side, ["value", "k"])
     return long.groupBy("feature", "side").agg(
         F.count(F.lit(1)).alias("n"), r(F.sum("value"), 2).alias("total"))
 

@@ -170,14 +170,16 @@ def drift_job(
 ) -> dict[str, DataFrame]:
     """Split at a time and run all drift tests.
 
-    The samples are read once, into counts per distinct value; the distances that the report and
+    Both samples are one scan of the table, into counts per distinct value; the distances that the report and
     the Kolmogorov-Smirnov test share are computed once.
     """
-    baseline, new = drift.split_at_time(df, order, start)
-    present, missing = drift.common_columns(baseline, new, columns)
-    counts = checkpointed(drift.sample_counts(baseline, new, present))
+    if start is None:
+        start = df.agg(F.max(f"`{order}`")).scalar()
+    side = drift.side_of(order, start)
+    present, missing = drift.common_columns(df, df, columns)
+    counts = checkpointed(drift.counts_by_side(df, side, present))
     found = checkpointed(drift.distances(counts))
-    categories = drift.category_drift(drift.category_counts(baseline, new, text)) if text else None
+    categories = drift.category_drift(drift.category_counts_by_side(df, side, text)) if text else None
     return {
         "report": drift.report_from(found, categories, judge),
         "ks": drift.ks_from(found),

@@ -167,13 +167,15 @@ def test_first_place(spark):
     assert one(spark, landed.first_place(F.lit('{"results": []}'))) is None
 
 
-def test_top_k_across_query_blocks_equals_one_pass(spark, monkeypatch):
+def test_top_k_across_query_blocks_equals_one_pass(spark):
     rows = [(i, [float((i * 7 + j * 3) % 11) - 5 for j in range(8)]) for i in range(200)]
     store = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(5)
     questions = store.select(F.col("vec_id").alias("query"), F.col("embedding").cast("array<double>").alias("vector"))
     whole = as_set(vectors.top_k_similar(store, questions, 4).drop("similarity"))
-    monkeypatch.setattr(vectors, "QUERIES_PER_PASS", 64)
-    assert as_set(vectors.top_k_similar(store, questions, 4).drop("similarity")) == whole
+    split = vectors.top_k_similar(store, questions, 4, vectors_per_shard=30, queries_per_block=64)
+    assert as_set(split.drop("similarity")) == whole
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1
     import numpy as np
 
     m = np.array([v for _, v in rows])
@@ -197,3 +199,20 @@ def test_two_writers_never_share_a_number(spark, tmp_path):
     assert snapshots.retain(spark, path, 0) == [1, 2, 3, 4, 5, 6]
     assert snapshots.manifest(spark, path).count() == 0
     assert snapshots.publish(spark.range(1), path, "x") == 7
+
+
+def test_vectors_without_direction_or_of_another_length(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, None), (6, []), (7, [1.0, None]), (8, [1.0, 1.0, 1.0]),
+            (9, [1e-200, 0.0]), (10, [1e200, 1e200]), (None, [1.0, 0.0])]
+    store = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    asked = spark.createDataFrame([(0, [2.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0, 1.0, 0.0]), (3, [1.0])], "query bigint, vector array<double>")
+    found = {(r["query"], r["rank"]): (r.match, round(r.similarity, 6)) for r in vectors.top_k_similar(store, asked, 3).collect()}
+    assert found == {(0, 1): (1, 1.0), (0, 2): (9, 1.0), (0, 3): (10, 0.707107), (2, 1): (8, 0.816497)}
+    assert vectors.top_k_similar(store.limit(0), asked, 3).count() == 0 == vectors.top_k_similar(store, asked.limit(0), 3).count()
+
+
+def test_mean_vectors(spark):
+    rows = [(1, [1.0, 2.0]), (1, [3.0, 6.0]), (2, [5.0, 5.0]), (1, None)]
+    found = vectors.mean_vectors(spark.createDataFrame(rows, "label int, embedding array<float>"), "label").collect()
+    assert {r["query"]: r.vector for r in found} == {1: [2.0, 4.0], 2: [5.0, 5.0]}
