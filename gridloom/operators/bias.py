@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.operators.combine import append_new, reindex
+from gridloom.operators.combine import append_new, grid_over
 from gridloom.operators.cleaning import in_groups, not_in_groups
-from gridloom.operators.ordered import attach, cname
+from gridloom.operators.ordered import attach, cname, join_on_keys
 from gridloom.operators.windows import fill_gaps
+from gridloom.session import checkpointed
 
 
 def slice_means(df: DataFrame, slices: Sequence[str], metric: str) -> DataFrame:
@@ -170,9 +171,19 @@ def fill_biased_groups(
 
     (group, ``order``) must be a key (see ``require_unique``).
     """
-    flagged = under_covered(df, target, group, threshold).select(cname(group))
+    # One scan: coverage and time span per group, and of the whole table.
+    flag = cname(target).isNotNull().cast("int")
+    facts = checkpointed(df.groupingSets([[cname(group)], []], cname(group)).agg(
+        F.grouping(cname(group)).alias("_all"), F.avg(flag).alias("_rate"),
+        F.min(cname(order)).alias("first"), F.max(cname(order)).alias("last"),
+    ))
+    whole = facts.filter("_all = 1")
+    off = F.abs(F.col("_rate") - whole.select("_rate").scalar()) > threshold
+    flagged = checkpointed(facts.filter("_all = 0").filter(off).select(cname(group)))
+    span = whole.select(F.struct("first", "last")).scalar()
     biased = in_groups(df, flagged, group)
-    on_grid = reindex(biased, [group], order, step_seconds, span_of=df)
+    grid = grid_over(flagged.filter(cname(group).isNotNull()), order, span, df.schema[order].dataType, step_seconds)
+    on_grid = join_on_keys(grid, biased, [group, order], "left").select(*map(cname, df.columns))
     measures = [c for c in df.columns if c not in (group, order)]
     mended = fill_gaps(on_grid, measures, [group], order)
     return append_new(mended, not_in_groups(df, flagged, group))

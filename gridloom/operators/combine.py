@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridloom.operators.ordered import cname, expand_rows, join_on_keys
 
@@ -83,12 +84,16 @@ def calendar_grid(
         F.struct(F.min(cname(order)).alias("first"), F.max(cname(order)).alias("last"))
     ).scalar()
     groups = df.select(*map(cname, keys)).distinct()
+    return grid_over(groups, order, span, df.schema[order].dataType, step_seconds)
+
+
+def grid_over(groups: DataFrame, order: str, span: Column, kind: T.DataType, step_seconds: int = 3600) -> DataFrame:
+    """Every step from ``span.first`` to ``span.last`` for every row of ``groups``."""
     steps = F.floor(
         F.timestamp_diff("SECOND", span["first"], span["last"]) / F.lit(step_seconds)
     ) + F.lit(1)
-    kind = df.schema[order].dataType
     return expand_rows(groups, steps, "_step").select(
-        *map(cname, keys),
+        *map(cname, groups.columns),
         F.timestamp_add("SECOND", F.col("_step") * F.lit(step_seconds), span["first"])
         .cast(kind)
         .alias(order),

@@ -303,19 +303,28 @@ def below_cuts(
 def expand_rows(df: DataFrame, times: Column, name: str, per_block: int = 1000) -> DataFrame:
     """Repeat each row ``times`` times, numbered 0…times-1.
 
-    Two steps with a shuffle on (row, block) between them, so that one row with a huge count is
-    spread over the cluster instead of being unrolled in one task. The partition number is
-    given, because adaptive execution would merge the few small rows that stand for many.
+    A row becomes runs of ``per_block`` squared copies, the runs are cut into blocks of ``per_block``, the blocks
+    are dealt out by a shuffle on (row, block) and unrolled there. So one row with a huge count is spread over
+    the cluster, and no array is longer than ``per_block`` numbers, or the number of runs. The partition
+    number is given, because adaptive execution would merge the few small rows that stand for many.
     """
     setting = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     spread = int(setting) if setting.isdigit() else 200
-    last_block = F.floor((F.col("_times") - 1) / per_block).cast("bigint")
+    run = per_block * per_block
+
+    def numbers(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(first, last))
+
     blocks = (
         df.withColumn("_times", times.cast("bigint"))
         .filter(F.col("_times") > 0)
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+        .withColumn("_run", numbers(F.lit(0).cast("bigint"), whole_parts(F.col("_times") - 1, run)))
+        .withColumn("_part", numbers(
+            F.col("_run") * per_block,
+            F.least(F.col("_run") * per_block + (per_block - 1), whole_parts(F.col("_times") - 1, per_block))))
+        .drop("_run")
         .repartition(spread, *map(cname, df.columns), F.col("_part"))
     )
     first = F.col("_part") * per_block
     last = F.least(first + (per_block - 1), F.col("_times") - 1)
-    return blocks.withColumn(name, F.explode(F.sequence(first, last))).drop("_times", "_part")
+    return blocks.withColumn(name, numbers(first, last)).drop("_times", "_part")

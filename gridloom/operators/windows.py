@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from gridloom import schemas
 from gridloom.operators.ordered import cname, join_on_keys, over_blocks, time_block
 
-FEATURE_DECIMALS = 10
 
 
 def rolling_columns(window: Window, columns: Sequence[str], rows: int, what: str) -> dict[str, Column]:
@@ -63,17 +62,13 @@ def engineer_features(
 ) -> DataFrame:
     """Rolling means, rolling deviations and lags in one window pass, then complete rows.
 
-    The first ``max(lag)`` rows of every group fall away. Rolling values keep ten decimals, so
-    that equal windows give equal values and a constant feature is seen as constant later.
+    The first ``max(lag)`` rows of every group fall away.
     """
 
     def build(window: Window) -> dict[str, Column]:
-        rolled = {
+        return {
             **rolling_columns(window, schemas.ROLLED, rows, "mean"),
             **rolling_columns(window, schemas.ROLLED, rows, "std"),
-        }
-        return {
-            **{name: F.round(column, FEATURE_DECIMALS) for name, column in rolled.items()},
             **lag_columns(window, schemas.ROLLED, schemas.LAGS),
         }
 

@@ -457,9 +457,7 @@ def _(t: Tables) -> DataFrame:
     return timed(snapshots.read_version(t.spark, store))
 
 
-@entry("e3_collect_dataset", sql(
-    f"""SELECT {RAW_LIST} FROM raw JOIN (SELECT zone AS z, CAST(datetime AS DATE) AS day FROM raw GROUP BY 1, 2 HAVING count(*) > 3) f
-    ON raw.zone = f.z AND CAST(raw.datetime AS DATE) = f.day""", "raw"))
+@entry("e3_collect_dataset", sql(f"SELECT {RAW_LIST} FROM raw", "raw"))
 def _(t: Tables) -> DataFrame:
     demand = parsed(demand_payload(t), schemas.DEMAND_PAYLOAD)
     weather = parsed(weather_payload(t), schemas.WEATHER_PAYLOAD)

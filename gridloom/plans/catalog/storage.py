@@ -51,15 +51,17 @@ def _(t: Tables) -> DataFrame:
 
 
 def demand_payload(t: Tables) -> DataFrame:
-    """One demand answer per zone and day, as JSON text; the empty days answer with total "0"."""
+    """One demand answer per zone and day, as JSON text; the day after a zone's last one answers with total "0"."""
     row = F.struct(
         calendar.hour_label(F.col("datetime")).alias("period"), F.col("zone").alias("subba"),
         cname("subba-name"), F.lit("ERCO").alias("parent"), F.lit("Texas").alias("parent-name"),
         F.col("value").cast("string").alias("value"), cname("value-units"))
     days = t.raw.groupBy("zone", F.to_date("datetime").alias("day")).agg(
         F.sort_array(F.collect_list(row)).alias("data"))
-    total = F.when(F.size("data") > 3, F.size("data").cast("string")).otherwise("0")
-    return days.select(
+    empty = days.groupBy("zone").agg(F.date_add(F.max("day"), 1).alias("day")).withColumn(
+        "data", F.array().cast(days.schema["data"].dataType))
+    total = F.size("data").cast("string")
+    return days.unionByName(empty).select(
         "zone", F.to_json(F.struct(F.struct(total.alias("total"), "data").alias("response"))).alias("answer"))
 
 
@@ -81,13 +83,9 @@ def parsed(payload: DataFrame, schema) -> DataFrame:
     return payload.select("zone", F.from_json("answer", schema).alias("_a")).select("zone", "_a.*")
 
 
-FULL_DAYS = """answered AS (SELECT * FROM raw JOIN (SELECT zone, CAST(datetime AS DATE) AS day FROM raw GROUP BY 1, 2
- HAVING count(*) > 3) f ON raw.zone = f.zone AND CAST(raw.datetime AS DATE) = f.day)"""
-
-
 @entry("s5_demand_payload", sql(
     """SELECT zone, strftime(datetime, '%Y-%m-%dT%H') AS datetime, "subba-name", CAST(value AS VARCHAR) AS value, "value-units"
-    FROM answered""", "raw", more=FULL_DAYS))
+    FROM raw""", "raw"))
 def _(t: Tables) -> DataFrame:
     return landed.demand_hours(parsed(demand_payload(t), schemas.DEMAND_PAYLOAD), "zone")
 
