@@ -290,7 +290,8 @@ def jaccard_classes(documents: DataFrame, words: int = 5, similarity: int = 80,
 
     # Global order: frequency among the candidates, then the hash, as one comparable number.
     # N-grams of one member alone come first in it and match nothing: only their number counts.
-    flat = sets.select("doc_id", F.explode("grams").alias("gram"))
+    # (48 bits of a hash are enough to count by: a clash only makes an n-gram seem less rare.)
+    flat = sets.select("doc_id", F.explode(F.transform("grams", lambda g: g.bitwiseAND(F.lit((1 << 48) - 1)))).alias("gram"))
     often = flat.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     # (40 bits of the hash and the frequency name an n-gram here; the whole sets decide later.)
     code = F.expr("(least(df, 4194303) << 40) | (gram & 1099511627775)")

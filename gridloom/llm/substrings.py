@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import _LETTER, _STEP, mixed, own_names, powers, released, text_chunks, written
+from gridloom.llm.tables import _LETTER, _STEP, mixed, own_names, powers, released, text_chunks, told_apart, written
 
 SEED_BYTES = 32
 #: Neighbouring strings that travel as one row: their core, and the bytes before and after it.
@@ -282,11 +282,13 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Matches never cross texts; null counts as empty, texts shorter than ``length`` lose nothing;
-    equal texts lose all. ``length`` is at least ``seed`` and RUN. Strings are compared by 64-bit fingerprints. Keys must be unique and
-    not null: the bytes of rows that share a key count as starting elsewhere, but the rows get
-    the union of their spans. Extra columns are left behind. Empty input gives an empty result.
+    equal texts lose all. ``length`` is at least ``seed`` and RUN. Strings are compared by 64-bit fingerprints. Rows that
+    share a key with another text, and rows without key, are texts of their own; rows that repeat key and
+    text come back each, and their bytes start elsewhere too. Extra columns are left behind. Empty
+    input gives an empty result.
     """
     texts = own_names(documents, **{key: "doc", text: "text"}).select(F.col("doc").cast("long"), F.col("text").cast("string"))
+    texts, renamed = told_apart(texts)
     # Each side of a join on a key that may be hot is a table of its own, so that adaptive
     # execution can split the hot key.
     sampled = written(samples(texts, length, seed), "suffix-samples")
@@ -344,4 +346,8 @@ def repeated_bytes(documents: DataFrame, length: int = 200, seed: int = SEED_BYT
     got = done.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     zero = F.lit(0).cast("long")
     rest = both.where("marks IS NULL").select(F.col("doc").alias("doc_id"), "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256")
-    return got.unionByName(rest)
+    every = got.unionByName(rest)
+    if renamed is None:
+        return every
+    named = every.join(renamed.select(F.col("doc").alias("doc_id"), "own", F.lit(True).alias("hashed")), "doc_id", "left")
+    return named.withColumn("doc_id", F.when(F.col("hashed"), F.col("own")).otherwise(F.col("doc_id"))).select(*every.columns)

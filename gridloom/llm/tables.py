@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from gridloom.operators.ordered import attach
 from gridloom.session import scratch_path
 
 SPACE = np.zeros(256, bool)
@@ -58,6 +60,27 @@ def own_names(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[f"`{old}`"].alias(new) for old, new in columns.items()])
 
 
+def told_apart(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, text) in which a key names one text, and (doc, own, print) of the keys that did not.
+
+    Rows whose key also stands with another text, and rows without key, get a hash of key and text as ``doc``;
+    ``own`` is their key and ``print`` the hash of their text. Where there are none, which one pass over keys
+    and text hashes tells, nothing changes and the second table is None. Equal rows stay equal.
+    """
+    seen = F.xxhash64(F.coalesce("text", F.lit("")))
+    kinds = texts.groupBy("doc").agg(F.min(seen).alias("low"), F.max(seen).alias("high"))
+    several = written(kinds.where("low <> high OR doc IS NULL").select("doc"), "several-texts")
+    if several.isEmpty():
+        released(several)
+        return texts, None
+    marked = attach(texts, several.withColumn("__several", F.lit(True)), ["doc"], "left", null_safe=True)
+    hashed = F.xxhash64(F.lit("row"), F.coalesce("doc", F.lit(0)), F.col("doc").isNull(), F.coalesce("text", F.lit("")))
+    renamed = written(
+        marked.where("__several").select(hashed.alias("doc"), F.col("doc").alias("own"), seen.alias("print")).distinct(), "renamed"
+    )
+    return marked.select(F.when(F.col("__several"), hashed).otherwise(F.col("doc")).alias("doc"), "text"), renamed
+
+
 def powers(n: int) -> np.ndarray:
     """The first ``n`` powers of the hash base, modulo 2^64."""
     if len(_POWERS[0]) < n:
