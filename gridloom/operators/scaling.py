@@ -31,9 +31,14 @@ def min_max_map(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
+#: Bounds that differ by a smaller share of the larger one differ by rounding only.
+NO_SPREAD = 1e-12
+
+
 def unit_interval(value: Column, low: Column, high: Column) -> Column:
-    """(value - low) / (high - low); null for a constant column."""
-    return F.try_divide(value.cast("double") - low, high - low)
+    """(value - low) / (high - low); null for a constant column, also one that rounding makes uneven."""
+    spread = F.abs(high - low) > NO_SPREAD * F.greatest(F.abs(low), F.abs(high))
+    return F.when(spread, F.try_divide(value.cast("double") - low, high - low))
 
 
 def shift_cyclic(df: DataFrame) -> DataFrame:

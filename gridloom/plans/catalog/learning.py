@@ -45,7 +45,8 @@ def scaled(over: str):
         if column.startswith("month"):
             return f"({column} + 1) / 2"
         value = f'CAST("{column}" AS DOUBLE)'
-        return f"({value} - min({value}) OVER ({over})) / nullif(max({value}) OVER ({over}) - min({value}) OVER ({over}), 0)"
+        low, high = (f"{f}({value}) OVER ({over})" for f in ("min", "max"))
+        return f"CASE WHEN {high} - {low} > 1e-12 * greatest(abs({low}), abs({high})) THEN ({value} - {low}) / ({high} - {low}) END"
 
     return cell
 
