@@ -133,7 +133,7 @@ def encode_labels(
     code = code or f"{column}_code"
     joined = attach(df, dictionary.withColumnRenamed(f"{column}_code", code), [column], "left", null_safe=True)
     if unseen == "error":
-        told = F.raise_error(F.concat(F.lit("unseen label: "), cname(column).cast("string")))
+        told = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(cname(column).cast("string"), F.lit("null"))))
         return joined.withColumn(
             code,
             F.when(cname(code).isNotNull(), cname(code)).otherwise(told.cast("bigint")),
