@@ -41,15 +41,26 @@ def _delete(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def _create_new(spark: SparkSession, system, target) -> None:
+    """Create a file that must not exist; Hadoop's local file system looks first and creates then, so Java does it there."""
+    if system.getScheme() == "file":
+        jvm = spark.sparkContext._jvm
+        path = jvm.java.io.File(target.toUri().getPath()).toPath()
+        jvm.java.nio.file.Files.createFile(path, spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+    else:
+        system.create(target, False).close()
+
+
 def claim_version(spark: SparkSession, path: str) -> int:
     """The next free number, taken by an exclusive create; numbers of dropped versions stay taken."""
     system, claims = _opened(spark, f"{path.rstrip('/')}/_claims")
     taken = [int(f.getPath().getName()) for f in system.listStatus(claims)] if system.exists(claims) else []
     first = max([*taken, latest_version(spark, path) or 0]) + 1
+    system.mkdirs(claims)
     for version in range(first, first + CLAIMS):
         _, target = _opened(spark, f"{path.rstrip('/')}/_claims/{version}")
         try:
-            system.create(target, False).close()
+            _create_new(spark, system, target)
             return version
         except Py4JJavaError:
             if not system.exists(target):
