@@ -10,6 +10,7 @@ shuffle, and a lost task packs the same rows again.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -21,6 +22,10 @@ from pyspark.sql import DataFrame
 #: Tokens gathered before a block is packed; bounds a worker's memory.
 BLOCK_TOKENS = 4_000_000
 REMEMBERED = 1_200_000
+#: New words of letters joined for one call of the tokenizer.
+WORDS_A_CALL = 500
+#: Neither letters, figures nor white space.
+MARKS = string.punctuation
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -182,38 +187,60 @@ def pack_documents(documents: DataFrame, encoder: Callable[[], Callable[[list[st
 
 
 def word_encoder(path: str, end: int, remembered: int = REMEMBERED) -> Callable[[], Callable[[list[str]], list[np.ndarray]]]:
-    """Ids of a word-level BPE file whose tokens never cross white space, plus the id ``end``.
+    """Ids of a lower-casing word-level BPE file whose tokens never cross white space and whose last
+    token of a word carries an end mark, plus the id ``end``.
 
     Texts are cut at spaces and line ends; each word met for the first time goes through the
-    tokenizer, in one call per batch; known ones are looked up.
+    tokenizer, known ones are looked up. Words of Latin letters, with or without marks behind
+    them, go to the merges as they are, many in one call; all others take the file's whole way.
     """
 
     def make() -> Callable[[list[str]], list[np.ndarray]]:
-        tokenizer = _tokenizer(path)
+        tokenizer, merges, ends = _tokenizer(path)
         known = _WORDS.setdefault(path, {})
         last = np.array([end], np.uint32).tobytes()
 
         def learn(new: set[str]) -> None:
-            """Words go through the tokenizer as lower-case stems: a last mark after a letter or
-            figure is a token of its own, and these letters lower alike in any context."""
-            parts = {}
+            """Words go through as lower-case stems and marks: a run of marks behind letters is cut
+            off them by the file's own rule, and letters below U+0130 lower alike in any context
+            and are in composed form."""
+            parts, plain, other = {}, set(), set()
             for w in new:
-                stem = w.lower() if w.isascii() or max(w) < "\u0130" else w
-                marked = len(stem) > 1 and stem[-1] in ".,:;!?|" and stem[-2].lower().isalnum() and "<|" not in stem
-                parts[w] = (stem[:-1], stem[-1]) if marked else (stem if "<|" not in w else w,)
-            stems = list({p for pair in parts.values() for p in pair if p not in known})
-            for w, e in zip(stems, tokenizer.encode_batch_fast(stems, add_special_tokens=False)):
+                low = w.isascii() or max(w) < "\u0130"
+                stem = w.lower() if low else w
+                core = stem.rstrip(MARKS)
+                if low and core.isalpha():
+                    plain.add(core)
+                    if core != w:
+                        parts[w] = (core, stem[len(core) :])
+                elif len(stem) > 1 and stem[-1] in ".,:;!?|" and stem[-2].lower().isalnum() and "<|" not in stem:
+                    parts[w] = (stem[:-1], stem[-1])
+                    other.add(stem[:-1])
+                else:
+                    parts[w] = (stem if "<|" not in w else w, "")
+                    other.add(parts[w][0])
+            other.update({mark for _, mark in parts.values()})
+            other = list(other.difference(known))
+            for w, e in zip(other, tokenizer.encode_batch_fast(other, add_special_tokens=False)):
                 known[w] = np.array(e.ids, np.uint32).tobytes()
-            for w, pair in parts.items():
+            plain = list(plain.difference(known))
+            joined = [" ".join(plain[at : at + WORDS_A_CALL]) for at in range(0, len(plain), WORDS_A_CALL)]
+            ids = [np.array(e.ids, np.uint32) for e in merges.encode_batch_fast(joined, add_special_tokens=False)]
+            if ids:
+                ids = np.concatenate(ids)
+                stops = (4 * (np.flatnonzero(ends[ids]) + 1)).tolist()
+                ids = ids.tobytes()
+                known.update(zip(plain, [ids[i:j] for i, j in zip([0, *stops], stops)], strict=True))
+            for w, (stem, mark) in parts.items():
                 if w not in known:
-                    known[w] = b"".join([known[p] for p in pair])
+                    known[w] = known[stem] + known[mark]
 
         def encode(texts: list[str]) -> list[np.ndarray]:
             cut = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in texts]
-            new = {w for words in cut for w in words}.difference(known)
+            new = set().union(*cut).difference(known)
             if len(known) + 2 * len(new) > remembered:
                 known.clear()
-                new = {w for words in cut for w in words}
+                new = set().union(*cut)
             learn(new)
             get = known.__getitem__
             return [np.frombuffer(b"".join([*map(get, words), last]), np.uint32) for words in cut]
@@ -228,11 +255,23 @@ _TOKENIZERS: dict = {}
 
 
 def _tokenizer(path: str):
+    """The file's tokenizer, its merges alone for words of letters, and which ids end a word."""
     if path not in _TOKENIZERS:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        whole = Tokenizer.from_file(path)
+        merges = Tokenizer(whole.model)
+        merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        mark = whole.model.end_of_word_suffix
+        if not mark:
+            raise ValueError(f"the tokens of {path} do not mark the end of a word")
+        vocabulary = whole.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(mark)]] = True
+        _TOKENIZERS[path] = whole, merges, ends
     return _TOKENIZERS[path]
