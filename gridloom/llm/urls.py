@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.tables import written
+from gridloom.llm.tables import released, written
 
 #: (verdict, host, path).
 Rule = tuple[str, str, str]
 DAMPING = 0.85
-ROUNDS = 12
+#: Largest change of a host's score, as a share of it, at which the rounds end.
+TOLERANCE = 1e-4
 THRESHOLD = 0.5
 
 
@@ -61,35 +62,48 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return link.select("src", dst.alias("dst")).where("dst IS NOT NULL").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, score): personalised PageRank of ``seeds`` (host, seed: shares that sum to 1).
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, score): personalised PageRank of ``seeds`` (host, seed: shares that sum to 1), written.
 
     ``edges`` is (src, dst, share), the shares of a source summing to 1. A source without links
-    gives its score back to the seeds. Each round is one join on the source and one sum per
-    target, combined before the shuffle; every fourth round is written.
+    gives its score back to the seeds. A round is one join on the source and one sum per target,
+    combined before the shuffle, and is written. The rounds end when no host's score changes by
+    more than ``tolerance`` of itself; a host reached for the first time changes by all of it, so
+    that the rounds reach every host, however far.
     """
-    score = seeds.select("host", F.col("seed").alias("score"))
-    hosts_out = edges.select(F.col("src").alias("host")).distinct().withColumn("linked", F.lit(True))
-    for number in range(1, rounds + 1):
-        moved = score.join(edges, score["host"] == edges["src"]).groupBy(F.col("dst").alias("host")).agg(
-            F.sum(F.col("score") * F.col("share")).alias("got")
+    if not 0 < damping < 1 or not 0 < tolerance < 1:
+        raise ValueError("damping and tolerance lie between 0 and 1")
+    zero, no = F.lit(0.0), F.lit(False)
+    linked = edges.select(F.col("src").alias("host"), zero.alias("seed"), F.lit(True).alias("linked"))
+    base = seeds.select("host", "seed", no.alias("linked")).union(linked)
+    base = written(base.groupBy("host").agg(F.sum("seed").alias("seed"), F.max("linked").alias("linked")), "pagerank-seeds")
+    score = written(base.select("host", F.col("seed").alias("score"), "linked"), "pagerank")
+    change = 1.0
+    while change > tolerance:
+        stays = score.agg(F.sum(F.when(~F.col("linked"), F.col("score")))).first()[0] or 0.0
+        held = score.where("score > 0")
+        moved = held.join(edges, held["host"] == edges["src"]).select(
+            F.col("dst").alias("host"), (damping * F.col("score") * F.col("share")).alias("score"), zero.alias("before"), no.alias("linked")
         )
-        stays = score.join(hosts_out, "host", "left_anti").agg(F.coalesce(F.sum("score"), F.lit(0.0))).scalar()
-        score = (
-            moved.join(seeds, "host", "full")
-            .select(
-                "host",
-                (damping * (F.coalesce("got", F.lit(0.0)) + stays * F.coalesce("seed", F.lit(0.0)))
-                 + (1 - damping) * F.coalesce("seed", F.lit(0.0))).alias("score"),
-            )
+        kept = base.select("host", ((damping * stays + 1 - damping) * F.col("seed")).alias("score"), zero.alias("before"), "linked")
+        before = held.select("host", zero.alias("score"), F.col("score").alias("before"), no.alias("linked"))
+        sums = moved.union(kept).union(before).groupBy("host").agg(
+            F.sum("score").alias("score"), F.sum("before").alias("before"), F.max("linked").alias("linked")
         )
-        if number % 4 == 0:
-            score = written(score, "pagerank")
+        after = written(sums, "pagerank")
+        change = after.where("score > 0").agg(F.max(F.abs(F.col("score") - F.col("before")) / F.col("score"))).first()[0] or 0.0
+        released(score)
+        score = after
+    released(base)
     return score
 
 
-def host_verdicts(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust, blocked) of every host that pages have or link to."""
+def host_verdicts(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD, damping: float = DAMPING,
+                  tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust, blocked) of every host that pages have or link to, written.
+
+    Scores are shares of one, of any smallness; seeds of both kinds weigh by their number of pages.
+    """
     parted = with_parts(pages).withColumn("verdict", rule_verdict_of(rules))
     edges = written(host_edges(parted), "host-edges")
     counts = written(
@@ -100,17 +114,23 @@ def host_verdicts(pages: DataFrame, rules: list[Rule], threshold: float = THRESH
         "host-seeds",
     )
     total = counts.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
-    out = counts.select("host").union(edges.select("dst")).distinct()
+    out, spent = counts.select("host").union(edges.select("dst")).distinct(), [edges, counts]
     for column, name, source, target in (("good", "trust", "src", "dst"), ("bad", "distrust", "dst", "src")):
         seeds = counts.where(f"{column} > 0").select("host", (F.col(column) / F.lit(float(total[column] or 1))).alias("seed"))
         own = edges.select(F.col(source).alias("src"), F.col(target).alias("dst"), "n")
         sums = own.groupBy("src").agg(F.sum("n").alias("of"))
         shares = written(own.join(sums, "src").select("src", "dst", (F.col("n") / F.col("of")).alias("share")), "host-shares")
-        out = out.join(spread(shares, seeds, damping, rounds).withColumnRenamed("score", name), "host", "left")
+        scores = spread(shares, seeds, damping, tolerance)
+        released(shares)
+        spent.append(scores)
+        out = out.join(scores.select("host", F.col("score").alias(name)), "host", "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    # Scores are shares of one; seeds of both kinds weigh by their number of pages.
     good, bad = trust * float(total["good"] or 0), distrust * float(total["bad"] or 0)
-    return out.select("host", trust.alias("trust"), distrust.alias("distrust"), (F.round(bad - threshold * (good + bad), 9) > 0).alias("blocked"))
+    # More than the threshold by more than the sums' rounding.
+    blocked = bad - threshold * (good + bad) > 1e-9 * (good + bad)
+    out = written(out.select("host", trust.alias("trust"), distrust.alias("distrust"), blocked.alias("blocked")), "host-verdicts")
+    released(*spent)
+    return out
 
 
 def rule_verdict_of(rules: list[Rule]) -> Column:
@@ -129,7 +149,7 @@ def judged(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) ->
     Repeated rows are judged each and weigh each. Empty input gives an empty result.
     """
     slim = pages.select(pages["page_id"], pages["url"], pages["html"])
-    hosts = written(host_verdicts(slim, rules, threshold).where("blocked").select("host"), "blocked-hosts")
+    hosts = host_verdicts(slim, rules, threshold).where("blocked").select("host")
     marked = hosts.withColumn("blocked", F.lit(True))
     df = with_parts(slim.select("page_id", "url")).join(marked, "host", "left")
     method = F.when(F.coalesce("blocked", F.lit(False)), "block").otherwise("allow")
