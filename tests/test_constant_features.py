@@ -53,3 +53,8 @@ def test_a_text_feature_without_values_and_a_table_without_rows(table):
     assert gram.known_features(texts, [*FEATURES, "label"]) == [*GOOD, "label"]
     with pytest.raises(ValueError, match="no complete rows"):
         models.train(table.where("false"), "linear", FEATURES)
+
+
+def test_search_without_the_constant_column(table):
+    _, tried = models.search_boosted_trees(table, FEATURES, grid={"maxIter": [2], "maxDepth": [2]}, picks=1, folds=2)
+    assert len(tried) == 1
