@@ -58,3 +58,8 @@ def test_a_text_feature_without_values_and_a_table_without_rows(table):
 def test_search_without_the_constant_column(table):
     _, tried = models.search_boosted_trees(table, FEATURES, grid={"maxIter": [2], "maxDepth": [2]}, picks=1, folds=2)
     assert len(tried) == 1
+
+
+def test_folds_of_trees_without_the_constant_column(table):
+    trees = models.boosted_trees(gram.known_features(table, FEATURES), maxIter=2, maxDepth=2)
+    assert [r.rows for r in models.cross_validate(table, trees, "fold", 3).orderBy("fold").collect()] == [100, 100, 100]
