@@ -63,3 +63,7 @@ def test_search_without_the_constant_column(table):
 def test_folds_of_trees_without_the_constant_column(table):
     trees = models.boosted_trees(gram.known_features(table, FEATURES), maxIter=2, maxDepth=2)
     assert [r.rows for r in models.cross_validate(table, trees, "fold", 3).orderBy("fold").collect()] == [100, 100, 100]
+
+
+def test_the_constant_column_is_eliminated_first(table):
+    assert models.eliminate_features(table, FEATURES, 2, maxIter=2, maxDepth=2) == GOOD
