@@ -67,3 +67,9 @@ def test_folds_of_trees_without_the_constant_column(table):
 
 def test_the_constant_column_is_eliminated_first(table):
     assert models.eliminate_features(table, FEATURES, 2, maxIter=2, maxDepth=2) == GOOD
+
+
+def test_the_constant_column_has_no_importance(table):
+    found = {r.feature: r for r in jobs.feature_importance(table, "row_id", FEATURES, maxIter=3, maxDepth=3).collect()}
+    assert sorted(found) == ["same", "x1", "x2"] and found["x1"].increase > 0 and found["x2"].split_gain > 0
+    assert found["same"].increase == pytest.approx(0, abs=1e-12) and found["same"].split_gain == 0
