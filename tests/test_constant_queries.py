@@ -10,6 +10,7 @@ from gridloom.plans.catalog import QUERIES
 #: Query and its rows; metrics are never null.
 FITS = {
     "e7_model_bias": 12,
+    "e8_monitor": 11,
 }
 
 
