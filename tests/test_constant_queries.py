@@ -11,6 +11,7 @@ from gridloom.plans.catalog import QUERIES
 FITS = {
     "e7_model_bias": 12,
     "e8_monitor": 11,
+    "m12_reweighted_fit": 6,
 }
 
 
