@@ -12,6 +12,7 @@ FITS = {
     "e7_model_bias": 12,
     "e8_monitor": 11,
     "m12_reweighted_fit": 6,
+    "m1_linear_regression": 1,
 }
 
 
