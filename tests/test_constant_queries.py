@@ -13,6 +13,7 @@ FITS = {
     "e8_monitor": 11,
     "m12_reweighted_fit": 6,
     "m1_linear_regression": 1,
+    "m20_saved_model_metrics": 11,
 }
 
 
