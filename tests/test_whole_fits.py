@@ -43,3 +43,26 @@ def test_search_is_that_of_the_cross_validator(spark):
     ).fit(table)
     assert [e for _, e in tried] == pytest.approx(found.avgMetrics)
     assert model.stages[-1].toDebugString.split("\n")[1:] == found.bestModel.stages[-1].toDebugString.split("\n")[1:]
+
+
+#: Trees, depth and step of the original regressor.
+WHOLE = (100, 6, 0.3)
+
+
+def asked_trees(monkeypatch):
+    """Trees, depth and step of every fit of boosted trees that is asked for; the fits themselves are short."""
+    trees, asked = models.boosted_trees, []
+
+    def spy(*args, **kwargs):
+        fit = trees(*args, **kwargs).getStages()[-1]
+        asked.append((fit.getMaxIter(), fit.getMaxDepth(), fit.getStepSize()))
+        return trees(*args, **kwargs | {"maxIter": 1, "maxDepth": 2})
+
+    monkeypatch.setattr(models, "boosted_trees", spy)
+    return asked
+
+
+def test_m5_eliminates_by_whole_fits(spark, folder, monkeypatch):
+    asked = asked_trees(monkeypatch)
+    assert len(QUERIES["m5_feature_elimination"](spark, folder).collect()) == 20
+    assert asked and set(asked) == {WHOLE}
