@@ -66,3 +66,9 @@ def test_m5_eliminates_by_whole_fits(spark, folder, monkeypatch):
     asked = asked_trees(monkeypatch)
     assert len(QUERIES["m5_feature_elimination"](spark, folder).collect()) == 20
     assert asked and set(asked) == {WHOLE}
+
+
+def test_m8_trains_whole_trees(spark, folder, monkeypatch):
+    asked = asked_trees(monkeypatch)
+    assert sorted(r.kind for r in QUERIES["m8_train_since_date"](spark, folder).collect()) == ["lr", "xgboost"]
+    assert asked == [WHOLE]
